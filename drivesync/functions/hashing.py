@@ -7,12 +7,13 @@ several rows are hashed by ``operators.reassemble.hash_segments``.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from drivesync.functions.numbers import ceil_div
 from drivesync.schemas import HASH_BLOCK
 
 
 def block_count(size: Column, block: int) -> Column:
     """Number of blocks; an empty file still counts one."""
-    return F.greatest(F.ceil(size / F.lit(block)).cast("long"), F.lit(1).cast("long"))
+    return ceil_div(size, block)
 
 
 def content_hash(content: Column, block: int = HASH_BLOCK) -> Column:

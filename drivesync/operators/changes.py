@@ -9,6 +9,7 @@ diff also finds what was deleted while the cursor was invalid.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from drivesync.functions.numbers import int_div
 from drivesync.operators.routing import is_file
 from drivesync.operators.skew import running
 from drivesync.options import check_positive
@@ -99,7 +100,7 @@ def resume_decision(positions: DataFrame, log: DataFrame) -> DataFrame:
 def micro_batch(seq: Column, size: int, first: int = 1) -> Column:
     """Batch number of a log position when at most ``size`` go into a batch."""
     check_positive("size", size)
-    return F.floor((seq - F.lit(first)) / F.lit(size))
+    return int_div(seq - F.lit(first), size)
 
 
 def last_processed(log: DataFrame, size: int, first: int = 1) -> DataFrame:

@@ -3,13 +3,14 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from drivesync.functions.numbers import ceil_div
 from drivesync.operators.routing import route
 from drivesync.operators.skew import lookup_join
 from drivesync.options import check_chunk_size
 
 
 def chunk_count(size: Column, chunk_size: int) -> Column:
-    return F.greatest(F.ceil(size / F.lit(chunk_size)).cast("long"), F.lit(1).cast("long"))
+    return ceil_div(size, chunk_size)
 
 
 def plan_chunks(

@@ -8,11 +8,13 @@ files are told apart by target path, hash and count, so equal content at two
 paths does not mix.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from drivesync.functions.hashing import block_count, content_hash
+from drivesync.functions.numbers import int_div
 from drivesync.operators.skew import running
-from drivesync.schemas import ERR_CORRUPT, HASH_BLOCK
+from drivesync.schemas import ERR_CORRUPT, HASH_BLOCK, STORED_SEGMENT
 
 FILE_KEY = ["target_path", "hash", "chunk_count"]
 # 16 chunks of the default 3.75 MiB are 60 MiB.
@@ -20,7 +22,7 @@ SEGMENT_CHUNKS = 16
 
 
 def segment_of(index):
-    return F.floor((index - 1) / F.lit(SEGMENT_CHUNKS))
+    return int_div(index - 1, SEGMENT_CHUNKS)
 
 
 def distinct_chunks(chunks: DataFrame) -> DataFrame:
@@ -156,22 +158,51 @@ def session_offsets(chunks: DataFrame) -> DataFrame:
     ).drop("_open", "_close", "_before", "_closed", "session")
 
 
+def store_segments(parts: DataFrame, folder: str) -> None:
+    """Write segments; files of one segment and of several go to folders of their own,
+    so that a reader of one kind does not scan the other.
+    """
+    multi = F.col("chunk_count") > SEGMENT_CHUNKS
+    parts.withColumn("multi", multi).write.mode("overwrite").partitionBy("multi").parquet(folder)
+
+
+def read_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(STORED_SEGMENT).parquet(folder)
+
+
 def segment_offsets(parts: DataFrame) -> DataFrame:
-    """Add the byte ``offset`` of each segment in its file."""
-    return running(parts, FILE_KEY, "segment", {"offset": ("sum", "bytes")}, inclusive=False)
+    """Byte ``offset`` of each segment in its file; rows (file key, segment, offset)."""
+    narrow = parts.select(*FILE_KEY, "segment", "bytes")
+    return running(
+        narrow, FILE_KEY, "segment", {"offset": ("sum", "bytes")}, inclusive=False
+    ).drop("bytes")
 
 
 def hash_segments(parts: DataFrame, block: int = HASH_BLOCK) -> DataFrame:
-    """Content hash of every file spread over segments with ``offset``.
-
-    Segments are cut at block borders. A block inside one segment is hashed
-    where it is, and only its 32 digest bytes move; a block over two segments
-    is put together first, at most ``block`` bytes. The digests of a file are
-    joined in two steps; they are 1/131072 of its bytes at 4 MiB blocks.
+    """Content hash of every file in a stored segment table.
+
+    Content of one segment is hashed where it is. Segments of larger files are
+    cut at block borders: a block inside one segment is hashed in place, and
+    only its digest moves; a block over two segments is put together first, at
+    most ``block`` bytes. The digests of a file are joined in two steps; they
+    are 1/131072 of its bytes at 4 MiB blocks. Hashes of incomplete files mean
+    nothing, see ``manifest``.
     """
+    single = parts.where(~F.col("multi")).select(
+        *FILE_KEY,
+        block_count(F.col("bytes"), block).alias("n_blocks"),
+        content_hash(F.col("content"), block).alias("content_hash"),
+    )
+    several = parts.where(F.col("multi"))
+    placed = several.join(segment_offsets(several), [*FILE_KEY, "segment"])
+    return single.unionByName(hash_blocks(placed, block))
+
+
+def hash_blocks(placed: DataFrame, block: int) -> DataFrame:
+    """Content hash of files from segments with ``offset``, block by block."""
     run_blocks = 16_384
-    first = F.floor(F.col("offset") / F.lit(block))
-    last = F.floor((F.col("offset") + F.greatest(F.col("bytes") - 1, F.lit(0))) / F.lit(block))
+    first = int_div(F.col("offset"), block)
+    last = int_div(F.col("offset") + F.greatest(F.col("bytes") - 1, F.lit(0)), block)
 
     def cut(b):
         begin = F.greatest(b * F.lit(block), F.col("offset"))
@@ -191,7 +222,7 @@ def hash_segments(parts: DataFrame, block: int = HASH_BLOCK) -> DataFrame:
             F.when(~whole, F.hex(data)).alias("loose"),
         )
 
-    pieces = parts.select(*FILE_KEY, F.inline(F.transform(F.sequence(first, last), cut)))
+    pieces = placed.select(*FILE_KEY, F.inline(F.transform(F.sequence(first, last), cut)))
     blocks = pieces.groupBy(*FILE_KEY, "b").agg(
         F.max("digest").alias("_whole"),
         F.sort_array(
@@ -206,7 +237,7 @@ def hash_segments(parts: DataFrame, block: int = HASH_BLOCK) -> DataFrame:
 
     runs = (
         blocks.select(*FILE_KEY, "b", F.coalesce("_whole", F.sha2(glued, 256)).alias("digest"))
-        .groupBy(*FILE_KEY, F.floor(F.col("b") / F.lit(run_blocks)).alias("run"))
+        .groupBy(*FILE_KEY, int_div(F.col("b"), run_blocks).alias("run"))
         .agg(digests("b").alias("digest"), F.count(F.lit(1)).alias("n"))
     )
     return runs.groupBy(*FILE_KEY).agg(

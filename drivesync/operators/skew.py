@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from drivesync.functions.numbers import int_div
+
 SALTS = 16
 # Rows of one group in one window task: order values per block.
 BLOCK_WIDTH = 65_536
@@ -50,7 +52,7 @@ def running(
     """
     combine = {"sum": F.sum, "max": F.max}
     keys = [*group, "_block"]
-    blocked = rows.withColumn("_block", F.floor(F.col(order) / F.lit(width)))
+    blocked = rows.withColumn("_block", int_div(F.col(order), width))
 
     totals = blocked.groupBy(*keys).agg(
         *[combine[kind](value).alias(f"_{name}_block") for name, (kind, value) in outputs.items()]

@@ -21,7 +21,10 @@ from drivesync.schemas import (
     CHUNK_COUNT, CHUNK_INDEX, CHUNK_INFO, COLLECTION, FILE_CHUNKED, FILE_HASH, FILE_ID, FILE_NAME, FILE_PATH,
     FILE_SIZE,
 )
+from drivesync.session import new_dir
 from drivesync.sources import listing
+from drivesync.streaming import sink
+from drivesync.streaming.reassembly import reassemble_stream
 
 PAGE = 10
 LOG_CURSOR = 500
@@ -274,9 +277,9 @@ def q25_apply_latest(spark, d):
     return apply.apply_latest(events)
 
 
-def _drive_chunks(spark, d):
+def _chunks_of(files):
     chunks = chunking.cut_chunks(
-        views.hashed_drive(spark, d).select("doc_id", "path", "size", "content_hash", "content"), CHUNK
+        files.select("doc_id", "path", "size", "content_hash", "content"), CHUNK
     )
     return chunks.select(
         F.col("path").alias("target_path"),
@@ -285,10 +288,17 @@ def _drive_chunks(spark, d):
     )
 
 
+def _stored(spark, parts, label):
+    """Segments as the destination keeps them: written once, then read by column."""
+    folder = new_dir(spark, label)
+    re.store_segments(parts, folder)
+    return re.read_segments(spark, folder)
+
+
 def q26_reassemble(spark, d):
     """Files from their chunks, hashed in 4 KiB blocks across segment borders."""
-    parts = re.segments(_drive_chunks(spark, d))
-    hashes = re.hash_segments(re.segment_offsets(parts), 4096)
+    parts = _stored(spark, re.segments(_chunks_of(views.hashed_drive(spark, d))), "q26")
+    hashes = re.hash_segments(parts, 4096)
     files = re.manifest(parts)
     return files.join(hashes, re.FILE_KEY).select(
         F.col("target_path").alias("path"),
@@ -339,6 +349,23 @@ def q28_incomplete(spark, d):
     )
 
 
+def q29_stream_reassemble(spark, d):
+    """The drive's chunks as a stream through checkpointed state."""
+    schema = views.table(spark, d, "documents").schema
+    # A glob, so that the table may be one file or a folder of them.
+    documents = spark.readStream.schema(schema).parquet(f"{d}/documents.parque[t]")
+    files = views.drive_of(documents).withColumn("content_hash", content_hash(F.col("content")))
+    work = new_dir(spark, "q29")
+    sink.start(
+        reassemble_stream(_chunks_of(files)), sink.segment_sink(work), f"{work}/checkpoint"
+    ).awaitTermination()
+    parts = re.read_segments(spark, f"{work}/segments")
+    hashes = re.hash_segments(parts)
+    return re.manifest(parts).join(hashes, re.FILE_KEY).select(
+        F.col("target_path").alias("path"), "bytes", "status", "content_hash"
+    )
+
+
 def q30_integrity(spark, d):
     """Declared size is the character count: wrong for every multi-byte file."""
     docs = views.table(spark, d, "documents")
@@ -386,9 +413,9 @@ def q35_sync_report(spark, d):
 def q36_roundtrip(spark, d):
     """Every file through records, checks, reassembly and hashing, against the original."""
     parsed = dispatch.parse_records(views.records(spark, d))
-    parts = destination.stored_segments(parsed)
+    parts = _stored(spark, destination.stored_segments(parsed), "q36")
     complete = re.manifest(parts).where(F.col("status") == "complete")
-    hashes = re.hash_segments(re.segment_offsets(parts))
+    hashes = re.hash_segments(parts)
     stored = complete.select(*re.FILE_KEY, "bytes").join(hashes, re.FILE_KEY).select(
         F.col("target_path").alias("path"), F.col("bytes").alias("size"), "content_hash"
     )

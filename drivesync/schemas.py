@@ -73,3 +73,20 @@ RECORD = T.StructType([
     T.StructField("payload_before", T.BinaryType()),
     T.StructField("payload_after", T.BinaryType()),
 ])
+
+SEGMENT = T.StructType([
+    T.StructField("target_path", T.StringType()),
+    T.StructField("hash", T.StringType()),
+    T.StructField("chunk_count", T.LongType()),
+    T.StructField("segment", T.LongType()),
+    T.StructField("have", T.LongType()),
+    T.StructField("want", T.LongType()),
+    T.StructField("bytes", T.LongType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("last_seq", T.LongType()),
+    T.StructField("size", T.LongType()),
+    T.StructField("content", T.BinaryType()),
+])
+
+# As stored: ``multi`` is the folder, true for files of several segments.
+STORED_SEGMENT = T.StructType(SEGMENT.fields + [T.StructField("multi", T.BooleanType())])

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from drivesync.functions.numbers import int_div
 from drivesync.functions.paths import explode_ancestors, is_under, parent_dir
 from drivesync.operators.skew import lookup_join
 from drivesync.options import check_page_size, check_positive, scope_path
@@ -61,7 +62,7 @@ def number_rows(rows: DataFrame, order: str, name: str = "rn") -> DataFrame:
         .sortWithinPartitions(order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .checkpoint()
-        .withColumn("_part", F.floor(F.col("_mid") / shift))
+        .withColumn("_part", int_div(F.col("_mid"), shift))
     )
     # One row per partition of the sort, however many rows there are.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -79,7 +80,7 @@ def paginate(entries: DataFrame, page_size: int) -> DataFrame:
     """All pages of a listing at once: ``page`` (0-based) and ``rn`` in path order."""
     check_positive("page_size", page_size)
     return number_rows(entries, "path").withColumn(
-        "page", F.floor((F.col("rn") - 1) / F.lit(page_size))
+        "page", int_div(F.col("rn") - 1, page_size)
     )
 
 

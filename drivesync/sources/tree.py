@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from drivesync.functions.numbers import ceil_div, int_div
 from drivesync.functions.paths import base_name
 from drivesync.operators.chunking import plan_chunks
 from drivesync.operators.routing import is_file
@@ -173,7 +174,7 @@ def with_hashes(listing: DataFrame, root: str, known: DataFrame | None = None) -
         same = ["path", "size", "server_modified"]
         kept = files.join(old, same).select(*listing.columns)
         fresh = files.join(old, same, "left_anti")
-    blocks = F.greatest(F.ceil(F.col("size") / F.lit(HASH_BLOCK)).cast("long"), F.lit(1).cast("long"))
+    blocks = ceil_div(F.col("size"), HASH_BLOCK)
     plan = fresh.select("path", "size", F.explode(F.sequence(F.lit(1).cast("long"), blocks)).alias("b"))
     plan = plan.select(
         "path",
@@ -181,7 +182,7 @@ def with_hashes(listing: DataFrame, root: str, known: DataFrame | None = None) -
         ((F.col("b") - 1) * HASH_BLOCK).alias("start"),
         F.least(F.col("b") * HASH_BLOCK, F.col("size")).alias("end"),
     )
-    run = F.floor((F.col("b") - 1) / F.lit(16_384))
+    run = int_div(F.col("b") - 1, 16_384)
     digests = read_ranges(plan, root).select(
         "path", "b", run.alias("run"),
         F.when(F.col("end") > 0, F.sha2("data", 256)).otherwise("").alias("digest"),
