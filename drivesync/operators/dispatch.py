@@ -80,16 +80,23 @@ def parse_records(
         collection = F.when(inside, F.substring(collection, len(stem) + 1, 2**31 - 1)).otherwise(
             collection
         )
-    parsed = records.withColumns({
+    fields = {
         "action": action(),
         "chunk_index": signed_number(meta(CHUNK_INDEX)),
         "chunk_count": signed_number(meta(CHUNK_COUNT)),
         "hash": meta(FILE_HASH),
         "size": unsigned_number(meta(FILE_SIZE)),
         "target_path": target_path(base, collection, meta(FILE_NAME)),
-    })
+    }
+    keep = [c for c in records.columns if c not in fields and c != "error"]
+    parsed = records.select(*keep, *[value.alias(name) for name, value in fields.items()])
     parsed = parsed.withColumn("_escapes", escapes_base(F.col("target_path"), base))
-    return parsed.withColumn("error", first_error()).drop("_escapes")
+    parsed = parsed.select(
+        *keep, F.struct(*fields, first_error().alias("error")).alias("_parsed")
+    )
+    # A filter on a plain projection is pushed below it and repeats the parsing
+    # once per reference; behind a generator it is evaluated once per record.
+    return parsed.select(*keep, F.inline(F.array("_parsed")))
 
 
 def split_errors(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -113,11 +113,14 @@ def records(spark: SparkSession, sf_dir: str, chunk_size: int = CHUNK) -> DataFr
 # What is wrong with the records of a source folder.
 NO_HASH, NO_SIZE, BAD_SIZE, NO_NAME = "src1", "src2", "src3", "src4"
 NO_INDEX, NO_COUNT, BAD_INDEX, BAD_COUNT = "src5", "src6", "src7", "src8"
+FAULTY_SOURCES = [
+    NO_HASH, NO_SIZE, BAD_SIZE, NO_NAME, NO_INDEX, NO_COUNT, BAD_INDEX, BAD_COUNT,
+]
 
 
 def faulty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The drive's records with metadata damaged by source folder."""
-    source = F.split(parent_dir(F.col("key.file_path")), "/")[1]
+    source = F.col("_source")
     dropped = (
         F.when(source == NO_HASH, FILE_HASH)
         .when(source == NO_SIZE, FILE_SIZE)
@@ -135,5 +138,11 @@ def faulty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(value)
         )
 
-    kept = F.map_filter("metadata", lambda key, value: key != dropped)
-    return records(spark, sf_dir).withColumn("metadata", F.transform_values(kept, damage))
+    kept = F.map_filter("metadata", lambda key, value: key != F.col("_dropped"))
+    rows = records(spark, sf_dir).withColumn("_source", F.split("key.file_path", "/")[1])
+    damaged = F.when(source.isin(*FAULTY_SOURCES), F.transform_values(kept, damage)).otherwise(
+        F.col("metadata")
+    )
+    return rows.withColumn("_dropped", dropped).withColumn("metadata", damaged).drop(
+        "_source", "_dropped"
+    )

@@ -7,9 +7,8 @@ file completes at once, and segments that stay unfinished are given up after
 a time and reported.
 """
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -19,7 +18,12 @@ from drivesync.schemas import SEGMENT
 DEFAULT_TTL_MS = 24 * 60 * 60 * 1000
 
 class SegmentAssembler(StatefulProcessor):
-    """Emits a segment once when its chunks are all there, or its loss on timeout."""
+    """Emits a segment once when its chunks are all there, or its loss on timeout.
+
+    ``mark`` holds the newest position already sent and whether chunks are
+    waiting; a segment that arrives in one batch costs one read and one write
+    of it and never puts its payload into state.
+    """
 
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
@@ -29,72 +33,73 @@ class SegmentAssembler(StatefulProcessor):
         self.chunks = handle.getMapState(
             "chunks", "chunk_index bigint", "seq bigint, size bigint, data binary"
         )
-        self.done = handle.getValueState("done", "seq bigint", self.ttl_ms)
+        # Outlives the timer that clears waiting chunks.
+        self.mark = handle.getValueState("mark", "sent bigint, waiting boolean", 2 * self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        path, file_hash, count, segment = key
-        want = min(count - segment * SEGMENT_CHUNKS, SEGMENT_CHUNKS)
-        done = self.done.get()
-        done_seq = done[0] if done is not None else None
+        sent, waiting = self.mark.get() or (None, False)
         fresh = {}
-        for frame in rows:
-            for index, seq, size, data in zip(
-                frame["chunk_index"], frame["seq"], frame["size"], frame["data"]
-            ):
-                index, seq = int(index), int(seq)
-                # Copies of a segment already sent are no new upload.
-                if done_seq is not None and seq <= done_seq:
-                    continue
-                if index not in fresh or fresh[index][0] < seq:
-                    fresh[index] = (seq, int(size), bytes(data))
+        for row in rows:
+            # Copies of a segment already sent are no new upload.
+            if sent is not None and row.seq <= sent:
+                continue
+            index = row.chunk_index
+            if index not in fresh or fresh[index][0] < row.seq:
+                fresh[index] = (row.seq, row.size, bytes(row.data))
         if not fresh:
             return
-        waiting = self.chunks.exists()
-        held = {}
-        if waiting:
-            held = {i[0]: (v[0], v[1], bytes(v[2])) for i, v in self.chunks.iterator()}
+        held = self.waiting_chunks() if waiting else {}
         newer = {i: v for i, v in fresh.items() if i not in held or held[i][0] < v[0]}
         held.update(newer)
-        if len(held) < want:
+        if len(held) < wanted(key):
             for index, value in newer.items():
                 self.chunks.updateValue((index,), value)
             if not waiting:
+                self.mark.update((sent, True))
                 self.handle.registerTimer(
                     timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms
                 )
             return
-        self.forget()
-        self.done.update((max(v[0] for v in held.values()),))
-        content = b"".join(held[i][2] for i in sorted(held))
-        yield self.row(key, held, want, content)
+        if waiting:
+            self.forget()
+        self.mark.update((max(v[0] for v in held.values()), False))
+        yield segment_row(key, held, b"".join(held[i][2] for i in sorted(held)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.chunks.exists():
-            want = min(key[2] - key[3] * SEGMENT_CHUNKS, SEGMENT_CHUNKS)
-            held = {i[0]: (v[0], v[1], bytes(v[2])) for i, v in self.chunks.iterator()}
+        held = self.waiting_chunks()
+        if held:
+            sent = (self.mark.get() or (None, False))[0]
             self.forget()
-            yield self.row(key, held, want, None)
+            self.mark.update((sent, False))
+            yield segment_row(key, held, None)
+
+    def waiting_chunks(self):
+        return {i[0]: (v[0], v[1], bytes(v[2])) for i, v in self.chunks.iterator()}
 
     def forget(self):
         self.chunks.clear()
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
 
-    @staticmethod
-    def row(key, held, want, content):
-        values = held.values()
-        return pd.DataFrame({
-            "target_path": [key[0]], "hash": [key[1]], "chunk_count": [key[2]],
-            "segment": [key[3]], "have": [len(held)], "want": [want],
-            "bytes": [sum(len(v[2]) for v in values)],
-            "seq": [min(v[0] for v in values)], "last_seq": [max(v[0] for v in values)],
-            "size": [max(v[1] for v in values)], "content": [content],
-        })
-
     def close(self):
         pass
 
 
+def wanted(key) -> int:
+    _, _, count, segment = key
+    return min(count - segment * SEGMENT_CHUNKS, SEGMENT_CHUNKS)
+
+
+def segment_row(key, held, content) -> Row:
+    values = list(held.values())
+    return Row(
+        target_path=key[0], hash=key[1], chunk_count=key[2], segment=key[3],
+        have=len(values), want=wanted(key), bytes=sum(len(v[2]) for v in values),
+        seq=min(v[0] for v in values), last_seq=max(v[0] for v in values),
+        size=max(v[1] for v in values), content=content,
+    )
+
+
 def drop_copies(batches):
     """Keep the latest copy of each chunk inside an Arrow batch.
 
@@ -123,7 +128,7 @@ def reassemble_stream(chunks: DataFrame, ttl_ms: int = DEFAULT_TTL_MS) -> DataFr
     return (
         once.withColumn("segment", segment_of(F.col("chunk_index")))
         .groupBy(*FILE_KEY, "segment")
-        .transformWithStateInPandas(
+        .transformWithState(
             SegmentAssembler(ttl_ms), SEGMENT, "append", "processingTime"
         )
     )
