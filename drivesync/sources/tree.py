@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from drivesync.functions.numbers import ceil_div, int_div
 from drivesync.functions.paths import base_name
 from drivesync.operators.chunking import plan_chunks
+from drivesync.operators.records import payload_records
 from drivesync.operators.routing import is_file
 from drivesync.options import check_chunk_size, scope_path
-from drivesync.schemas import DEFAULT_CHUNK_SIZE, HASH_BLOCK, TAG_FOLDER
+from drivesync.schemas import DEFAULT_CHUNK_SIZE, HASH_BLOCK, TAG_DELETED, TAG_FOLDER
 from drivesync.session import shared_dir
 
 # Names our own sink uses until a file is complete.
@@ -113,7 +114,9 @@ def read_ranges(plan: DataFrame, root: str) -> DataFrame:
 
     The plan holds no payload, so spreading it by (path, start) is a cheap
     shuffle that also splits a huge file over all tasks. Out of a task go
-    batches of at most 32 MiB plus one range.
+    batches of at most 32 MiB plus one range. Ranges of a file that is gone by
+    now give no row: its tombstone is in the next listing. A file that has
+    shrunk gives short ranges, which the size check at the destination finds.
     """
     root = root.rstrip("/")
     names = plan.columns
@@ -121,21 +124,26 @@ def read_ranges(plan: DataFrame, root: str) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            held, first, size = [], 0, 0
-            columns = [batch.column(i) for i in range(batch.num_columns)]
-            paths, starts, ends = (columns[at[n]].to_pylist() for n in ("path", "start", "end"))
+            held, rows, size = [], [], 0
+            paths, starts, ends = (
+                batch.column(at[n]).to_pylist() for n in ("path", "start", "end")
+            )
             for i, (path, start, end) in enumerate(zip(paths, starts, ends)):
-                with open(root + path, "rb") as file:
-                    file.seek(start)
-                    data = file.read(end - start)
-                held.append(data)
-                size += len(data)
-                if size >= READ_BATCH_BYTES or i == len(paths) - 1:
-                    part = [c.slice(first, i + 1 - first) for c in columns]
+                try:
+                    with open(root + path, "rb") as file:
+                        file.seek(start)
+                        data = file.read(end - start)
+                    held.append(data)
+                    rows.append(i)
+                    size += len(data)
+                except (FileNotFoundError, NotADirectoryError):
+                    pass
+                if rows and (size >= READ_BATCH_BYTES or i == len(paths) - 1):
+                    part = batch.take(pa.array(rows, pa.int64()))
                     yield pa.RecordBatch.from_arrays(
-                        [*part, pa.array(held, pa.binary())], names=[*names, "data"]
+                        [*part.columns, pa.array(held, pa.binary())], names=[*names, "data"]
                     )
-                    held, first, size = [], i + 1, 0
+                    held, rows, size = [], [], 0
 
     schema = plan.schema.add("data", "binary")
     return plan.repartition("path", "start").mapInArrow(read, schema)
@@ -159,6 +167,22 @@ def tree_payloads(listing: DataFrame, root: str, chunk_size: int = DEFAULT_CHUNK
     return read_ranges(small.unionByName(plan_chunks(files, chunk_size)), root)
 
 
+def change_records(
+    changes: DataFrame, root: str, chunk_size: int = DEFAULT_CHUNK_SIZE
+) -> DataFrame:
+    """Records of change-log rows (batch or stream), bytes read from the tree."""
+    gone = changes.where(F.col("tag") == TAG_DELETED).withColumns({
+        "kind": F.lit("delete"),
+        "chunk_count": F.lit(None).cast("long"),
+        "chunk_index": F.lit(None).cast("long"),
+        "data": F.lit(None).cast("binary"),
+    })
+    kind = F.when(F.col("chunk_index").isNull(), "full").otherwise("chunked")
+    written = tree_payloads(changes, root, chunk_size).withColumn("kind", kind)
+    rows = written.drop("start", "end").unionByName(gone)
+    return payload_records(rows, F.col("seq").cast("string"))
+
+
 def with_hashes(listing: DataFrame, root: str, known: DataFrame | None = None) -> DataFrame:
     """Fill ``content_hash``; ``known`` is an earlier listing whose hashes are kept
     for files of unchanged size and modification time, so only new bytes are read.
