@@ -63,16 +63,16 @@ def escapes_base(path: Column, base: Column) -> Column:
     return ~((path == root) | is_under(path, root))
 
 
-def explode_ancestors(df, path: str = "path", alias: str = "ancestor"):
-    """One row per proper ancestor folder of ``path``, without the root.
+def explode_ancestors(df, path: str = "path", alias: str = "ancestor", root: bool = False):
+    """One row per proper ancestor folder of ``path``; the root (as '') only on request.
 
     The rows per path are bounded by its depth, so an equi-join on ``alias``
     replaces a prefix (range) join.
     """
     depth = F.size(F.split(F.col(path), "/")) - 1
-    levels = F.sequence(F.lit(2), depth)
+    levels = F.sequence(F.lit(1 if root else 2), depth)
     return (
-        df.where(depth >= 2)
+        df.where(depth >= (1 if root else 2))
         .withColumn("_level", F.explode(levels))
         .withColumn(alias, F.call_function("substring_index", F.col(path), F.lit("/"), F.col("_level")))
         .drop("_level")

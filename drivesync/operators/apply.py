@@ -26,16 +26,23 @@ def latest_per_path(events: DataFrame, path: str = "path", seq: str = "seq") ->
 def drop_deleted_subtrees(
     files: DataFrame, deletes: DataFrame, path: str = "path", seq: str = "seq"
 ) -> DataFrame:
-    """Files without those a later delete of some ancestor folder took along."""
+    """Files without those a later delete of some ancestor folder took along.
+
+    The file rows (no payload) go along through the ancestor join, so that
+    what produced them is evaluated once.
+    """
     newest = deletes.groupBy(F.col(path).alias("ancestor")).agg(F.max(seq).alias("_gone"))
-    placed = explode_ancestors(files.select(path, seq), path, "ancestor")
-    taken = (
-        lookup_join(placed, newest, ["ancestor"], [path], how="inner")
-        .where(F.col("_gone") > F.col(seq))
-        .select(path)
-        .distinct()
+    placed = explode_ancestors(files, path, "ancestor", root=True)
+    joined = lookup_join(placed, newest, ["ancestor"], [path])
+    # One row per file again. Grouping would turn -0.0 into 0.0, hence first().
+    floats = [name for name, kind in files.dtypes if kind in ("float", "double")]
+    keys = [name for name in files.columns if name not in floats]
+    return (
+        joined.groupBy(*keys)
+        .agg(F.max("_gone").alias("_gone"), *[F.first(name).alias(name) for name in floats])
+        .where(F.col("_gone").isNull() | (F.col("_gone") < F.col(seq)))
+        .select(*files.columns)
     )
-    return files.join(taken, path, "left_anti")
 
 
 def apply_latest(

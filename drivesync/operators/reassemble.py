@@ -193,9 +193,19 @@ def hash_segments(parts: DataFrame, block: int = HASH_BLOCK) -> DataFrame:
         block_count(F.col("bytes"), block).alias("n_blocks"),
         content_hash(F.col("content"), block).alias("content_hash"),
     )
+    return single.unionByName(hash_blocks(place_large(parts), block))
+
+
+def place_large(parts: DataFrame) -> DataFrame:
+    """Segments of files with several of them, with their byte ``offset``."""
     several = parts.where(F.col("multi"))
-    placed = several.join(segment_offsets(several), [*FILE_KEY, "segment"])
-    return single.unionByName(hash_blocks(placed, block))
+    return several.join(segment_offsets(several), [*FILE_KEY, "segment"])
+
+
+def place_segments(parts: DataFrame) -> DataFrame:
+    """Stored segments with ``offset``; a file of one segment needs no join for it."""
+    single = parts.where(~F.col("multi")).withColumn("offset", F.lit(0).cast("long"))
+    return single.unionByName(place_large(parts))
 
 
 def hash_blocks(placed: DataFrame, block: int) -> DataFrame:

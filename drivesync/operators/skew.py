@@ -6,7 +6,7 @@ from pyspark.sql.window import Window
 
 from drivesync.functions.numbers import int_div
 
-SALTS = 16
+MAX_SALTS = 64
 # Rows of one group in one window task: order values per block.
 BLOCK_WIDTH = 65_536
 
@@ -17,14 +17,18 @@ def lookup_join(
     on: list[str],
     spread: list[str],
     how: str = "left",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``rows`` to a ``lookup`` that has one row per key.
 
     The rows of a hot key go to ``salts`` partitions by a hash of ``spread``
-    (stable under task retry) and the lookup row is copied to each. Spark
-    still broadcasts the lookup by itself where its measured size allows.
+    (stable under task retry) and the lookup row is copied to each; what is
+    still too large in one of them is split by the adaptive skew join. Spark
+    broadcasts the lookup by itself where its measured size allows.
     """
+    if salts is None:
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = max(1, min(MAX_SALTS, partitions))
     salted = rows.withColumn(
         "_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     )

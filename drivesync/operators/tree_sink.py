@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drivesync.operators.destination import file_segments, live_files
-from drivesync.operators.reassemble import FILE_KEY, segment_offsets
+from drivesync.operators.reassemble import (
+    FILE_KEY, place_segments, read_segments, store_segments,
+)
 from drivesync.schemas import ERR_CORRUPT
-from drivesync.session import shared_dir
+from drivesync.session import new_dir, shared_dir
 from drivesync.sources.tree import PENDING
 
 VERSION = [*FILE_KEY, "size"]
@@ -113,15 +115,13 @@ def _remove_paths(root):
 
 
 def write_files(parts: DataFrame, root: str) -> DataFrame:
-    """Write the files made of ``parts``; returns target_path, size, status per file.
+    """Write the files made of stored segments; gives target_path, size, status per file.
 
     Two jobs: all pieces first, then sizes are checked and files renamed.
     """
     shared_dir(parts.sparkSession)
     root = root.rstrip("/")
-    key = [*FILE_KEY, "segment"]
-    offsets = segment_offsets(parts)
-    placed = parts.join(offsets, key).select(*VERSION, "offset", "content")
+    placed = place_segments(parts).select(*VERSION, "offset", "content")
     schema = "target_path string, hash string, chunk_count bigint, size bigint, bytes bigint"
     written = (
         placed.mapInArrow(_write_pieces(root), schema)
@@ -151,7 +151,10 @@ def apply_to_tree(parsed: DataFrame, root: str) -> DataFrame:
     gone = parsed.where((F.col("action") == "delete") & F.col("error").isNull())
     deleted = delete_paths(gone, root)
     live = live_files(parsed)
-    written = write_files(file_segments(parsed, live), root)
+    # Rebuilt once, then read by column: offsets first, content for the writing.
+    folder = new_dir(parsed.sparkSession, "segments")
+    store_segments(file_segments(parsed, live), folder)
+    written = write_files(read_segments(parsed.sparkSession, folder), root)
     return deleted.select(
         "target_path", F.lit(None).cast("bigint").alias("size"), "status"
     ).unionByName(written)

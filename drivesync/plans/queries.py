@@ -359,7 +359,7 @@ def q29_stream_reassemble(spark, d):
     sink.start(
         reassemble_stream(_chunks_of(files)), sink.segment_sink(work), f"{work}/checkpoint"
     ).awaitTermination()
-    parts = re.read_segments(spark, f"{work}/segments")
+    parts = sink.read_stream_segments(spark, work)
     hashes = re.hash_segments(parts)
     return re.manifest(parts).join(hashes, re.FILE_KEY).select(
         F.col("target_path").alias("path"), "bytes", "status", "content_hash"
@@ -368,8 +368,7 @@ def q29_stream_reassemble(spark, d):
 
 def q30_integrity(spark, d):
     """Declared size is the character count: wrong for every multi-byte file."""
-    docs = views.table(spark, d, "documents")
-    files = views.drive_of(docs).join(docs.select("doc_id", "n_chars"), "doc_id")
+    files = views.drive_of(views.table(spark, d, "documents"), "n_chars")
     return integrity.check_sizes(files.select("path", F.col("n_chars").alias("declared"), "content"))
 
 

@@ -22,8 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def drive_of(documents: DataFrame) -> DataFrame:
-    """Documents as files with their bytes."""
+def drive_of(documents: DataFrame, *keep: str) -> DataFrame:
+    """Documents as files with their bytes, and further columns to ``keep``."""
     content = F.col("text").cast("binary")
     return documents.select(
         "doc_id",
@@ -38,6 +38,7 @@ def drive_of(documents: DataFrame) -> DataFrame:
         F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id")).alias("server_modified"),
         F.octet_length(content).cast("long").alias("size"),
         content.alias("content"),
+        *keep,
     )
 
 
@@ -82,26 +83,31 @@ def old_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def new_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot B: toxic documents removed, low-quality ones edited, pages added."""
-    docs = table(spark, sf_dir, "documents").join(
-        table(spark, sf_dir, "labels"), "doc_id", "left"
-    ).where(F.coalesce(F.col("toxic"), F.lit(0)) == 0)
-    edited = docs.withColumn(
-        "text",
-        F.when(F.col("quality") == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")),
+    # Both hashes are taken where the bytes are; no text goes through the join.
+    content, edited = F.col("content"), F.concat("content", F.lit(b"!"))
+    hashed = drive(spark, sf_dir).select(
+        "doc_id", "path", "tag", "size",
+        content_hash(content).alias("_as_is"), content_hash(edited).alias("_edited"),
+    )
+    low = F.coalesce(F.col("quality") == 0, F.lit(False))
+    files = (
+        hashed.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+        .where(F.coalesce(F.col("toxic"), F.lit(0)) == 0)
+        .select(
+            "path",
+            "tag",
+            F.when(low, F.col("size") + 1).otherwise(F.col("size")).alias("size"),
+            F.when(low, F.col("_edited")).otherwise(F.col("_as_is")).alias("content_hash"),
+        )
     )
-    files = drive_of(edited).select("path", "tag", "content")
     html = F.col("html").cast("binary")
     pages = table(spark, sf_dir, "pages").select(
         F.concat(F.lit("/pages/"), "page_id", F.lit(".html")).alias("path"),
         F.lit("file").alias("tag"),
-        html.alias("content"),
-    )
-    return files.union(pages).select(
-        "path",
-        "tag",
-        F.octet_length("content").cast("long").alias("size"),
-        content_hash(F.col("content")).alias("content_hash"),
+        F.octet_length(html).cast("long").alias("size"),
+        content_hash(html).alias("content_hash"),
     )
+    return files.union(pages)
 
 
 def records(spark: SparkSession, sf_dir: str, chunk_size: int = CHUNK) -> DataFrame:

@@ -90,3 +90,17 @@ SEGMENT = T.StructType([
 
 # As stored: ``multi`` is the folder, true for files of several segments.
 STORED_SEGMENT = T.StructType(SEGMENT.fields + [T.StructField("multi", T.BooleanType())])
+
+# Checked records as stored; ``failed`` is the folder.
+ACTION = T.StructType([
+    T.StructField("seq", T.LongType()),
+    T.StructField("action", T.StringType()),
+    T.StructField("target_path", T.StringType()),
+    T.StructField("chunk_index", T.LongType()),
+    T.StructField("chunk_count", T.LongType()),
+    T.StructField("hash", T.StringType()),
+    T.StructField("size", T.LongType()),
+    T.StructField("payload_after", T.BinaryType()),
+    T.StructField("error", T.StringType()),
+    T.StructField("failed", T.BooleanType()),
+])

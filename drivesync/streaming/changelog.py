@@ -6,6 +6,7 @@ checkpoint is the saved position; it moves when a batch is committed. No new
 file means no batch, which is the wait for changes.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,19 @@ def read_log(spark: SparkSession, log_dir: str, after: int | None = None) -> Dat
     return log if after is None else changes_after(log, after)
 
 
+def last_version(spark: SparkSession, log_dir: str) -> int:
+    """Newest version that holds changes, 0 without any; reads folder names only."""
+    try:
+        log = spark.read.schema(CHANGE).parquet(log_dir)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+    if "version" not in log.columns:
+        return 0
+    return int(log.agg(F.max("version")).first()[0] or 0)
+
+
 def last_seq(spark: SparkSession, log_dir: str) -> int:
     """Newest log position; parquet answers it from file statistics."""
     return read_log(spark, log_dir).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]

@@ -4,66 +4,53 @@ Writing a batch again replaces that folder, so a replay after a failure adds
 nothing twice. Readers see appended actions (or segments) as one table.
 """
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from drivesync.operators.destination import live_files
 from drivesync.operators.dispatch import parse_records
-from drivesync.operators.reassemble import store_segments
+from drivesync.operators.reassemble import read_segments, store_segments
+from drivesync.operators.skew import lookup_join
+from drivesync.schemas import ACTION
 from drivesync.session import NO_DATA_BATCHES, ROCKSDB, STATE_STORE, settings
 
-ACTION_COLUMNS = [
-    "seq", "action", "target_path", "chunk_index", "chunk_count", "hash", "size",
-    "payload_after", "error",
-]
-
-
 class StrictError(RuntimeError):
     """A batch held a record that cannot be applied."""
 
 
-def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
-
-
 def action_sink(folder: str, base: str | Column = "", strict: bool = False):
-    """foreachBatch function: checked records to ``folder/actions``, the rest to
-    ``folder/errors``; with ``strict`` an invalid record fails the batch instead.
+    """foreachBatch function: checked records to ``folder``, in one write.
+
+    Records that fail a check are kept apart as dead letters (``failed``); with
+    ``strict`` the first of them fails the batch before anything is written.
     """
     def write(records: DataFrame, batch_id: int) -> None:
-        parsed = parse_records(records, base).select(*ACTION_COLUMNS)
-        bad = parsed.where(F.col("error").isNotNull())
+        parsed = parse_records(records, base)
+        rows = parsed.withColumn("failed", F.col("error").isNotNull()).select(*ACTION.names)
         if strict:
-            first = bad.orderBy("seq").limit(1).collect()
+            # Reads the metadata only, no payload.
+            first = rows.where("failed").select("seq", "error").orderBy("seq").limit(1).collect()
             if first:
                 raise StrictError(f"record {first[0]['seq']}: {first[0]['error']}")
-        write_batch(parsed.where(F.col("error").isNull()), f"{folder}/actions", batch_id)
-        if not strict:
-            write_batch(bad.drop("payload_after"), f"{folder}/errors", batch_id)
+        rows.write.mode("overwrite").partitionBy("failed").parquet(f"{folder}/batch_id={batch_id}")
 
     return write
 
 
 def segment_sink(folder: str):
-    """foreachBatch function for the output of ``reassemble_stream``: finished segments
-    to ``folder/segments``, abandoned ones (no content) to ``folder/orphans``.
-    """
-    def write(rows: DataFrame, batch_id: int) -> None:
-        # The state operator runs once per batch; both writes read the kept rows.
-        kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            store_segments(
-                kept.where(F.col("content").isNotNull()), f"{folder}/segments/batch_id={batch_id}"
-            )
-            write_batch(
-                kept.where(F.col("content").isNull()).drop("content"), f"{folder}/orphans", batch_id
-            )
-        finally:
-            kept.unpersist()
+    """foreachBatch function for the output of ``reassemble_stream``."""
+    return lambda rows, batch_id: store_segments(rows, f"{folder}/batch_id={batch_id}")
 
-    return write
+
+def read_stream_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Finished segments; given-up ones are short of chunks."""
+    return read_segments(spark, folder).where(F.col("have") == F.col("want"))
+
+
+def read_orphans(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments given up after their time; they have no content."""
+    return read_segments(spark, folder).where(F.col("have") < F.col("want")).drop("content")
 
 
 def start(stream: DataFrame, write, checkpoint: str, once: bool = True,
@@ -83,7 +70,12 @@ def start(stream: DataFrame, write, checkpoint: str, once: bool = True,
 
 
 def read_actions(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/actions")
+    return spark.read.schema(ACTION).parquet(folder).where(~F.col("failed")).drop("failed", "batch_id")
+
+
+def read_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Dead letters: records that failed a check, with the reason."""
+    return spark.read.schema(ACTION).parquet(folder).where(F.col("failed")).drop("failed", "batch_id")
 
 
 def current_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,7 +93,7 @@ def compact(spark: SparkSession, folder: str, out: str) -> None:
     live = live_files(actions).select(
         "target_path", F.col("seq").alias("_seq"), F.col("hash").alias("_hash")
     )
-    joined = actions.join(live, "target_path", "left")
+    joined = lookup_join(actions, live, ["target_path"], ["seq", "chunk_index"])
     chunk = F.col("action") == "chunk"
     newer = F.col("_seq").isNull() | (F.col("seq") >= F.col("_seq"))
     winner = F.col("_hash") == F.col("hash")
@@ -110,6 +102,6 @@ def compact(spark: SparkSession, folder: str, out: str) -> None:
         | (~chunk & winner & (F.col("seq") == F.col("_seq")))
         | (chunk & newer)
     )
-    joined.where(keep).select(*actions.columns).drop("batch_id").write.mode("errorifexists").parquet(
-        f"{out}/actions/batch_id=0"
-    )
+    joined.where(keep).select(*actions.columns).withColumn("failed", F.lit(False)).write.mode(
+        "errorifexists"
+    ).partitionBy("failed").parquet(f"{out}/batch_id=0")

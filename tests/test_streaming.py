@@ -9,40 +9,37 @@ from test_reassemble import CHUNKS, split
 from test_tree import fill
 
 from drivesync import schemas as s
-from drivesync.operators import destination
 from drivesync.operators import reassemble as re
-from drivesync.sources import tree
+from drivesync.options import SourceOptions
 from drivesync.streaming import changelog, sink
 from drivesync.streaming.reassembly import reassemble_stream
+from drivesync.streaming.source import FolderSource
 
 
 class Job:
-    """Listing job and follower of one directory, as two scheduled steps."""
+    """A folder source with its sink, as scheduled steps on one checkpoint."""
 
-    def __init__(self, spark, base):
-        self.spark, self.version, self.old = spark, 0, None
-        self.root, self.log, self.out = (str(base / n) for n in ("tree", "log", "out"))
+    def __init__(self, spark, base, page=3):
+        self.spark = spark
+        self.root, self.state, self.out = (str(base / n) for n in ("tree", "state", "out"))
         self.checkpoint = str(base / "checkpoint")
         os.makedirs(self.root)
+        self.options = SourceOptions(chunk_size=100, max_entries_per_batch=page, recursive=True)
 
-    def listing(self):
-        new = tree.list_tree(self.spark, self.root, recursive=True).where("tag = 'file'")
-        new = tree.with_hashes(new, self.root, self.old).checkpoint()
-        last = changelog.last_seq(self.spark, self.log) if self.version else 0
-        self.version += 1
-        changelog.append_changes(self.old, new, self.log, self.version, last, entries_per_file=3)
-        self.old = new
+    @property
+    def source(self):
+        # New each time, as after a restart.
+        return FolderSource(self.spark, self.root, self.state, self.options)
 
     def follow(self, write=None):
-        changes = changelog.follow(self.spark, self.log, files_per_batch=2)
-        stream = tree.change_records(changes, self.root, 100)
-        query = sink.start(stream, write or sink.action_sink(self.out), self.checkpoint)
+        query = sink.start(
+            self.source.stream(), write or sink.action_sink(self.out), self.checkpoint
+        )
         query.awaitTermination()
         return query
 
     def files(self):
-        live = destination.live_files(sink.read_actions(self.spark, self.out))
-        return dict(as_set(live, "target_path", "hash"))
+        return dict(as_set(sink.current_files(self.spark, self.out), "target_path", "hash"))
 
 
 def test_create_modify_delete_restart(spark, tmp_path):
@@ -50,11 +47,12 @@ def test_create_modify_delete_restart(spark, tmp_path):
     job = Job(spark, tmp_path)
     files = {f"/d{i % 2}/f{i}": rng.randbytes(rng.choice([0, 10, 100, 950])) for i in range(10)}
     fill(job.root, files)
-    job.listing()
+    job.source.poll()
     first = job.follow()
     assert job.files() == {p: store_hash(d) for p, d in files.items()}
-    # Ten changes in files of three, two files per batch.
-    assert len([p for p in first.recentProgress if p["numInputRows"]]) >= 2
+    # Ten changes on pages of at most three, one page per batch.
+    sizes = [p["numInputRows"] for p in first.recentProgress if p["numInputRows"]]
+    assert len(sizes) >= 4
 
     files["/d0/f0"] = b"changed"
     files["/new"] = rng.randbytes(333)
@@ -62,11 +60,12 @@ def test_create_modify_delete_restart(spark, tmp_path):
     for path in ("/d1/f1", "/d1/f3"):
         os.remove(job.root + path)
         del files[path]
-    job.listing()
-    assert changelog.read_log(spark, job.log, after=10).count() == 4
+    job.source.poll()
+    assert changelog.read_log(spark, job.source.log_dir, after=10).count() == 4
     job.follow()  # a new query on the old checkpoint
     assert job.files() == {p: store_hash(d) for p, d in files.items()}
-    # Nothing new, no batch.
+    # Nothing new, no batch; a poll without changes adds none either.
+    job.source.poll()
     assert not [p for p in job.follow().recentProgress if p["numInputRows"]]
 
 
@@ -74,7 +73,7 @@ def test_failed_batch_is_run_again(spark, tmp_path):
     job = Job(spark, tmp_path)
     files = {f"/f{i}": bytes([i]) * (50 * i) for i in range(8)}
     fill(job.root, files)
-    job.listing()
+    job.source.poll()
     good, seen = sink.action_sink(job.out), []
 
     def flaky(rows, batch_id):
@@ -102,7 +101,7 @@ def test_replaying_a_batch_adds_nothing(spark, tmp_path):
     for _ in range(3):
         write(rows, 7)
     assert sink.read_actions(spark, str(tmp_path)).count() == 4
-    bad = spark.read.parquet(str(tmp_path / "errors"))
+    bad = sink.read_errors(spark, str(tmp_path))
     assert as_set(bad, "seq", "error") == {(9, s.ERR_HASH_MISSING)}
     with pytest.raises(sink.StrictError, match="record 9"):
         sink.action_sink(str(tmp_path / "strict"), strict=True)(rows, 0)
@@ -127,15 +126,28 @@ def test_compaction_keeps_the_state(spark, tmp_path):
     assert ("/c/d",) in as_set(sink.current_files(spark, str(tmp_path / "u")), "target_path")
 
 
+def test_snapshot_and_missing_folder(spark, tmp_path):
+    job = Job(spark, tmp_path)
+    fill(job.root, {"/a": b"1", "/d/b": b"2" * 250})
+    rows = job.source.snapshot()
+    assert sorted(r[0] for r in rows.select("key.file_path").collect()) == ["/a"] + ["/d/b"] * 3
+    flat = FolderSource(spark, job.root, job.state, SourceOptions(path="/d"))
+    assert as_set(flat.list(), "path") == {("/d/b",)}
+    with pytest.raises(ValueError, match="error verifying remote path"):
+        FolderSource(spark, job.root, job.state, SourceOptions(path="/nope"))
+
+
 def test_expired_position_relists(spark, tmp_path):
     job = Job(spark, tmp_path)
     fill(job.root, {"/a": b"1", "/b": b"2"})
-    job.listing()
-    rows = changelog.read_log(spark, job.log)
+    job.source.poll()
+    rows = changelog.read_log(spark, job.source.log_dir)
     kept = str(tmp_path / "kept")
     rows.withColumn("seq", F.col("seq") + 100).write.parquet(f"{kept}/version=0000000005")
-    assert as_set(changelog.open_changes(spark, kept, 101, job.old), "seq", "path") == {(102, "/b")}
-    again = changelog.open_changes(spark, kept, 3, job.old)
+    assert as_set(changelog.open_changes(spark, kept, 101, job.source.listing(1)), "seq", "path") == {(102, "/b")}
+    behind = job.source.changes_from(1).select("key.file_path")
+    assert as_set(behind, "file_path") == {("/b",)}
+    again = changelog.open_changes(spark, kept, 3, job.source.listing(1))
     assert as_set(again, "path") == {("/a",), ("/b",)}
 
 
@@ -149,7 +161,7 @@ def run_chunks(spark, batches, base, ttl_ms=3_600_000):
             reassemble_stream(stream, ttl_ms), sink.segment_sink(out), str(base / "ckpt")
         ).awaitTermination()
         time.sleep(0.05)
-    return re.read_segments(spark, f"{out}/segments"), spark.read.schema(s.SEGMENT).parquet(f"{out}/orphans")
+    return sink.read_stream_segments(spark, out), sink.read_orphans(spark, out)
 
 
 def test_state_across_restarts(spark, tmp_path):
