@@ -40,7 +40,7 @@ def drop_deleted_subtrees(
     return (
         joined.groupBy(*keys)
         .agg(F.max("_gone").alias("_gone"), *[F.first(name).alias(name) for name in floats])
-        .where(F.col("_gone").isNull() | (F.col("_gone") < F.col(seq)))
+        .where(F.col("_gone").isNull() | (F.col("_gone") <= F.col(seq)))
         .select(*files.columns)
     )
 

@@ -357,9 +357,10 @@ def q29_stream_reassemble(spark, d):
     files = views.drive_of(documents).withColumn("content_hash", content_hash(F.col("content")))
     work = new_dir(spark, "q29")
     sink.start(
-        reassemble_stream(_chunks_of(files)), sink.segment_sink(work), f"{work}/checkpoint"
+        reassemble_stream(_chunks_of(files)), sink.segment_sink(f"{work}/segments"),
+        f"{work}/checkpoint",
     ).awaitTermination()
-    parts = sink.read_stream_segments(spark, work)
+    parts = sink.read_stream_segments(spark, f"{work}/segments")
     hashes = re.hash_segments(parts)
     return re.manifest(parts).join(hashes, re.FILE_KEY).select(
         F.col("target_path").alias("path"), "bytes", "status", "content_hash"
