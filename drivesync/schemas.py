@@ -91,7 +91,7 @@ SEGMENT = T.StructType([
 # As stored: ``multi`` is the folder, true for files of several segments.
 STORED_SEGMENT = T.StructType(SEGMENT.fields + [T.StructField("multi", T.BooleanType())])
 
-# Checked records as stored; ``failed`` is the folder.
+# Checked records as stored; ``failed`` and ``action`` are folders.
 ACTION = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("action", T.StringType()),

@@ -15,6 +15,10 @@ from drivesync.operators.skew import lookup_join
 from drivesync.schemas import ACTION
 from drivesync.session import NO_DATA_BATCHES, ROCKSDB, STATE_STORE, settings
 
+# Deletes, chunks and whole files are read apart from each other.
+FOLDERS = ["failed", "action"]
+
+
 class StrictError(RuntimeError):
     """A batch held a record that cannot be applied."""
 
@@ -33,7 +37,7 @@ def action_sink(folder: str, base: str | Column = "", strict: bool = False):
             first = rows.where("failed").select("seq", "error").orderBy("seq").limit(1).collect()
             if first:
                 raise StrictError(f"record {first[0]['seq']}: {first[0]['error']}")
-        rows.write.mode("overwrite").partitionBy("failed").parquet(f"{folder}/batch_id={batch_id}")
+        rows.write.mode("overwrite").partitionBy(*FOLDERS).parquet(f"{folder}/batch_id={batch_id}")
 
     return write
 
@@ -104,4 +108,4 @@ def compact(spark: SparkSession, folder: str, out: str) -> None:
     )
     joined.where(keep).select(*actions.columns).withColumn("failed", F.lit(False)).write.mode(
         "errorifexists"
-    ).partitionBy("failed").parquet(f"{out}/batch_id=0")
+    ).partitionBy(*FOLDERS).parquet(f"{out}/batch_id=0")

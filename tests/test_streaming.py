@@ -190,3 +190,11 @@ def test_given_up_segments_are_reported(spark, tmp_path):
     )
     assert as_set(parts, "target_path") == {("/fine",), ("/fine2",)}
     assert as_set(orphans, "target_path", "have", "want") == {("/lost", 2, 3)}
+
+
+def test_stored_actions_are_read_by_kind(spark, tmp_path):
+    rows = records(spark, *chunked(1, "a", b"abcdef", 2), record(9, None, "delete", name="q"))
+    sink.action_sink(str(tmp_path))(rows, 0)
+    actions = sink.read_actions(spark, str(tmp_path))
+    plan = actions.where("action = 'delete'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(failed" in plan and "action" in plan.split("PartitionFilters")[1]
