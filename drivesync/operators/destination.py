@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drivesync.operators.apply import apply_latest
-from drivesync.operators.reassemble import FILE_KEY, chunk_manifest, manifest, segments
+from drivesync.operators.reassemble import FILE_KEY, chunk_manifest, segments
 from drivesync.schemas import ERR_CORRUPT
 
 
@@ -15,6 +15,7 @@ def chunk_rows(parsed: DataFrame) -> DataFrame:
         "chunk_index",
         "size",
         "seq",
+        "length",
         F.coalesce("payload_after", F.lit(b"")).alias("data"),
     )
 
@@ -30,7 +31,7 @@ def full_rows(parsed: DataFrame) -> DataFrame:
         F.lit(0).cast("long").alias("segment"),
         one.alias("have"),
         one.alias("want"),
-        F.octet_length(data).cast("long").alias("bytes"),
+        F.col("length").alias("bytes"),
         "seq",
         F.col("seq").alias("last_seq"),
         "size",
@@ -39,15 +40,12 @@ def full_rows(parsed: DataFrame) -> DataFrame:
 
 
 def file_events(parsed: DataFrame) -> DataFrame:
-    """Commits and deletes by path: the metadata side, without payload columns.
+    """Commits and deletes by path; on stored actions no payload is read.
 
     A write whose stored size is not the declared one is reported by
     ``failed_writes`` and does not become a version of the file.
     """
-    lengths = chunk_rows(parsed).withColumn(
-        "length", F.octet_length("data").cast("long")
-    ).drop("data")
-    chunked = chunk_manifest(lengths).where(F.col("status") == "complete").select(
+    chunked = chunk_manifest(chunk_rows(parsed).drop("data")).where(F.col("status") == "complete").select(
         "target_path", "seq", "size", "hash", "chunk_count", F.lit(False).alias("deleted")
     )
     full = full_rows(parsed).where(F.col("bytes") == F.col("size")).select(
@@ -75,7 +73,9 @@ def failed_writes(parsed: DataFrame) -> DataFrame:
         "target_path", "seq", "bytes", "size",
         F.format_string(f"{ERR_CORRUPT}: stored %d, declared %d", "bytes", "size").alias("error"),
     )
-    chunked = manifest(segments(chunk_rows(parsed))).where(F.col("status") == "corrupt").select(
+    chunked = chunk_manifest(chunk_rows(parsed).drop("data")).where(
+        F.col("status") == "corrupt"
+    ).select(
         "target_path", "seq", "bytes", "size", "error"
     )
     return full.unionByName(chunked)

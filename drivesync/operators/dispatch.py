@@ -67,7 +67,7 @@ def parse_records(
     records: DataFrame, base: str | Column = "", strip_prefix: str | None = None
 ) -> DataFrame:
     """Typed action columns next to the record: action, target_path, chunk_index,
-    chunk_count, hash, size and ``error``.
+    chunk_count, hash, size, the payload's ``length`` and ``error``.
 
     The collection of a record is absolute, so a replica is laid out as base
     plus the full source folder; ``strip_prefix`` removes a leading part of it.
@@ -86,6 +86,7 @@ def parse_records(
         "chunk_count": signed_number(meta(CHUNK_COUNT)),
         "hash": meta(FILE_HASH),
         "size": unsigned_number(meta(FILE_SIZE)),
+        "length": F.coalesce(F.octet_length("payload_after"), F.lit(0)).cast("long"),
         "target_path": target_path(base, collection, meta(FILE_NAME)),
     }
     keep = [c for c in records.columns if c not in fields and c != "error"]

@@ -15,6 +15,7 @@ from drivesync.functions.hashing import block_count, content_hash
 from drivesync.functions.numbers import int_div
 from drivesync.operators.skew import running
 from drivesync.schemas import ERR_CORRUPT, HASH_BLOCK, STORED_SEGMENT
+from drivesync.session import shared_dir
 
 FILE_KEY = ["target_path", "hash", "chunk_count"]
 # 16 chunks of the default 3.75 MiB are 60 MiB.
@@ -25,51 +26,41 @@ def segment_of(index):
     return int_div(index - 1, SEGMENT_CHUNKS)
 
 
-def distinct_chunks(chunks: DataFrame) -> DataFrame:
-    """One row per (file, chunk_index): its latest copy.
-
-    Copies collapse before the shuffle, and the shuffle is by chunk, so
-    neither a huge file nor a chunk sent many times makes a hot task.
-    """
-    return chunks.groupBy(*FILE_KEY, "chunk_index").agg(
-        F.max("seq").alias("seq"),
-        F.max_by("size", "seq").alias("size"),
-        F.max_by("data", "seq").alias("data"),
-    )
-
-
-def segments(chunks: DataFrame, unique: bool = False) -> DataFrame:
+def segments(chunks: DataFrame) -> DataFrame:
     """Segments of ``chunks(target_path, hash, chunk_count, chunk_index, size, seq, data)``.
 
     A segment row has its chunk number ``have``, ``want``, ``bytes``, and the
-    ``content`` of its chunks in order. ``unique`` says that no chunk comes
-    twice (a snapshot emits each once) and saves one shuffle of the payloads.
+    ``content`` of its chunks in order. Of a chunk sent more than once the
+    latest copy is taken.
+
+    Each place in the segment is an aggregate of its own. Copies collapse in
+    front of the one shuffle, a huge file spreads over its segments, and the
+    sort-based aggregation this leads to holds one segment at a time (a
+    collect_list would hold up to 128 in its hash map).
     """
-    rows = chunks if unique else distinct_chunks(chunks)
-    rows = rows.withColumn("segment", segment_of(F.col("chunk_index")))
-    parts = F.sort_array(F.collect_list(F.struct("chunk_index", "data")))
+    places = range(SEGMENT_CHUNKS)
+    place = (F.col("chunk_index") - 1) % SEGMENT_CHUNKS
+    rows = chunks.withColumns({"segment": segment_of(F.col("chunk_index")), "_place": place})
+    at = [F.when(F.col("_place") == i, F.col("seq")) for i in places]
     grouped = rows.groupBy(*FILE_KEY, "segment").agg(
-        parts.alias("_parts"),
-        F.count(F.lit(1)).alias("have"),
-        F.sum(F.octet_length("data")).cast("long").alias("bytes"),
-        F.min("seq").alias("seq"),
+        *[F.max(at[i]).alias(f"_seq{i}") for i in places],
+        *[F.max_by("data", at[i]).alias(f"_data{i}") for i in places],
         F.max("seq").alias("last_seq"),
-        F.max("size").alias("size"),
-    )
-    data = F.col("_parts")["data"]
-    joined = F.concat(
-        *[F.coalesce(F.get(data, F.lit(i)), F.lit(b"")) for i in range(SEGMENT_CHUNKS)]
+        F.max_by("size", "seq").alias("size"),
     )
+    seqs = [F.col(f"_seq{i}") for i in places]
+    datas = [F.coalesce(f"_data{i}", F.lit(b"")) for i in places]
+    content = F.concat(*datas)
     return grouped.select(
         *FILE_KEY,
         "segment",
-        "have",
+        sum((s.isNotNull().cast("long") for s in seqs[1:]), seqs[0].isNotNull().cast("long")).alias("have"),
         segment_want().alias("want"),
-        "bytes",
-        "seq",
+        sum((F.octet_length(d) for d in datas[1:]), F.octet_length(datas[0])).cast("long").alias("bytes"),
+        F.least(*seqs).alias("seq"),
         "last_seq",
         "size",
-        joined.alias("content"),
+        content.alias("content"),
     )
 
 
@@ -141,10 +132,12 @@ def session_offsets(chunks: DataFrame) -> DataFrame:
     ``arrival`` orders the chunks; a file of any size is summed in blocks.
     """
     key = ["target_path", "hash"]
+    shared_dir(chunks.sparkSession)
+    # Kept (no payload in it): the second pass reads it twice.
     opened = running(
         chunks.withColumn("_open", (F.col("chunk_index") == 1).cast("long")),
         key, "arrival", {"session": ("sum", "_open")},
-    )
+    ).checkpoint()
     closes = (F.col("chunk_index") > 1) & (F.col("chunk_index") == F.col("chunk_count"))
     summed = running(
         opened.withColumn("_close", closes.cast("long")),
@@ -209,8 +202,12 @@ def place_segments(parts: DataFrame) -> DataFrame:
 
 
 def hash_blocks(placed: DataFrame, block: int) -> DataFrame:
-    """Content hash of files from segments with ``offset``, block by block."""
-    run_blocks = 16_384
+    """Content hash of files from segments with ``offset``, block by block.
+
+    At the default chunk size (and any other of which 16 make whole blocks)
+    segments end on block borders, and nothing but digests moves.
+    """
+    run_blocks = 4096
     first = int_div(F.col("offset"), block)
     last = int_div(F.col("offset") + F.greatest(F.col("bytes") - 1, F.lit(0)), block)
 

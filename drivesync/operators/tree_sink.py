@@ -19,7 +19,7 @@ from drivesync.operators.reassemble import (
     FILE_KEY, place_segments, read_segments, store_segments,
 )
 from drivesync.schemas import ERR_CORRUPT
-from drivesync.session import new_dir, shared_dir
+from drivesync.session import new_dir, shared_dir, task_count
 from drivesync.sources.tree import PENDING
 
 VERSION = [*FILE_KEY, "size"]
@@ -128,7 +128,8 @@ def write_files(parts: DataFrame, root: str) -> DataFrame:
         .groupBy(*VERSION).agg(F.sum("bytes").alias("bytes"))
         .checkpoint()
     )
-    return written.repartition("target_path").mapInArrow(
+    tasks = task_count(parts.sparkSession)
+    return written.repartition(tasks, "target_path").mapInArrow(
         _commit_files(root), "target_path string, size bigint, status string"
     ).checkpoint()
 
@@ -137,7 +138,8 @@ def delete_paths(paths: DataFrame, root: str) -> DataFrame:
     """Delete files or whole folders; status is deleted, or missing (no error)."""
     shared_dir(paths.sparkSession)
     root = root.rstrip("/")
-    return paths.select("target_path").distinct().mapInArrow(
+    tasks = task_count(paths.sparkSession)
+    return paths.select("target_path").distinct().repartition(tasks, "target_path").mapInArrow(
         _remove_paths(root), "target_path string, status string"
     ).checkpoint()
 

@@ -100,6 +100,7 @@ ACTION = T.StructType([
     T.StructField("chunk_count", T.LongType()),
     T.StructField("hash", T.StringType()),
     T.StructField("size", T.LongType()),
+    T.StructField("length", T.LongType()),
     T.StructField("payload_after", T.BinaryType()),
     T.StructField("error", T.StringType()),
     T.StructField("failed", T.BooleanType()),

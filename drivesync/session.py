@@ -32,6 +32,17 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def task_count(spark: SparkSession) -> int:
+    """Tasks for work whose input rows are tiny and whose effort is not.
+
+    Passed to ``repartition`` as a number: without one, adaptive execution
+    would merge a plan of a few megabytes into one task, whatever it makes
+    that task read or write.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(partitions, 2 * spark.sparkContext.defaultParallelism)
+
+
 @contextlib.contextmanager
 def settings(spark: SparkSession, values: dict[str, str]):
     """Set session options for a block and put the old ones back."""

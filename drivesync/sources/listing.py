@@ -70,7 +70,7 @@ def number_rows(rows: DataFrame, order: str, name: str = "rn") -> DataFrame:
         "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     return (
-        placed.join(offsets, "_part")
+        placed.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_offset") + F.col("_mid") % shift + 1)
         .drop("_part", "_mid", "_offset")
     )

@@ -18,7 +18,7 @@ from drivesync.operators.records import payload_records
 from drivesync.operators.routing import is_file
 from drivesync.options import check_chunk_size, scope_path
 from drivesync.schemas import DEFAULT_CHUNK_SIZE, HASH_BLOCK, TAG_DELETED, TAG_FOLDER
-from drivesync.session import shared_dir
+from drivesync.session import shared_dir, task_count
 
 # Names our own sink uses until a file is complete.
 PENDING = ".drivesync-"
@@ -81,12 +81,12 @@ def list_tree(
     Content hashes are left null, see ``with_hashes``.
     """
     shared_dir(spark)
-    root = root.rstrip("/")
+    root, tasks = root.rstrip("/"), task_count(spark)
     folders = spark.createDataFrame([(scope_path(path),)], "path string")
     levels = []
     while True:
         # Each level is kept: the next one and the result both read it.
-        level = folders.repartition("path").mapInArrow(_scan_folders(root), _LISTED).checkpoint()
+        level = folders.repartition(tasks, "path").mapInArrow(_scan_folders(root), _LISTED).checkpoint()
         levels.append(level)
         folders = level.where(F.col("tag") == TAG_FOLDER).select("path")
         if not recursive or not folders.take(1):
@@ -146,7 +146,8 @@ def read_ranges(plan: DataFrame, root: str) -> DataFrame:
                     held, rows, size = [], [], 0
 
     schema = plan.schema.add("data", "binary")
-    return plan.repartition("path", "start").mapInArrow(read, schema)
+    tasks = task_count(plan.sparkSession)
+    return plan.repartition(tasks, "path", "start").mapInArrow(read, schema)
 
 
 def tree_chunks(listing: DataFrame, root: str, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
