@@ -8,12 +8,13 @@ follows the log from its checkpoint. State lives in two tables below
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from drivesync.operators.records import payload_records
 from drivesync.options import SourceOptions
 from drivesync.schemas import ENTRY
 from drivesync.sources import tree
-from drivesync.streaming import changelog
+from drivesync.streaming import changelog, sink
 
 
 class FolderSource:
@@ -63,6 +64,10 @@ class FolderSource:
         changes = changelog.follow(self.spark, self.log_dir)
         return tree.change_records(changes, self.root, self.options.chunk_size)
 
+    def replicate(self, write, checkpoint: str, once: bool = True) -> StreamingQuery:
+        """Run the change stream into a sink, see ``sink.action_sink``."""
+        return sink.start(self.stream(), write, checkpoint, once, self.options.trigger_interval)
+
     def changes_from(self, saved: int) -> DataFrame:
         """Records behind a saved position, or of everything when it has expired."""
         last = changelog.last_version(self.spark, self.log_dir)

@@ -32,9 +32,7 @@ class Job:
         return FolderSource(self.spark, self.root, self.state, self.options)
 
     def follow(self, write=None):
-        query = sink.start(
-            self.source.stream(), write or sink.action_sink(self.out), self.checkpoint
-        )
+        query = self.source.replicate(write or sink.action_sink(self.out), self.checkpoint)
         query.awaitTermination()
         return query
 
