@@ -15,7 +15,7 @@ from drivesync.functions.hashing import block_count, content_hash
 from drivesync.functions.numbers import int_div
 from drivesync.operators.skew import running
 from drivesync.schemas import ERR_CORRUPT, HASH_BLOCK, STORED_SEGMENT
-from drivesync.session import shared_dir
+from drivesync.session import PAYLOAD_PARQUET, shared_dir
 
 FILE_KEY = ["target_path", "hash", "chunk_count"]
 # 16 chunks of the default 3.75 MiB are 60 MiB.
@@ -156,7 +156,9 @@ def store_segments(parts: DataFrame, folder: str) -> None:
     so that a reader of one kind does not scan the other.
     """
     multi = F.col("chunk_count") > SEGMENT_CHUNKS
-    parts.withColumn("multi", multi).write.mode("overwrite").partitionBy("multi").parquet(folder)
+    parts.withColumn("multi", multi).write.options(**PAYLOAD_PARQUET).mode(
+        "overwrite"
+    ).partitionBy("multi").parquet(folder)
 
 
 def read_segments(spark: SparkSession, folder: str) -> DataFrame:

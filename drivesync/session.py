@@ -10,6 +10,11 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# The Parquet writer looks at its buffer after 100 rows at first; of payloads
+# of many megabytes that would be gigabytes. It also bounds what a reader of
+# whole row groups has to hold.
+PAYLOAD_PARQUET = {"parquet.page.size.row.check.min": "1"}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors share, as named by ``spark.checkpoint.dir``.

@@ -16,6 +16,10 @@ from drivesync.schemas import CHANGE
 from drivesync.sources.listing import list_entries
 
 
+class ExpiredPosition(RuntimeError):
+    """The log no longer holds what follows a saved position."""
+
+
 def append_changes(
     old: DataFrame | None, new: DataFrame, log_dir: str, version: int, last_seq: int,
     entries_per_file: int = 1000,
@@ -58,23 +62,33 @@ def last_seq(spark: SparkSession, log_dir: str) -> int:
 
 def follow(
     spark: SparkSession, log_dir: str, path: str = "", recursive: bool = True,
-    files_per_batch: int = 1,
+    files_per_batch: int = 1, after: int | None = None,
 ) -> DataFrame:
-    """The log as a stream, limited to a folder."""
+    """The log as a stream, limited to a folder; ``after`` is where a new query starts.
+
+    A query with a checkpoint goes on from that. A new one whose position has
+    expired must not start: it would miss what is no longer in the log.
+    """
     scope_path(path)
+    if after is not None and is_expired(spark, log_dir, after):
+        raise ExpiredPosition(f"changes after {after} are no longer kept, a resync is needed")
     log = spark.readStream.schema(CHANGE).option("maxFilesPerTrigger", files_per_batch).parquet(
         f"{log_dir}/version=*"
     )
+    if after is not None:
+        log = changes_after(log, after)
     return log if recursive and not scope_path(path) else list_entries(log, path, recursive)
 
 
+def is_expired(spark: SparkSession, log_dir: str, saved: int) -> bool:
+    asked = spark.createDataFrame([("me", saved)], "consumer string, saved bigint")
+    return resume_decision(asked, read_log(spark, log_dir)).first()["status"] == "resync"
+
+
 def open_changes(spark: SparkSession, log_dir: str, saved: int, listing: DataFrame) -> DataFrame:
     """What a consumer at ``saved`` has to process: the changes behind it, or a
     full relisting when its next change is no longer kept in the log.
     """
-    log = read_log(spark, log_dir)
-    asked = spark.createDataFrame([("me", saved)], "consumer string, saved bigint")
-    status = resume_decision(asked, log).first()["status"]
-    if status == "resync":
+    if is_expired(spark, log_dir, saved):
         return listing.withColumn("seq", F.lit(saved)).select(*CHANGE.names)
-    return changes_after(log, saved)
+    return read_log(spark, log_dir, saved)

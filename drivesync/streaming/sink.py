@@ -13,7 +13,7 @@ from drivesync.operators.dispatch import parse_records
 from drivesync.operators.reassemble import read_segments, store_segments
 from drivesync.operators.skew import lookup_join
 from drivesync.schemas import ACTION
-from drivesync.session import NO_DATA_BATCHES, ROCKSDB, STATE_STORE, settings
+from drivesync.session import NO_DATA_BATCHES, PAYLOAD_PARQUET, ROCKSDB, STATE_STORE, settings
 
 # Deletes, chunks and whole files are read apart from each other.
 FOLDERS = ["failed", "action"]
@@ -23,6 +23,10 @@ class StrictError(RuntimeError):
     """A batch held a record that cannot be applied."""
 
 
+def write_actions(rows: DataFrame, folder: str, mode: str) -> None:
+    rows.write.options(**PAYLOAD_PARQUET).mode(mode).partitionBy(*FOLDERS).parquet(folder)
+
+
 def action_sink(folder: str, base: str | Column = "", strict: bool = False):
     """foreachBatch function: checked records to ``folder``, in one write.
 
@@ -37,7 +41,7 @@ def action_sink(folder: str, base: str | Column = "", strict: bool = False):
             first = rows.where("failed").select("seq", "error").orderBy("seq").limit(1).collect()
             if first:
                 raise StrictError(f"record {first[0]['seq']}: {first[0]['error']}")
-        rows.write.mode("overwrite").partitionBy(*FOLDERS).parquet(f"{folder}/batch_id={batch_id}")
+        write_actions(rows, f"{folder}/batch_id={batch_id}", "overwrite")
 
     return write
 
@@ -106,6 +110,5 @@ def compact(spark: SparkSession, folder: str, out: str) -> None:
         | (~chunk & winner & (F.col("seq") == F.col("_seq")))
         | (chunk & newer)
     )
-    joined.where(keep).select(*actions.columns).withColumn("failed", F.lit(False)).write.mode(
-        "errorifexists"
-    ).partitionBy(*FOLDERS).parquet(f"{out}/batch_id=0")
+    kept = joined.where(keep).select(*actions.columns).withColumn("failed", F.lit(False))
+    write_actions(kept, f"{out}/batch_id=0", "errorifexists")

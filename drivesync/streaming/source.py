@@ -59,9 +59,9 @@ class FolderSource:
         )
         return new_version
 
-    def stream(self) -> DataFrame:
+    def stream(self, after: int | None = None) -> DataFrame:
         """Records of the changes, one log file (a page of entries) per micro-batch."""
-        changes = changelog.follow(self.spark, self.log_dir)
+        changes = changelog.follow(self.spark, self.log_dir, after=after)
         return tree.change_records(changes, self.root, self.options.chunk_size)
 
     def replicate(self, write, checkpoint: str, once: bool = True) -> StreamingQuery:

@@ -16,7 +16,7 @@ def make_session(cpus: str = "8", **options):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="drivesync-ckpt-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="drivesync-wh-"))

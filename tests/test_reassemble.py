@@ -117,3 +117,21 @@ def test_lookup_join_keeps_all_rows(spark):
     for how in ("left", "inner", "left_semi", "left_anti"):
         plain = rows.join(look, "k", how)
         assert as_set(lookup_join(rows, look, ["k"], ["id"], how), *plain.columns) == as_set(plain, *plain.columns)
+
+
+def test_row_groups_stay_small(spark, tmp_path):
+    """The writer must not gather 100 payload rows before it looks at their size."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = [(f"/f{i}", "h", 1, 1, 200_000, i, random.Random(i).randbytes(200_000)) for i in range(40)]
+    parts = re.segments(spark.createDataFrame(rows, CHUNKS)).coalesce(1)
+    spark._jsc.hadoopConfiguration().setInt("parquet.block.size", 1 << 20)
+    try:
+        re.store_segments(parts, str(tmp_path / "s"))
+    finally:
+        spark._jsc.hadoopConfiguration().unset("parquet.block.size")
+    for file in glob.glob(str(tmp_path / "s" / "*" / "*.parquet")):
+        meta = pq.read_metadata(file)
+        assert max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) <= 6

@@ -145,6 +145,9 @@ def test_expired_position_relists(spark, tmp_path):
     assert as_set(changelog.open_changes(spark, kept, 101, job.source.listing(1)), "seq", "path") == {(102, "/b")}
     behind = job.source.changes_from(1).select("key.file_path")
     assert as_set(behind, "file_path") == {("/b",)}
+    with pytest.raises(changelog.ExpiredPosition):
+        changelog.follow(spark, kept, after=3)
+    assert changelog.follow(spark, kept, after=101).isStreaming
     again = changelog.open_changes(spark, kept, 3, job.source.listing(1))
     assert as_set(again, "path") == {("/a",), ("/b",)}
 
