@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drivesync.operators.apply import apply_latest
-from drivesync.operators.reassemble import FILE_KEY, chunk_manifest, segments
+from drivesync.operators.reassemble import FILE_KEY, chunk_manifest, segment_of, segments
 from drivesync.schemas import ERR_CORRUPT
 
 
@@ -87,11 +87,17 @@ def stored_segments(parsed: DataFrame) -> DataFrame:
 
 
 def file_segments(parsed: DataFrame, live: DataFrame) -> DataFrame:
-    """Content of the live files as ordered segments (one for most files)."""
+    """Content of the live files as ordered segments (one for most files).
+
+    The live files are named segment by segment: the join then finds the
+    rebuilt segments partitioned as it needs them, and moves no payload again.
+    """
     version = [*FILE_KEY, "seq"]
-    chunked = segments(chunk_rows(parsed)).join(
-        live.where(F.col("chunk_count") > 0).select(*FILE_KEY), FILE_KEY, "left_semi"
+    last = segment_of(F.col("chunk_count"))
+    wanted = live.where(F.col("chunk_count") > 0).select(
+        *FILE_KEY, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("segment")
     )
+    chunked = segments(chunk_rows(parsed)).join(wanted, [*FILE_KEY, "segment"], "left_semi")
     full = full_rows(parsed).join(
         live.where(F.col("chunk_count") == 0).select(*version), version, "left_semi"
     )

@@ -136,3 +136,21 @@ def test_full_upload(spark, op):
     row = record(1, b"test content", op, collection="/test", name="file.txt", hash="mock-hash", size="12")
     live = destination.live_files(dispatch.parse_records(records(spark, row)))
     assert as_set(live, "target_path", "size") == {("/test/file.txt", 12)}
+
+
+def test_payload_moves_once(spark):
+    """Rebuilt segments are not shuffled again to find the live ones."""
+    rows = chunked(1, "big", b"a" * 40, 1)
+    parsed = dispatch.parse_records(records(spark, *rows))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        parts = destination.file_segments(parsed, destination.live_files(parsed))
+        plan = parts.where("chunk_count > 0")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    lines = plan.splitlines()
+    below = [lines[i + 1] for i, line in enumerate(lines[:-1]) if "Exchange" in line]
+    assert len([line for line in below if "max_by(data" in line]) == 1
+    assert not [line for line in below if "content" in line], plan
