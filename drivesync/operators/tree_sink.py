@@ -18,6 +18,7 @@ from drivesync.operators.destination import file_segments, live_files
 from drivesync.operators.reassemble import (
     FILE_KEY, place_segments, read_segments, store_segments,
 )
+from drivesync.operators.skew import lookup_join
 from drivesync.schemas import ERR_CORRUPT
 from drivesync.session import new_dir, shared_dir, task_count
 from drivesync.sources.tree import PENDING
@@ -144,20 +145,51 @@ def delete_paths(paths: DataFrame, root: str) -> DataFrame:
     ).checkpoint()
 
 
+def write_versions(parsed: DataFrame, files: DataFrame, root: str) -> DataFrame:
+    """Write the given versions of files from the records behind them."""
+    # Rebuilt once, then read by column: offsets first, content for the writing.
+    folder = new_dir(parsed.sparkSession, "segments")
+    store_segments(file_segments(parsed, files), folder)
+    return write_files(read_segments(parsed.sparkSession, folder), root)
+
+
+def status_rows(deleted: DataFrame, written: DataFrame) -> DataFrame:
+    return deleted.select(
+        "target_path", F.lit(None).cast("bigint").alias("size"), "status"
+    ).unionByName(written)
+
+
 def apply_to_tree(parsed: DataFrame, root: str) -> DataFrame:
     """Apply a batch of parsed records to the tree; one status row per touched path.
 
     Deletes go first: what a delete of this batch removes and a later record
     writes again is part of the live files and comes back in the second step.
+    Uploads have to be whole in the batch, see ``publish`` for streams.
     """
     gone = parsed.where((F.col("action") == "delete") & F.col("error").isNull())
     deleted = delete_paths(gone, root)
-    live = live_files(parsed)
-    # Rebuilt once, then read by column: offsets first, content for the writing.
-    folder = new_dir(parsed.sparkSession, "segments")
-    store_segments(file_segments(parsed, live), folder)
-    written = write_files(read_segments(parsed.sparkSession, folder), root)
-    return deleted.select(
-        "target_path", F.lit(None).cast("bigint").alias("size"), "status"
-    ).unionByName(written)
+    live = live_files(parsed).checkpoint()
+    return status_rows(deleted, write_versions(parsed, live, root))
+
 
+def publish(actions: DataFrame, root: str, published: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bring a tree up to date with a table of stored actions.
+
+    ``published(target_path, seq)`` is what the last call left there (empty at
+    first). Only payloads of newer versions are read. Gives the status rows
+    and the table to pass next time.
+    """
+    shared_dir(actions.sparkSession)
+    # Metadata only; kept because every step below asks for it.
+    live = live_files(actions).checkpoint()
+    at = ["target_path", "seq"]
+    new = live.join(published.select(*at), at, "left_anti")
+    gone = published.join(live, "target_path", "left_anti")
+    needed = lookup_join(
+        actions, new.select("target_path"), ["target_path"], ["seq", "chunk_index"], "left_semi"
+    )
+    deleted = delete_paths(gone, root)
+    status = status_rows(deleted, write_versions(needed, new, root))
+    done = status.where(F.col("status") == "ok").select("target_path")
+    kept = published.select(*at).join(live, at, "left_semi")
+    return status, kept.union(new.join(done, "target_path", "left_semi").select(*at)).checkpoint()

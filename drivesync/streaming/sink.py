@@ -12,6 +12,7 @@ from drivesync.operators.destination import live_files
 from drivesync.operators.dispatch import parse_records
 from drivesync.operators.reassemble import read_segments, store_segments
 from drivesync.operators.skew import lookup_join
+from drivesync.options import scope_path
 from drivesync.schemas import ACTION
 from drivesync.session import NO_DATA_BATCHES, PAYLOAD_PARQUET, ROCKSDB, STATE_STORE, settings
 
@@ -33,6 +34,9 @@ def action_sink(folder: str, base: str | Column = "", strict: bool = False):
     Records that fail a check are kept apart as dead letters (``failed``); with
     ``strict`` the first of them fails the batch before anything is written.
     """
+    if isinstance(base, str):
+        scope_path(base)
+
     def write(records: DataFrame, batch_id: int) -> None:
         parsed = parse_records(records, base)
         rows = parsed.withColumn("failed", F.col("error").isNotNull()).select(*ACTION.names)

@@ -69,3 +69,13 @@ def test_require_folder(drive):
         listing.require_folder(drive, "/test-path")
     with pytest.raises(ValueError, match="not a folder"):
         listing.require_folder(drive, "/docs/a.txt")
+
+
+def test_scope_reaches_the_scan(spark, drive, tmp_path):
+    drive.write.parquet(str(tmp_path / "l"))
+    table = spark.read.parquet(str(tmp_path / "l"))
+    for recursive in (False, True):
+        rows = listing.list_entries(table, "/docs", recursive).select("path")
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "StringStartsWith(path,/docs/)" in plan
+        assert "ReadSchema: struct<path:string>" in plan

@@ -6,10 +6,11 @@ import pytest
 from helpers import as_set, chunked, record, records, store_hash
 from pyspark.sql import functions as F
 from test_reassemble import CHUNKS, split
-from test_tree import fill
+from test_tree import fill, read_all
 
 from drivesync import schemas as s
 from drivesync.operators import reassemble as re
+from drivesync.operators import tree_sink
 from drivesync.options import SourceOptions
 from drivesync.streaming import changelog, sink
 from drivesync.streaming.reassembly import reassemble_stream
@@ -199,3 +200,31 @@ def test_stored_actions_are_read_by_kind(spark, tmp_path):
     actions = sink.read_actions(spark, str(tmp_path))
     plan = actions.where("action = 'delete'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(failed" in plan and "action" in plan.split("PartitionFilters")[1]
+
+
+def test_publish_to_a_tree(spark, tmp_path):
+    """Stored actions to files; an upload over two batches shows when it is whole."""
+    def full(seq, name, data):
+        return record(seq, data, collection="/c", name=name, hash=store_hash(data), size=str(len(data)))
+
+    table, root = str(tmp_path / "t"), tmp_path / "r"
+    os.makedirs(root)
+    write = sink.action_sink(table)
+    big = bytes(range(256)) * 5
+    parts = chunked(10, "big", big, 50)
+    published = spark.createDataFrame([], "target_path string, seq long")
+
+    write(records(spark, full(1, "a", b"1"), full(2, "b", b"2"), *parts[:9]), 0)
+    status, published = tree_sink.publish(sink.read_actions(spark, table), str(root), published)
+    assert as_set(status, "target_path", "status") == {("/c/a", "ok"), ("/c/b", "ok")}
+
+    write(records(spark, full(100, "a", b"one"), record(101, None, "delete", collection="/c", name="b"),
+                  *parts[9:]), 1)
+    status, published = tree_sink.publish(sink.read_actions(spark, table), str(root), published)
+    assert as_set(status, "target_path", "status") == {
+        ("/c/a", "ok"), ("/c/b", "deleted"), ("/c/big", "ok"),
+    }
+    assert read_all(root) == {"/c/a": b"one", "/c/big": big}
+
+    status, again = tree_sink.publish(sink.read_actions(spark, table), str(root), published)
+    assert status.count() == 0 and as_set(again, "*") == as_set(published, "*")
