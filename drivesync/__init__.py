@@ -1 +1,8 @@
 """drivesync: file collections as change-data tables and streams on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
