@@ -23,6 +23,12 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def slices(batch, rows: int = 1000):
+    """A batch in parts, so that what Python holds of it stays small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def worker_state() -> dict:
     """A dict that lives as long as the Python worker, over its tasks."""
     name = "_drivesync_worker"

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drivesync.llm.common import WIDTH, Words, blocks, byte_tables, mix
+from drivesync.llm.common import WIDTH, Words, blocks, byte_tables, mix, slices
 
 SIMILARITY = 0.8
 RADIUS = 15
@@ -154,7 +154,7 @@ def contaminations(docs: DataFrame, items: DataFrame, similarity: float = SIMILA
     out = None
     for index in _passes(items, limit):
         def run(batches, index=index):
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole)):
                 found = list(index.scan(batch.column("text").to_pylist(), similarity))
                 if found:
                     at, item, *rest = map(list, zip(*found))
@@ -176,7 +176,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIM
     text = docs.columns.index("text")
     for index in _passes(items, limit):
         def run(batches, index=index):
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole)):
                 bad = {row[0] for row in index.scan(batch.column(text).to_pylist(), similarity)}
                 yield batch.filter(pa.array([k not in bad for k in range(batch.num_rows)], pa.bool_())) if bad else batch
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from drivesync.llm.common import slices
+
 UNKNOWN = "und"
 # Labelled rows a language the classifiers are fitted on, at most (in expectation).
 SAMPLE_ROWS = 500
@@ -135,7 +137,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     schema = T.StructType([docs.schema[c] for c in kept] + added.fields)
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts = batch.column("text").to_pylist()
             decided = [model.decide(t) for t in texts]
             letters = [sum(map(str.isalpha, t)) if t and a else 0 for t, (_, _, a) in zip(texts, decided)]

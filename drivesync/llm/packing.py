@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drivesync.llm.common import stored, worker_state
+from drivesync.llm.common import slices, stored, worker_state
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 1
 # Pieces one task packs. The bins a group leaves part empty are a few of thousands.
 GROUP_PIECES = 65_536
 # Words a worker remembers, cleared when full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 
 class WordEncoder:
@@ -133,7 +133,7 @@ def tokenize(
     def run(batches):
         encoder = _encoder(tokenizer)
         close = np.array([end], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = ([], [], [], [], [], [])
             encoded = encoder.encode(batch.column("text").to_pylist())
             for at, raw in enumerate(encoded):
