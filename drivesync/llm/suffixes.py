@@ -27,11 +27,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drivesync.llm.common import _powers, mix, stored
+from drivesync.llm.common import _powers, mix, slices, stored
 
 LENGTH = 50
 GRAM = 24
-UNIT_BYTES = 8 << 20
+UNIT_BYTES = 4 << 20
 CELL_BYTES = 16 << 20
 CHUNK = 1 << 18
 NO_ID = (1 << 63) - 1
@@ -39,7 +39,7 @@ NO_ID = (1 << 63) - 1
 
 def runs(data: np.ndarray, starts: np.ndarray, length: int):
     """For stretches of a unit: (windows' first bytes a, b inclusive, document
-    index, anchor hash, run hash, function giving the hash of each window)."""
+    index, anchor hash, run hash, the stretch's first and last window)."""
     gram = min(GRAM, length)
     width = length - gram + 1
     bounds = np.append(starts, len(data))
@@ -79,11 +79,17 @@ def runs(data: np.ndarray, starts: np.ndarray, length: int):
                     + (b - a).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
         doc = np.searchsorted(bounds, a + low, side="right") - 1
 
-        def windows(at: np.ndarray, sums=sums, inverse=inverse, low=low) -> np.ndarray:
-            at = at - low
-            return mix((sums[at + length] - sums[at]) * inverse[at] + np.uint64(0xA5A5A5A5))
+        yield a + low, b + low, doc, anchor, whole, (low, high)
 
-        yield a + low, b + low, doc, anchor, whole, windows
+
+def window_hashes(data: np.ndarray, low: int, high: int, at: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the windows that start ``at`` places from ``low`` up to ``high``."""
+    part = data[low:high + length - 1].astype(np.uint64) + np.uint64(1)
+    power, inverse = _powers(len(part) + 1)
+    sums = np.zeros(len(part) + 1, dtype=np.uint64)
+    np.cumsum(part * power[: len(part)], out=sums[1:])
+    at = at - low
+    return mix((sums[at + length] - sums[at]) * inverse[at] + np.uint64(0xA5A5A5A5))
 
 
 def _least(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +136,7 @@ class Unit:
         return out
 
     def found(self):
-        """All runs of the unit, in arrays, and the window hashes by stretch."""
+        """All runs of the unit, in arrays, and how many are in each stretch."""
         got = list(runs(self.data, self.starts, self.length))
         if not got:
             empty = np.zeros(0, dtype=np.int64)
@@ -197,7 +203,7 @@ class Unit:
         covered = keep & (self.ids[doc] > first)
         ask = keep & several & (self.ids[doc] == first)
         starts, docs, hashes, at = [], [], [], 0
-        for n, windows in stretches:
+        for n, (low, high) in stretches:
             mine = np.flatnonzero(ask[at:at + n]) + at
             at += n
             if len(mine):
@@ -205,7 +211,7 @@ class Unit:
                 offset = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
                 starts.append(np.repeat(a[mine], size) + offset)
                 docs.append(np.repeat(self.ids[doc[mine]], size))
-                hashes.append(windows(starts[-1]))
+                hashes.append(window_hashes(self.data, low, high, starts[-1], self.length))
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
         return arrays, covered, join(starts, np.int64), join(docs, np.int64), join(hashes, np.uint64)
 
@@ -289,7 +295,7 @@ _SENT = "cell long, unit long, data binary"
 def _step(units: DataFrame, replies: DataFrame | None, send: str, compare, cells: int, length: int, label: str) -> DataFrame:
     """Send what a unit has to the cells; give the answers, one row a unit."""
     def sending(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             for row in batch.to_pylist():
                 out = list(getattr(Unit(row, cells, length), send)())
                 for at in range(0, len(out), 512):
@@ -383,7 +389,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, unit_bytes: int = UNIT
         three = _step(units, both, "single_windows", _compare_windows, cells, length, "windows").withColumnRenamed("reply", "r3")
 
         def applying(batches):
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole, 1)):
                 for row in batch.to_pylist():
                     unit = Unit(row, cells, length)
                     found = list(unit.result())
