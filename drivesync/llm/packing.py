@@ -9,6 +9,7 @@ is smallest (ties: smallest gap). A bin is opened only where none can take it.
 
 import json
 import zlib
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,28 @@ SEQUENCE_TOKENS = 4096
 END_TOKEN = 1
 # Pieces one task packs. The bins a group leaves part empty are a few of thousands.
 GROUP_PIECES = 65_536
-# Words a worker remembers, cleared when full.
-CACHE_WORDS = 250_000
+# Words, and stems of words, a worker remembers: twice as many at most.
+CACHE_WORDS = 400_000
+
+
+class Recent(dict):
+    """What was looked up last: when it is full it becomes the older generation,
+    from which what is still used is taken over."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def refresh(self, keys: set, learn) -> None:
+        """Have all ``keys``, from the older generation or by ``learn(missing)``."""
+        if len(self) + len(keys) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        missing = keys - self.keys()
+        taken = {k: self.older[k] for k in missing if k in self.older}
+        self.update(taken)
+        if len(taken) < len(missing):
+            learn(missing - taken.keys())
 
 
 class WordEncoder:
@@ -57,9 +78,8 @@ class WordEncoder:
         self.letters = Tokenizer.from_str(json.dumps(spec))
         # Letters that neither composition nor lower case turns into anything but letters.
         self.simple = re.compile("([A-Za-zÀ-ÖØ-öø-į]+)([.,;:!?]*)")
-        self.cut = re.compile("[ \n]+")
-        self.words: dict[str, bytes] = {"": b""}
-        self.stems: dict[str, bytes] = {"": b""}
+        self.words, self.stems = Recent(CACHE_WORDS), Recent(CACHE_WORDS // 2)
+        self.tails = {"": b""}
 
     def _learn_stems(self, stems: list[str]) -> None:
         ids = np.array(self.letters.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -76,36 +96,32 @@ class WordEncoder:
     def _encode(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > CACHE_WORDS:
-            self.words = {"": b""}
-        if len(self.stems) > CACHE_WORDS:
-            self.stems = {"": b""}
-        split = {word: self.simple.fullmatch(word) for word in words}
-        stems = {m[1].lower() for m in split.values() if m} - self.stems.keys()
-        if stems:
-            self._learn_stems(sorted(stems))
-        for word, m in split.items():
+    def _learn(self, words: set[str]) -> None:
+        split = [(word, self.simple.fullmatch(word)) for word in words]
+        self.stems.refresh({m[1].lower() for _, m in split if m}, lambda stems: self._learn_stems(sorted(stems)))
+        tails = self.tails
+        for word, m in split:
             if m is None:
                 self.words[word] = self._encode(word)
-                continue
-            tail = self.stems.get(m[2])
-            if tail is None:
-                tail = self.stems[m[2]] = self._encode(m[2])
-            self.words[word] = self.stems[m[1].lower()] + tail
+            else:
+                tail = m[2]
+                if tail not in tails:
+                    tails[tail] = self._encode(tail)
+                self.words[word] = self.stems[m[1].lower()] + tails[tail]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
         out = []
         for begin in range(0, len(texts), 500):
-            parts = [self.cut.split(t) if t else [] for t in texts[begin:begin + 500]]
-            words = set().union(*parts)
-            missing = words - self.words.keys()
+            parts = [t.replace("\n", " ").split(" ") if t else [] for t in texts[begin:begin + 500]]
+            missing: set[str] = set()
+            for part in parts:
+                missing.update(filterfalse(self.words.__contains__, part))
             if missing:
                 before = len(self.words)
-                self.learn(missing)
-                if len(self.words) < before + len(missing):  # the cache was cleared
-                    self.learn(words - self.words.keys())
+                self.words.refresh(missing, self._learn)
+                if len(self.words) < before:  # a new generation began
+                    self.words.refresh(set().union(*parts), self._learn)
             known = self.words
             out += [b"".join(map(known.__getitem__, part)) for part in parts]
         return out
