@@ -23,11 +23,11 @@ def meta(key: str) -> Column:
 
 def signed_number(text: Column) -> Column:
     """Decimal integer with optional sign, null when it is anything else."""
-    return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint"))
+    return F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast("bigint"))
 
 
 def unsigned_number(text: Column) -> Column:
-    return F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
+    return F.when(text.rlike(r"\A[0-9]+\z"), text.try_cast("bigint"))
 
 
 def action() -> Column:

@@ -29,7 +29,7 @@ def metadata(kind: Column, index: Column, count: Column) -> Column:
     where = place_keys()
     about = [
         F.lit(FILE_ID), F.coalesce(F.col("id"), F.lit("")),
-        F.lit(FILE_SIZE), F.col("size").cast("string"),
+        F.lit(FILE_SIZE), F.coalesce(F.col("size").cast("string"), F.lit("0")),
         F.lit(FILE_HASH), F.coalesce(F.col("content_hash"), F.lit("")),
     ]
     chunk = [

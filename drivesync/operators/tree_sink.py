@@ -100,8 +100,11 @@ def _remove_paths(root):
                     status.append("refused")
                     continue
                 if os.path.isdir(full) and not os.path.islink(full):
-                    shutil.rmtree(full, ignore_errors=True)
-                    status.append("deleted")
+                    try:
+                        shutil.rmtree(full)
+                        status.append("deleted")
+                    except OSError as error:
+                        status.append(f"failed: {error.strerror}")
                 else:
                     try:
                         os.remove(full)

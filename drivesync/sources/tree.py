@@ -32,7 +32,13 @@ _LISTED_ARROW = pa.schema([
 ])
 
 
-def _scan_folders(root):
+def _require(root):
+    """Fail when the tree itself is not there: a lost mount is no empty folder."""
+    if not os.path.isdir(root or "/"):
+        raise FileNotFoundError(f"folder {root!r} is not there, is it mounted?")
+
+
+def _scan_folders(root, top=""):
     def rows(folder):
         with os.scandir(root + folder) as found:
             for item in found:
@@ -59,8 +65,8 @@ def _scan_folders(root):
                             yield to_batch(held)
                             held = []
                 except FileNotFoundError:
-                    # Removed since its parent was listed.
-                    pass
+                    # Removed since its parent was listed; the top has none.
+                    _require(root + top)
                 if held:
                     yield to_batch(held)
 
@@ -86,7 +92,7 @@ def list_tree(
     levels = []
     while True:
         # Each level is kept: the next one and the result both read it.
-        level = folders.repartition(tasks, "path").mapInArrow(_scan_folders(root), _LISTED).checkpoint()
+        level = folders.repartition(tasks, "path").mapInArrow(_scan_folders(root, scope_path(path)), _LISTED).checkpoint()
         levels.append(level)
         folders = level.where(F.col("tag") == TAG_FOLDER).select("path")
         if not recursive or not folders.take(1):
@@ -115,7 +121,8 @@ def read_ranges(plan: DataFrame, root: str) -> DataFrame:
     The plan holds no payload, so spreading it by (path, start) is a cheap
     shuffle that also splits a huge file over all tasks. Out of a task go
     batches of at most 32 MiB plus one range. Ranges of a file that is gone by
-    now give no row: its tombstone is in the next listing. A file that has
+    now give no row: its tombstone is in the next listing. A root that is gone
+    (on this executor, too) fails the task. A file that has
     shrunk gives short ranges, which the size check at the destination finds.
     """
     root = root.rstrip("/")
@@ -137,7 +144,7 @@ def read_ranges(plan: DataFrame, root: str) -> DataFrame:
                     rows.append(i)
                     size += len(data)
                 except (FileNotFoundError, NotADirectoryError):
-                    pass
+                    _require(root)
                 if rows and (size >= READ_BATCH_BYTES or i == len(paths) - 1):
                     part = batch.take(pa.array(rows, pa.int64()))
                     yield pa.RecordBatch.from_arrays(

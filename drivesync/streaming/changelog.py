@@ -6,7 +6,6 @@ checkpoint is the saved position; it moves when a batch is committed. No new
 file means no batch, which is the wait for changes.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +15,10 @@ from drivesync.schemas import CHANGE
 from drivesync.sources.listing import list_entries
 
 
+# Written by Spark when a job has been committed as a whole.
+COMMITTED = "_SUCCESS"
+
+
 class ExpiredPosition(RuntimeError):
     """The log no longer holds what follows a saved position."""
 
@@ -42,22 +45,31 @@ def read_log(spark: SparkSession, log_dir: str, after: int | None = None) -> Dat
     return log if after is None else changes_after(log, after)
 
 
+def committed_versions(spark: SparkSession, log_dir: str) -> list[int]:
+    """Versions with a commit marker, newest first, from folder names alone. A
+    version without one is half written and will be written again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{log_dir}/version=*/{COMMITTED}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted((int(f.getPath().getParent().getName().split("=")[1]) for f in found), reverse=True)
+
+
 def last_version(spark: SparkSession, log_dir: str) -> int:
-    """Newest version that holds changes, 0 without any; reads folder names only."""
-    try:
-        log = spark.read.schema(CHANGE).parquet(log_dir)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return 0
-        raise
-    if "version" not in log.columns:
-        return 0
-    return int(log.agg(F.max("version")).first()[0] or 0)
+    """Newest committed version that holds changes, 0 without any. Reads the
+    newest versions only: up to the first with a row."""
+    for version in committed_versions(spark, log_dir):
+        if not read_version(spark, log_dir, version).isEmpty():
+            return version
+    return 0
 
 
 def last_seq(spark: SparkSession, log_dir: str) -> int:
-    """Newest log position; parquet answers it from file statistics."""
-    return read_log(spark, log_dir).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+    """Newest log position, from the newest version with changes."""
+    last = last_version(spark, log_dir)
+    return read_version(spark, log_dir, last).agg(F.max("seq")).first()[0] if last else 0
+
+
+def read_version(spark: SparkSession, log_dir: str, version: int) -> DataFrame:
+    return spark.read.schema(CHANGE).parquet(f"{log_dir}/version={version:010d}")
 
 
 def follow(
@@ -87,8 +99,10 @@ def is_expired(spark: SparkSession, log_dir: str, saved: int) -> bool:
 
 def open_changes(spark: SparkSession, log_dir: str, saved: int, listing: DataFrame) -> DataFrame:
     """What a consumer at ``saved`` has to process: the changes behind it, or a
-    full relisting when its next change is no longer kept in the log.
+    full relisting when its next change is no longer kept in the log. Relisted
+    rows stand at the newest position, so the consumer goes on from there.
     """
     if is_expired(spark, log_dir, saved):
-        return listing.withColumn("seq", F.lit(saved)).select(*CHANGE.names)
+        newest = last_seq(spark, log_dir)
+        return listing.withColumn("seq", F.lit(newest).cast("long")).select(*CHANGE.names)
     return read_log(spark, log_dir, saved)

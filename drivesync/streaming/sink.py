@@ -1,7 +1,9 @@
 """Table sinks for streams: every micro-batch writes its own folder.
 
-Writing a batch again replaces that folder, so a replay after a failure adds
-nothing twice. Readers see appended actions (or segments) as one table.
+The folder is named by the query, whose id lives in its checkpoint, and the
+batch. Writing a batch again replaces that folder, so a replay after a failure
+adds nothing twice, and a query with another checkpoint never writes into it.
+Readers see appended actions (or segments) as one table.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +20,8 @@ from drivesync.session import NO_DATA_BATCHES, PAYLOAD_PARQUET, ROCKSDB, STATE_S
 
 # Deletes, chunks and whole files are read apart from each other.
 FOLDERS = ["failed", "action"]
+# Set by Spark in the thread of a streaming query; the same after a restart.
+QUERY_ID = "sql.streaming.queryId"
 
 
 class StrictError(RuntimeError):
@@ -28,6 +32,12 @@ def write_actions(rows: DataFrame, folder: str, mode: str) -> None:
     rows.write.options(**PAYLOAD_PARQUET).mode(mode).partitionBy(*FOLDERS).parquet(folder)
 
 
+def batch_folder(spark: SparkSession, folder: str, batch_id: int) -> str:
+    """Folder of a micro-batch; outside of a query batches are named ``local``."""
+    query = spark.sparkContext.getLocalProperty(QUERY_ID) or "local"
+    return f"{folder}/batch_id={query}-{batch_id}"
+
+
 def action_sink(folder: str, base: str | Column = "", strict: bool = False):
     """foreachBatch function: checked records to ``folder``, in one write.
 
@@ -45,14 +55,14 @@ def action_sink(folder: str, base: str | Column = "", strict: bool = False):
             first = rows.where("failed").select("seq", "error").orderBy("seq").limit(1).collect()
             if first:
                 raise StrictError(f"record {first[0]['seq']}: {first[0]['error']}")
-        write_actions(rows, f"{folder}/batch_id={batch_id}", "overwrite")
+        write_actions(rows, batch_folder(records.sparkSession, folder, batch_id), "overwrite")
 
     return write
 
 
 def segment_sink(folder: str):
     """foreachBatch function for the output of ``reassemble_stream``."""
-    return lambda rows, batch_id: store_segments(rows, f"{folder}/batch_id={batch_id}")
+    return lambda rows, batch_id: store_segments(rows, batch_folder(rows.sparkSession, folder, batch_id))
 
 
 def read_stream_segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,4 +125,5 @@ def compact(spark: SparkSession, folder: str, out: str) -> None:
         | (chunk & newer)
     )
     kept = joined.where(keep).select(*actions.columns).withColumn("failed", F.lit(False))
-    write_actions(kept, f"{out}/batch_id=0", "errorifexists")
+    # No batch has this name, so a query may go on in the new folder.
+    write_actions(kept, f"{out}/batch_id=compacted", "errorifexists")
