@@ -18,14 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drivesync.llm.common import slices, stored, worker_state
+from drivesync.llm.common import released, slices, stored, worker_state
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 1
 # Pieces one task packs. The bins a group leaves part empty are a few of thousands.
 GROUP_PIECES = 65_536
 # Words, and stems of words, a worker remembers: twice as many at most.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 class Recent(dict):
@@ -109,11 +109,20 @@ class WordEncoder:
                     tails[tail] = self._encode(tail)
                 self.words[word] = self.stems[m[1].lower()] + tails[tail]
 
+    @staticmethod
+    def _folded(text: str) -> str:
+        """In lower case, if that changes no id: no composition, no special token."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text if "<|" in text else text.lower()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
         out = []
         for begin in range(0, len(texts), 500):
-            parts = [t.replace("\n", " ").split(" ") if t else [] for t in texts[begin:begin + 500]]
+            parts = [self._folded(t).replace("\n", " ").split(" ") if t else [] for t in texts[begin:begin + 500]]
             missing: set[str] = set()
             for part in parts:
                 missing.update(filterfalse(self.words.__contains__, part))
@@ -164,7 +173,7 @@ def tokenize(
                 columns.append(pa.array([np.frombuffer(p, "<u4").astype(np.int32) for p in rows[5]], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(released(run), schema)
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +223,7 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, group: int = GROUP_
         return run(batches) if batches else iter(())
 
     tasks = max(1, -(-pieces.count() // group))
-    return pieces.repartition(tasks).mapInArrow(whole, schema)
+    return pieces.repartition(tasks).mapInArrow(released(whole), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE_TOKENS, end: int = END_TOKEN, ids: bool = False) -> DataFrame:
