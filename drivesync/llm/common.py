@@ -29,6 +29,29 @@ def slices(batch, rows: int = 1000):
         yield batch.slice(at, rows)
 
 
+def released(run):
+    """A task function that hands memory back to the system at its end: workers
+    live on, next to those of other tasks."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow
+
+            worker_state().pop("powers", None)
+            gc.collect()
+            pyarrow.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 def worker_state() -> dict:
     """A dict that lives as long as the Python worker, over its tasks."""
     name = "_drivesync_worker"

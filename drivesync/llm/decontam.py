@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drivesync.llm.common import WIDTH, Words, blocks, byte_tables, mix, slices
+from drivesync.llm.common import WIDTH, Words, blocks, byte_tables, mix, released, slices
 
 SIMILARITY = 0.8
 RADIUS = 15
@@ -166,7 +166,7 @@ def contaminations(docs: DataFrame, items: DataFrame, similarity: float = SIMILA
         from pyspark.sql.pandas.types import to_arrow_type
 
         kind = to_arrow_type(items.schema["item_id"].dataType)
-        part = docs.select("doc_id", "text").mapInArrow(run, schema)
+        part = docs.select("doc_id", "text").mapInArrow(released(run), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -180,5 +180,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIM
                 bad = {row[0] for row in index.scan(batch.column(text).to_pylist(), similarity)}
                 yield batch.filter(pa.array([k not in bad for k in range(batch.num_rows)], pa.bool_())) if bad else batch
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(released(run), docs.schema)
     return docs

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drivesync.llm.common import slices
+from drivesync.llm.common import released, slices
 
 UNKNOWN = "und"
 # Labelled rows a language the classifiers are fitted on, at most (in expectation).
@@ -145,7 +145,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 if texts else [pa.array([], kind) for kind in (pa.string(), pa.float64(), pa.bool_(), pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(released(run), schema)
 
 
 def accepted(identified: DataFrame, columns: list[str]) -> DataFrame:

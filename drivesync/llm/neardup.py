@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drivesync.llm.common import WIDTH, Words, blocks, byte_tables, mix, odd_numbers, stored
+from drivesync.llm.common import WIDTH, Words, blocks, byte_tables, mix, odd_numbers, released, slices, stored
 from drivesync.llm.graph import components
 
 REGISTERS = 252
@@ -30,8 +30,8 @@ RATE = 20.0
 # at the limit is 1e-6 for 85 and 3e-6 for 80.
 BAND_ROWS = {85: 7, 80: 6}
 # Shingles and members of one block of a family.
-BLOCK_SHINGLES = 2_000_000
-BLOCK_MEMBERS = 4096
+BLOCK_SHINGLES = 500_000
+BLOCK_MEMBERS = 1024
 # Standard deviations of the estimate below which a candidate is ruled out.
 DEVIATIONS = 5.0
 LOW48 = (1 << 48) - 1
@@ -93,7 +93,7 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     def run(batches):
         tables = byte_tables()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts = batch.column("text").to_pylist()
             sizes, keys, regs = [], ([], []), []
             for _, size, shingles in shingle_sets(texts, tables, width):
@@ -107,7 +107,7 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys[0], pa.int64()),
                 pa.array(keys[1], pa.int64()), pa.array(regs, pa.binary())], names=schema.names)
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(released(run), schema)
 
 
 def _families(classes: DataFrame, rows: int) -> DataFrame:
@@ -189,7 +189,7 @@ def _links(members: DataFrame, percent: int, width: int) -> DataFrame:
         yield from linked()
 
     groups = ["family", "i", "j"]
-    return members.repartition(*groups).sortWithinPartitions(*groups, "node").mapInArrow(run, schema)
+    return members.repartition(*groups).sortWithinPartitions(*groups, "node").mapInArrow(released(run), schema)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> DataFrame:

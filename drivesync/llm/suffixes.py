@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drivesync.llm.common import _powers, mix, slices, stored
+from drivesync.llm.common import _powers, mix, released, slices, stored
 
 LENGTH = 50
 GRAM = 24
@@ -322,8 +322,8 @@ def _step(units: DataFrame, replies: DataFrame | None, send: str, compare, cells
                 held.append((unit, data))
         yield from answers()
 
-    sent = _with(units, replies).mapInArrow(sending, _SENT)
-    answered = sent.repartition("cell").sortWithinPartitions("cell", "unit").mapInArrow(comparing, _SENT)
+    sent = _with(units, replies).mapInArrow(released(sending), _SENT)
+    answered = sent.repartition("cell").sortWithinPartitions("cell", "unit").mapInArrow(released(comparing), _SENT)
     # One row a unit: no more than it has sent.
     return stored(answered.groupBy("unit").agg(F.collect_list(F.struct("cell", "data")).alias("reply")), label)
 
@@ -377,7 +377,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, unit_bytes: int = UNIT
     cells = max(16, -(-total // cell_bytes))
     texts = rows.where(F.octet_length("text") >= length).groupBy("key").agg(F.min("order").alias("id"), F.first("text").alias("text"))
     name = f"drivesync_units_{uuid.uuid4().hex}"
-    made = texts.select("id", "text").mapInArrow(_unit_rows(length, unit_bytes), "unit long, ids binary, starts binary, data binary")
+    made = texts.select("id", "text").mapInArrow(released(_unit_rows(length, unit_bytes)), "unit long, ids binary, starts binary, data binary")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Bucketed by unit: later joins on it move answers, not texts.
     made.write.option("parquet.page.size.row.check.min", "1").bucketBy(buckets, "unit").saveAsTable(name)
@@ -400,7 +400,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, unit_bytes: int = UNIT
                         pa.array(kept, pa.string())], names=["key", "id", "n_removed", "n_spans", "kept"])
 
         results = stored(_with(units, both.join(three, "unit", "left")).mapInArrow(
-            applying, "key binary, id long, n_removed long, n_spans long, kept string"), "kept")
+            released(applying), "key binary, id long, n_removed long, n_spans long, kept string"), "kept")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     joined = slim.join(results, "key", "left")
