@@ -80,3 +80,12 @@ def test_parsing_happens_once(spark):
     plan = dispatch.split_errors(dispatch.parse_records(rows))[0]
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count(s.ERR_HASH_MISSING) == 1
+
+
+def test_numbers_match_as_a_whole(spark):
+    from drivesync.operators.dispatch import signed_number, unsigned_number
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([("12",), ("12\n",), (" 12",), ("-3",)], "t string")
+    got = rows.select(signed_number(F.col("t")), unsigned_number(F.col("t"))).collect()
+    assert [tuple(r) for r in got] == [(12, 12), (None, None), (None, None), (-3, None)]

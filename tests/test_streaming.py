@@ -228,3 +228,42 @@ def test_publish_to_a_tree(spark, tmp_path):
 
     status, again = tree_sink.publish(sink.read_actions(spark, table), str(root), published)
     assert status.count() == 0 and as_set(again, "*") == as_set(published, "*")
+
+
+def test_queries_share_a_folder(spark, tmp_path):
+    """A second query, with a checkpoint of its own, replaces nothing."""
+    job = Job(spark, tmp_path)
+    files = {f"/f{i}": b"x" * i for i in range(6)}
+    fill(job.root, files)
+    job.source.poll()
+    job.follow()
+    more = {f"/g{i}": b"y" * i for i in range(2)}
+    fill(job.root, more)
+    other = FolderSource(spark, job.root, str(tmp_path / "other-state"), job.options)
+    other.poll()
+    other.replicate(sink.action_sink(job.out), str(tmp_path / "other-checkpoint")).awaitTermination()
+    assert job.files() == {p: store_hash(d) for p, d in (files | more).items()}
+
+
+def test_half_written_version_is_written_again(spark, tmp_path):
+    job = Job(spark, tmp_path)
+    fill(job.root, {f"/f{i}": b"x" * i for i in range(6)})
+    job.source.poll()
+    version = os.path.join(job.source.log_dir, "version=0000000001")
+    parts = sorted(n for n in os.listdir(version) if n.startswith("part-"))
+    for name in ("_SUCCESS", parts[0]):
+        os.remove(os.path.join(version, name))
+    assert changelog.last_version(spark, job.source.log_dir) == 0
+    assert job.source.poll() == 1
+    assert changelog.read_log(spark, job.source.log_dir).count() == 6
+    assert changelog.last_seq(spark, job.source.log_dir) == 6
+
+
+def test_lost_root_fails_the_poll(spark, tmp_path):
+    job = Job(spark, tmp_path)
+    fill(job.root, {"/f": b"x"})
+    source = job.source
+    source.poll()
+    os.rename(job.root, job.root + "-gone")
+    with pytest.raises(Exception, match="is it mounted"):
+        source.poll()
