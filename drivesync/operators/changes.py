@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drivesync.functions.numbers import int_div
+from drivesync.functions.paths import base_name
 from drivesync.operators.routing import is_file
 from drivesync.operators.skew import running
 from drivesync.options import check_positive
@@ -58,17 +59,37 @@ def diff_listings(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def next_changes(old: DataFrame, new: DataFrame, last_seq: int) -> DataFrame:
     """Diff as change-log rows numbered from ``last_seq + 1`` in path order."""
-    diff = diff_listings(old, new).drop("operation", "change_type")
-    # A tombstone names the path only.
+    return number_rows(_tombstones(diff_listings(old, new)), "path", "_rn").withColumn(
+        "seq", F.col("_rn") + F.lit(last_seq)
+    ).drop("_rn")
+
+
+def _tombstones(diff: DataFrame) -> DataFrame:
+    """The log columns of a diff; a tombstone names the path only."""
     gone = F.col("tag") == TAG_DELETED
-    cleared = diff.select(*[
+    rows = diff.drop("operation", "change_type")
+    return rows.select(*[
         F.when(~gone, F.col(c)).alias(c)
         if c in ("id", "size", "content_hash", "server_modified") else F.col(c)
-        for c in diff.columns
+        for c in rows.columns
     ])
-    return number_rows(cleared, "path", "_rn").withColumn(
-        "seq", F.col("_rn") + F.lit(last_seq)
-    ).drop("_rn")
+
+
+def resync_changes(listing: DataFrame, held: DataFrame, seq: int) -> DataFrame:
+    """What turns a consumer that holds ``held(path, content_hash)`` into ``listing``.
+
+    Only what differs is sent again, and what vanished while its position was
+    invalid is deleted. All rows stand at ``seq``, the newest position of the
+    listing, so the consumer goes on behind it; a path has one row.
+    """
+    old = held.select(*[
+        F.col(field.name) if field.name in held.columns else F.lit(None).cast(field.dataType).alias(field.name)
+        for field in listing.schema
+    ])
+    rows = _tombstones(diff_listings(old, listing)).withColumn("seq", F.lit(seq).cast("long"))
+    if "name" in rows.columns:
+        rows = rows.withColumn("name", F.coalesce("name", base_name(F.col("path"))))
+    return rows
 
 
 def resync_since(listing: DataFrame, last_processed_nanos: int) -> DataFrame:

@@ -3,8 +3,10 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from drivesync.functions.hashing import content_hash
 from drivesync.operators.chunking import chunk_count
-from drivesync.schemas import ERR_CORRUPT
+from drivesync.operators.reassemble import FILE_KEY
+from drivesync.schemas import ERR_CORRUPT, ERR_HASH_DIFFERS
 
 
 def check_sizes(files: DataFrame) -> DataFrame:
@@ -18,6 +20,25 @@ def check_sizes(files: DataFrame) -> DataFrame:
     )
 
 
+def verify_hashes(hashed: DataFrame) -> DataFrame:
+    """``hashed`` (the file key and ``content_hash``, see ``hash_segments``) with
+    ``ok``: is the stored content what its producer declared? An empty declared
+    hash claims nothing."""
+    declared = F.col("hash")
+    return hashed.select(*FILE_KEY, "content_hash", ((declared == "") | (declared == F.col("content_hash"))).alias("ok"))
+
+
+def refuse_wrong_hashes(parsed: DataFrame) -> DataFrame:
+    """Parsed records, with an error on whole writes whose payload is not the
+    declared content. Chunks are checked when their file is put together."""
+    payload = F.coalesce("payload_after", F.lit(b""))
+    wrong = (
+        F.col("error").isNull() & (F.col("action") == "full") & (F.col("length") == F.col("size"))
+        & (F.col("hash") != "") & (content_hash(payload) != F.col("hash"))
+    )
+    return parsed.withColumn("error", F.when(wrong, ERR_HASH_DIFFERS).otherwise(F.col("error")))
+
+
 def sync_report(files: DataFrame, chunk_size: int) -> DataFrame:
     """Files, bytes and records (chunks; one for a whole file) per collection."""
     return files.groupBy("collection").agg(

@@ -6,6 +6,7 @@ its name only after all of it is there and its size is right. Every step can
 be repeated: a retried task writes the same bytes to the same place.
 """
 
+import contextlib
 import hashlib
 import os
 import shutil
@@ -15,12 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drivesync.operators.destination import file_segments, live_files
+from drivesync.operators.integrity import verify_hashes
 from drivesync.operators.reassemble import (
-    FILE_KEY, place_segments, read_segments, store_segments,
+    FILE_KEY, hash_segments, place_segments, read_segments, store_segments,
 )
 from drivesync.operators.skew import lookup_join
-from drivesync.schemas import ERR_CORRUPT
-from drivesync.session import new_dir, shared_dir, task_count
+from drivesync.schemas import ERR_CORRUPT, ERR_HASH_DIFFERS
+from drivesync.session import new_dir, remove_dir, shared_dir, task_count
 from drivesync.sources.tree import PENDING
 
 VERSION = [*FILE_KEY, "size"]
@@ -59,27 +61,44 @@ def _write_pieces(root):
     return write
 
 
+def _move(name, target):
+    try:
+        os.replace(name, target)
+    except IsADirectoryError:
+        # A folder that deletes have emptied; one with files in it stays and the move fails.
+        for folder, _, _ in os.walk(target, topdown=False):
+            os.rmdir(folder)
+        os.replace(name, target)
+
+
 def _commit_files(root):
     def commit(batches):
         for batch in batches:
             rows = batch.to_pydict()
             status = []
-            for path, file_hash, count, size, written in zip(
-                *(rows[n] for n in (*VERSION, "bytes"))
+            for path, file_hash, count, size, written, right in zip(
+                *(rows[n] for n in (*VERSION, "bytes", "ok"))
             ):
                 name = pending_name(root, path, (file_hash, count, size))
                 try:
+                    if not right:
+                        with contextlib.suppress(FileNotFoundError):
+                            os.remove(name)
+                        status.append(ERR_HASH_DIFFERS)
+                        continue
                     if os.path.exists(name):
                         if written != size or os.path.getsize(name) != size:
                             os.remove(name)
                             status.append(f"{ERR_CORRUPT}: stored {written}, declared {size}")
                             continue
-                        os.replace(name, root + path)
+                        _move(name, root + path)
                     # Else an earlier attempt of this task has moved it.
                     ok = os.path.isfile(root + path) and os.path.getsize(root + path) == size
                     status.append("ok" if ok else "missing after commit")
                 except OSError as error:
                     status.append(f"failed: {error.strerror}")
+                    with contextlib.suppress(OSError):
+                        os.remove(name)
             yield pa.RecordBatch.from_pydict({
                 "target_path": batch.column("target_path"),
                 "size": batch.column("size"),
@@ -118,10 +137,12 @@ def _remove_paths(root):
     return remove
 
 
-def write_files(parts: DataFrame, root: str) -> DataFrame:
+def write_files(parts: DataFrame, root: str, verify: bool = True) -> DataFrame:
     """Write the files made of stored segments; gives target_path, size, status per file.
 
-    Two jobs: all pieces first, then sizes are checked and files renamed.
+    Two jobs: all pieces first, then sizes are checked and files renamed. With
+    ``verify`` a file whose content is not what its hash declares is not
+    renamed; only hashes meet the rows of the pieces, no payload.
     """
     shared_dir(parts.sparkSession)
     root = root.rstrip("/")
@@ -132,6 +153,11 @@ def write_files(parts: DataFrame, root: str) -> DataFrame:
         .groupBy(*VERSION).agg(F.sum("bytes").alias("bytes"))
         .checkpoint()
     )
+    if verify:
+        checked = verify_hashes(hash_segments(parts)).select(*FILE_KEY, "ok")
+        written = written.join(checked, FILE_KEY)
+    else:
+        written = written.withColumn("ok", F.lit(True))
     tasks = task_count(parts.sparkSession)
     return written.repartition(tasks, "target_path").mapInArrow(
         _commit_files(root), "target_path string, size bigint, status string"
@@ -148,12 +174,17 @@ def delete_paths(paths: DataFrame, root: str) -> DataFrame:
     ).checkpoint()
 
 
-def write_versions(parsed: DataFrame, files: DataFrame, root: str) -> DataFrame:
+def write_versions(parsed: DataFrame, files: DataFrame, root: str, verify: bool = True) -> DataFrame:
     """Write the given versions of files from the records behind them."""
     # Rebuilt once, then read by column: offsets first, content for the writing.
-    folder = new_dir(parsed.sparkSession, "segments")
-    store_segments(file_segments(parsed, files), folder)
-    return write_files(read_segments(parsed.sparkSession, folder), root)
+    spark = parsed.sparkSession
+    folder = new_dir(spark, "segments")
+    try:
+        store_segments(file_segments(parsed, files), folder)
+        return write_files(read_segments(spark, folder), root, verify)
+    finally:
+        # The status rows are checkpointed; nothing reads the segments again.
+        remove_dir(spark, folder)
 
 
 def status_rows(deleted: DataFrame, written: DataFrame) -> DataFrame:
@@ -162,7 +193,7 @@ def status_rows(deleted: DataFrame, written: DataFrame) -> DataFrame:
     ).unionByName(written)
 
 
-def apply_to_tree(parsed: DataFrame, root: str) -> DataFrame:
+def apply_to_tree(parsed: DataFrame, root: str, verify: bool = True) -> DataFrame:
     """Apply a batch of parsed records to the tree; one status row per touched path.
 
     Deletes go first: what a delete of this batch removes and a later record
@@ -172,15 +203,18 @@ def apply_to_tree(parsed: DataFrame, root: str) -> DataFrame:
     gone = parsed.where((F.col("action") == "delete") & F.col("error").isNull())
     deleted = delete_paths(gone, root)
     live = live_files(parsed).checkpoint()
-    return status_rows(deleted, write_versions(parsed, live, root))
+    return status_rows(deleted, write_versions(parsed, live, root, verify))
 
 
-def publish(actions: DataFrame, root: str, published: DataFrame) -> tuple[DataFrame, DataFrame]:
+def publish(
+    actions: DataFrame, root: str, published: DataFrame, verify: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """Bring a tree up to date with a table of stored actions.
 
     ``published(target_path, seq)`` is what the last call left there (empty at
-    first). Only payloads of newer versions are read. Gives the status rows
-    and the table to pass next time.
+    first). Gives the status rows and the table to pass next time. What failed
+    to be written or deleted keeps its old row there and is tried again by the
+    next call.
     """
     shared_dir(actions.sparkSession)
     # Metadata only; kept because every step below asks for it.
@@ -192,7 +226,8 @@ def publish(actions: DataFrame, root: str, published: DataFrame) -> tuple[DataFr
         actions, new.select("target_path"), ["target_path"], ["seq", "chunk_index"], "left_semi"
     )
     deleted = delete_paths(gone, root)
-    status = status_rows(deleted, write_versions(needed, new, root))
+    status = status_rows(deleted, write_versions(needed, new, root, verify))
     done = status.where(F.col("status") == "ok").select("target_path")
-    kept = published.select(*at).join(live, at, "left_semi")
+    settled = status.where(F.col("status").isin("ok", "deleted", "missing", "refused")).select("target_path")
+    kept = published.select(*at).join(settled, "target_path", "left_anti")
     return status, kept.union(new.join(done, "target_path", "left_semi").select(*at)).checkpoint()

@@ -48,8 +48,10 @@ class SourceOptions:
     max_entries_per_batch: int = 1000
     recursive: bool = False
     trigger_interval: str = "30 seconds"
+    files_per_batch: int = 1
 
     def __post_init__(self):
         scope_path(self.path)
         check_chunk_size(self.chunk_size)
         check_page_size(self.max_entries_per_batch)
+        check_positive("files_per_batch", self.files_per_batch)

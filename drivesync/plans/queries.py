@@ -19,7 +19,7 @@ from drivesync.plans import views
 from drivesync.plans.views import CHUNK
 from drivesync.schemas import (
     CHUNK_COUNT, CHUNK_INDEX, CHUNK_INFO, COLLECTION, FILE_CHUNKED, FILE_HASH, FILE_ID, FILE_NAME, FILE_PATH,
-    FILE_SIZE,
+    FILE_SIZE, TAG_DELETED,
 )
 from drivesync.session import new_dir
 from drivesync.sources import listing
@@ -168,6 +168,16 @@ def q15_resync_decision(spark, d):
     return changes.resume_decision(consumers, kept)
 
 
+def q15_resync_apply(spark, d):
+    """A consumer of listing A whose position expired ends with listing B."""
+    held = views.old_listing(spark, d).select("path", "content_hash")
+    missed = changes.resync_changes(views.new_listing(spark, d), held, RETAINED_FROM)
+    events = held.select(
+        "path", "content_hash", F.lit(0).cast("long").alias("seq"), F.lit(False).alias("deleted")
+    ).union(missed.select("path", "content_hash", "seq", F.col("tag") == TAG_DELETED))
+    return apply.apply_latest(events).select("path", "content_hash")
+
+
 def _positions(spark, d):
     plan = chunking.plan_chunks(
         views.drive(spark, d).drop("content", "name"), CHUNK
@@ -405,6 +415,19 @@ def q34_block_hash(spark, d):
     )
 
 
+def q34_verify_hashes(spark, d):
+    """Stored files against declared hashes; those of one source declare another's content."""
+    files = views.records(spark, d)
+    damaged = F.split("key.file_path", "/")[1] == views.BAD_HASH
+    other = F.transform_values(
+        "metadata", lambda key, value: F.when(damaged & (key == FILE_HASH), F.sha2(value, 256)).otherwise(value)
+    )
+    parsed = dispatch.parse_records(files.withColumn("metadata", other))
+    parts = _stored(spark, destination.stored_segments(parsed), "q34")
+    checked = integrity.verify_hashes(re.hash_segments(parts))
+    return checked.select(F.col("target_path").alias("path"), "content_hash", "ok")
+
+
 def q35_sync_report(spark, d):
     files = views.drive(spark, d).select("size", parent_dir(F.col("path")).alias("collection"))
     return integrity.sync_report(files, CHUNK)

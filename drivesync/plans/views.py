@@ -119,6 +119,7 @@ def records(spark: SparkSession, sf_dir: str, chunk_size: int = CHUNK) -> DataFr
 # What is wrong with the records of a source folder.
 NO_HASH, NO_SIZE, BAD_SIZE, NO_NAME = "src1", "src2", "src3", "src4"
 NO_INDEX, NO_COUNT, BAD_INDEX, BAD_COUNT = "src5", "src6", "src7", "src8"
+BAD_HASH = "src3"
 FAULTY_SOURCES = [
     NO_HASH, NO_SIZE, BAD_SIZE, NO_NAME, NO_INDEX, NO_COUNT, BAD_INDEX, BAD_COUNT,
 ]

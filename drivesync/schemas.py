@@ -33,6 +33,7 @@ ERR_CORRUPT = "corrupt file upload"
 # Ours: conditions the fixed texts above have no name for.
 ERR_INDEX_RANGE = "invalid chunk: index out of range"
 ERR_ESCAPE = "path escapes base"
+ERR_HASH_DIFFERS = "corrupt file upload: content hash differs"
 
 # Store hash: sha256 over the concatenated sha256 of each 4 MiB block.
 HASH_BLOCK = 4 * 1024 * 1024
@@ -51,6 +52,10 @@ ENTRY = T.StructType([
 
 CHANGE = T.StructType([T.StructField("seq", T.LongType())] + ENTRY.fields)
 
+# As kept in the log: ``mark`` is the newest modification time (nanoseconds)
+# of the files before the entry, which positions carry.
+LOGGED = T.StructType(CHANGE.fields + [T.StructField("mark", T.LongType())])
+
 CHUNK_INFO = T.StructType([
     T.StructField("file_id", T.StringType()),
     T.StructField("file_path", T.StringType()),

@@ -178,7 +178,10 @@ def tree_payloads(listing: DataFrame, root: str, chunk_size: int = DEFAULT_CHUNK
 def change_records(
     changes: DataFrame, root: str, chunk_size: int = DEFAULT_CHUNK_SIZE
 ) -> DataFrame:
-    """Records of change-log rows (batch or stream), bytes read from the tree."""
+    """Records of change-log rows (batch or stream), bytes read from the tree.
+
+    Positions of deletes and of unfinished files carry the ``mark`` of the log.
+    """
     gone = changes.where(F.col("tag") == TAG_DELETED).withColumns({
         "kind": F.lit("delete"),
         "chunk_count": F.lit(None).cast("long"),
@@ -188,7 +191,8 @@ def change_records(
     kind = F.when(F.col("chunk_index").isNull(), "full").otherwise("chunked")
     written = tree_payloads(changes, root, chunk_size).withColumn("kind", kind)
     rows = written.drop("start", "end").unionByName(gone)
-    return payload_records(rows, F.col("seq").cast("string"))
+    mark = F.coalesce("mark", F.lit(0).cast("long")) if "mark" in changes.columns else None
+    return payload_records(rows, F.col("seq").cast("string"), mark)
 
 
 def with_hashes(listing: DataFrame, root: str, known: DataFrame | None = None) -> DataFrame:

@@ -9,9 +9,13 @@ file means no batch, which is the wait for changes.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drivesync.operators.changes import changes_after, next_changes, resume_decision
-from drivesync.options import check_page_size, scope_path
-from drivesync.schemas import CHANGE
+from drivesync.functions.positions import unix_nanos
+from drivesync.operators.changes import changes_after, next_changes, resume_decision, resync_changes
+from drivesync.operators.routing import is_file
+from drivesync.operators.skew import running
+from drivesync.options import check_page_size, check_positive, scope_path
+from drivesync.schemas import CHANGE, LOGGED
+from drivesync.session import remove_dir
 from drivesync.sources.listing import list_entries
 
 
@@ -25,32 +29,74 @@ class ExpiredPosition(RuntimeError):
 
 def append_changes(
     old: DataFrame | None, new: DataFrame, log_dir: str, version: int, last_seq: int,
-    entries_per_file: int = 1000,
+    entries_per_file: int = 1000, last_mark: int = 0,
 ) -> None:
     """Append the diff of two listings as log version ``version``.
 
     ``old`` is None for the first snapshot. Writing a version again replaces
-    it, so a failed job can simply be run again.
+    it, so a failed job can simply be run again. ``last_mark`` is the mark
+    behind the versions before it, see ``last_position``.
     """
     check_page_size(entries_per_file)
     before = new.limit(0) if old is None else old
-    rows = next_changes(before, new, last_seq).select(*CHANGE.names)
-    rows.write.mode("overwrite").option("maxRecordsPerFile", entries_per_file).parquet(
+    rows = next_changes(before, new, last_seq).withColumn("_ns", _modified())
+    rows = running(rows, [], "seq", {"_seen": ("max", "_ns")}, inclusive=False)
+    mark = F.greatest(F.coalesce("_seen", F.lit(0).cast("long")), F.lit(last_mark).cast("long"))
+    rows.withColumn("mark", mark).select(*LOGGED.names).sortWithinPartitions("seq").write.mode("overwrite").option("maxRecordsPerFile", entries_per_file).parquet(
         f"{log_dir}/version={version:010d}"
     )
 
 
+def _modified():
+    return F.when(is_file(F.col("tag")), unix_nanos(F.col("server_modified")))
+
+
 def read_log(spark: SparkSession, log_dir: str, after: int | None = None) -> DataFrame:
-    log = spark.read.schema(CHANGE).option("basePath", log_dir).parquet(f"{log_dir}/version=*")
+    log = spark.read.schema(LOGGED).option("basePath", log_dir).parquet(f"{log_dir}/version=*")
     return log if after is None else changes_after(log, after)
 
 
+def _versions(spark: SparkSession, folder: str, suffix: str = "") -> list[int]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version=*{suffix}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    paths = (f.getPath().getParent() if suffix else f.getPath() for f in found)
+    return sorted((int(p.getName().split("=")[1]) for p in paths), reverse=True)
+
+
+def _version_dir(folder: str, version: int) -> str:
+    return f"{folder}/version={version:010d}"
+
+
 def committed_versions(spark: SparkSession, log_dir: str) -> list[int]:
     """Versions with a commit marker, newest first, from folder names alone. A
     version without one is half written and will be written again."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{log_dir}/version=*/{COMMITTED}")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    return sorted((int(f.getPath().getParent().getName().split("=")[1]) for f in found), reverse=True)
+    return _versions(spark, log_dir, f"/{COMMITTED}")
+
+
+def trim(spark: SparkSession, folder: str, before: int) -> None:
+    """Remove the versions below ``before`` of a log or of the listings."""
+    for version in _versions(spark, folder):
+        if version < before:
+            remove_dir(spark, _version_dir(folder, version))
+
+
+def delivered_version(spark: SparkSession, folder: str) -> int | None:
+    """Newest log version a query has delivered entries of, as noted in ``folder``."""
+    return next(iter(_versions(spark, folder)), None)
+
+
+def note_delivered(spark: SparkSession, folder: str, version: int) -> None:
+    """Note it as an empty folder; older notes go."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_version_dir(folder, version))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    trim(spark, folder, version)
+
+
+def check_no_gap(seen: list[int], last: int) -> None:
+    """Versions follow one another, so a batch that skips one has lost its entries."""
+    gap = set(range(last + 1, max(seen, default=last) + 1)) - set(seen)
+    if gap:
+        raise ExpiredPosition(f"log version {min(gap)} is no longer kept, a resync is needed")
 
 
 def last_version(spark: SparkSession, log_dir: str) -> int:
@@ -64,12 +110,22 @@ def last_version(spark: SparkSession, log_dir: str) -> int:
 
 def last_seq(spark: SparkSession, log_dir: str) -> int:
     """Newest log position, from the newest version with changes."""
+    return last_position(spark, log_dir)[1]
+
+
+def last_position(spark: SparkSession, log_dir: str) -> tuple[int, int, int]:
+    """Newest version with changes, its last position, and the mark behind it."""
     last = last_version(spark, log_dir)
-    return read_version(spark, log_dir, last).agg(F.max("seq")).first()[0] if last else 0
+    if not last:
+        return 0, 0, 0
+    seq, mark = read_version(spark, log_dir, last).agg(
+        F.max("seq"), F.max(F.greatest("mark", _modified()))
+    ).first()
+    return last, seq, mark or 0
 
 
 def read_version(spark: SparkSession, log_dir: str, version: int) -> DataFrame:
-    return spark.read.schema(CHANGE).parquet(f"{log_dir}/version={version:010d}")
+    return spark.read.schema(LOGGED).parquet(_version_dir(log_dir, version))
 
 
 def follow(
@@ -77,6 +133,7 @@ def follow(
     files_per_batch: int = 1, after: int | None = None,
 ) -> DataFrame:
     """The log as a stream, limited to a folder; ``after`` is where a new query starts.
+    ``version`` is the log version of an entry.
 
     A query with a checkpoint goes on from that. A new one whose position has
     expired must not start: it would miss what is no longer in the log.
@@ -84,9 +141,12 @@ def follow(
     scope_path(path)
     if after is not None and is_expired(spark, log_dir, after):
         raise ExpiredPosition(f"changes after {after} are no longer kept, a resync is needed")
-    log = spark.readStream.schema(CHANGE).option("maxFilesPerTrigger", files_per_batch).parquet(
+    check_positive("files_per_batch", files_per_batch)
+    log = spark.readStream.schema(LOGGED).option("maxFilesPerTrigger", files_per_batch).parquet(
         f"{log_dir}/version=*"
     )
+    version = F.regexp_extract("_metadata.file_path", r"/version=([0-9]+)/", 1).cast("long")
+    log = log.select("*", version.alias("version"))
     if after is not None:
         log = changes_after(log, after)
     return log if recursive and not scope_path(path) else list_entries(log, path, recursive)
@@ -97,12 +157,24 @@ def is_expired(spark: SparkSession, log_dir: str, saved: int) -> bool:
     return resume_decision(asked, read_log(spark, log_dir)).first()["status"] == "resync"
 
 
-def open_changes(spark: SparkSession, log_dir: str, saved: int, listing: DataFrame) -> DataFrame:
+def open_changes(
+    spark: SparkSession, log_dir: str, saved: int, listing: DataFrame, held: DataFrame | None = None,
+    mark: int = 0,
+) -> DataFrame:
     """What a consumer at ``saved`` has to process: the changes behind it, or a
     full relisting when its next change is no longer kept in the log. Relisted
     rows stand at the newest position, so the consumer goes on from there.
+
+    With ``held(path, content_hash)``, the files the consumer has, a relisting
+    is cut to what differs and deletes what vanished; without it, everything
+    there is comes again and nothing is deleted. ``mark`` is the mark saved
+    with the position.
     """
-    if is_expired(spark, log_dir, saved):
-        newest = last_seq(spark, log_dir)
-        return listing.withColumn("seq", F.lit(newest).cast("long")).select(*CHANGE.names)
-    return read_log(spark, log_dir, saved)
+    if not is_expired(spark, log_dir, saved):
+        return read_log(spark, log_dir, saved)
+    newest = last_seq(spark, log_dir)
+    if held is None:
+        rows = listing.withColumn("seq", F.lit(newest).cast("long"))
+    else:
+        rows = resync_changes(listing, held, newest)
+    return rows.select(*CHANGE.names, F.lit(mark).cast("long").alias("mark"))

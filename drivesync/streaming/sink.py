@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from drivesync.operators.destination import live_files
 from drivesync.operators.dispatch import parse_records
+from drivesync.operators.integrity import refuse_wrong_hashes
 from drivesync.operators.reassemble import read_segments, store_segments
 from drivesync.operators.skew import lookup_join
 from drivesync.options import scope_path
@@ -38,24 +39,31 @@ def batch_folder(spark: SparkSession, folder: str, batch_id: int) -> str:
     return f"{folder}/batch_id={query}-{batch_id}"
 
 
-def action_sink(folder: str, base: str | Column = "", strict: bool = False):
+def action_sink(folder: str, base: str | Column = "", strict: bool = False, verify: bool = True,
+                strip_prefix: str | None = None):
     """foreachBatch function: checked records to ``folder``, in one write.
 
-    Records that fail a check are kept apart as dead letters (``failed``); with
-    ``strict`` the first of them fails the batch before anything is written.
+    Records that fail a check are kept apart as dead letters (``failed``), with
+    ``verify`` also whole files that are not what their hash declares. With
+    ``strict`` the records before the first failing one are written, and the
+    batch fails.
     """
     if isinstance(base, str):
         scope_path(base)
 
     def write(records: DataFrame, batch_id: int) -> None:
-        parsed = parse_records(records, base)
+        parsed = parse_records(records, base, strip_prefix)
+        parsed = refuse_wrong_hashes(parsed) if verify else parsed
         rows = parsed.withColumn("failed", F.col("error").isNotNull()).select(*ACTION.names)
+        target = batch_folder(records.sparkSession, folder, batch_id)
         if strict:
-            # Reads the metadata only, no payload.
-            first = rows.where("failed").select("seq", "error").orderBy("seq").limit(1).collect()
-            if first:
+            place = F.struct("seq", F.coalesce("chunk_index", F.lit(0).cast("long")).alias("chunk"))
+            first = rows.where("failed").agg(F.min_by(F.struct("seq", "error"), place), F.min(place)).first()
+            if first[0]:
+                at = F.struct(*[F.lit(v).cast("long").alias(n) for n, v in first[1].asDict().items()])
+                write_actions(rows.where(place < at), target, "overwrite")
                 raise StrictError(f"record {first[0]['seq']}: {first[0]['error']}")
-        write_actions(rows, batch_folder(records.sparkSession, folder, batch_id), "overwrite")
+        write_actions(rows, target, "overwrite")
 
     return write
 

@@ -6,6 +6,8 @@ follows the log from its checkpoint. State lives in two tables below
 ``state_dir``: the last listings, and the log.
 """
 
+from __future__ import annotations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -46,30 +48,75 @@ class FolderSource:
         The new listing is written before the log, under the number of the log
         version it leads to, so a poll that died can simply be run again.
         """
-        last = changelog.last_version(self.spark, self.log_dir)
+        last, seq, mark = changelog.last_position(self.spark, self.log_dir)
         old = self.listing(last) if last else None
-        seq = changelog.last_seq(self.spark, self.log_dir) if last else 0
         new_version = last + 1
         self.list(old).select(*ENTRY.names).write.mode("overwrite").parquet(
             f"{self.listing_dir}/version={new_version:010d}"
         )
         changelog.append_changes(
             old, self.listing(new_version), self.log_dir, new_version, seq,
-            self.options.max_entries_per_batch,
+            self.options.max_entries_per_batch, mark,
         )
         return new_version
 
-    def stream(self, after: int | None = None) -> DataFrame:
-        """Records of the changes, one log file (a page of entries) per micro-batch."""
-        changes = changelog.follow(self.spark, self.log_dir, after=after)
+    def changes(self, after: int | None = None) -> DataFrame:
+        """The log as a stream, ``files_per_batch`` of its files (pages) per micro-batch."""
+        return changelog.follow(
+            self.spark, self.log_dir, files_per_batch=self.options.files_per_batch, after=after
+        )
+
+    def records(self, changes: DataFrame) -> DataFrame:
         return tree.change_records(changes, self.root, self.options.chunk_size)
 
-    def replicate(self, write, checkpoint: str, once: bool = True) -> StreamingQuery:
-        """Run the change stream into a sink, see ``sink.action_sink``."""
-        return sink.start(self.stream(), write, checkpoint, once, self.options.trigger_interval)
+    def stream(self, after: int | None = None) -> DataFrame:
+        """Records of the changes. A log trimmed in front of this stream goes
+        unnoticed, see ``replicate``."""
+        return self.records(self.changes(after))
+
+    def replicate(self, write, checkpoint: str, once: bool = True, after: int | None = None) -> StreamingQuery:
+        """Run the change stream into a sink, see ``sink.action_sink``.
+
+        The log version delivered last is noted next to the checkpoint. A batch
+        that skips a version fails with ``ExpiredPosition``: what it held was
+        trimmed unread. Go on with ``changes_from`` and a new checkpoint with
+        ``after``, the position of the relisting.
+        """
+        notes = delivered_notes(checkpoint)
+
+        def deliver(changes: DataFrame, batch_id: int) -> None:
+            spark = changes.sparkSession
+            # As many as the batch has log files at most.
+            seen = [row["version"] for row in changes.select("version").distinct().collect()]
+            if seen:
+                last = changelog.delivered_version(spark, notes)
+                if last is None:
+                    # A log starts with version 1; other starts were checked or are not known.
+                    last = 0 if batch_id == 0 and after is None else min(seen) - 1
+                changelog.check_no_gap(seen, last)
+            write(self.records(changes), batch_id)
+            if seen:
+                changelog.note_delivered(spark, notes, max(seen))
 
-    def changes_from(self, saved: int) -> DataFrame:
-        """Records behind a saved position, or of everything when it has expired."""
+        return sink.start(self.changes(after), deliver, checkpoint, once, self.options.trigger_interval)
+
+    def changes_from(self, saved: int, held: DataFrame | None = None, mark: int = 0) -> DataFrame:
+        """Records behind a saved position. When it has expired: of everything,
+        or with ``held(path, content_hash)`` of what differs, deletes included."""
         last = changelog.last_version(self.spark, self.log_dir)
-        changes = changelog.open_changes(self.spark, self.log_dir, saved, self.listing(last))
-        return tree.change_records(changes, self.root, self.options.chunk_size)
+        return self.records(
+            changelog.open_changes(self.spark, self.log_dir, saved, self.listing(last), held, mark)
+        )
+
+    def trim(self, checkpoints: list[str]) -> None:
+        """Remove what none of the queries with these checkpoints needs any more:
+        log versions below the one each has delivered last, and their listings.
+        A query that has delivered nothing yet keeps everything."""
+        done = [changelog.delivered_version(self.spark, delivered_notes(c)) for c in checkpoints]
+        if done and None not in done:
+            changelog.trim(self.spark, self.log_dir, min(done))
+            changelog.trim(self.spark, self.listing_dir, min(done))
+
+
+def delivered_notes(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-delivered"

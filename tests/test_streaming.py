@@ -267,3 +267,130 @@ def test_lost_root_fails_the_poll(spark, tmp_path):
     os.rename(job.root, job.root + "-gone")
     with pytest.raises(Exception, match="is it mounted"):
         source.poll()
+
+
+def test_trimmed_log_stops_the_query(spark, tmp_path):
+    """What was trimmed unread is missed with an error, and a resync gets it back."""
+    job = Job(spark, tmp_path)
+    for n in (1, 2, 3):
+        fill(job.root, {f"/f{n}": b"x" * n})
+        if n == 3:
+            os.remove(job.root + "/f1")
+        job.source.poll()
+        if n == 1:
+            job.follow()
+    changelog.trim(spark, job.source.log_dir, 3)
+    with pytest.raises(Exception, match="version 2 is no longer kept"):
+        job.follow()
+    held = sink.current_files(spark, job.out).select(F.col("target_path").alias("path"), F.col("hash").alias("content_hash"))
+    seq = changelog.last_seq(spark, job.source.log_dir)
+    missed = job.source.changes_from(1, held)
+    assert as_set(missed, "seq", "key.file_path", "operation") == {
+        (seq, "/f1", "delete"), (seq, "/f2", "create"), (seq, "/f3", "create"),
+    }
+    sink.action_sink(job.out)(missed, 0)
+    assert job.files() == {"/f2": store_hash(b"xx"), "/f3": store_hash(b"xxx")}
+    fill(job.root, {"/f4": b"4"})
+    job.source.poll()
+    job.source.replicate(sink.action_sink(job.out), str(tmp_path / "next"), after=seq).awaitTermination()
+    assert set(job.files()) == {"/f2", "/f3", "/f4"}
+
+
+def test_retention_keeps_what_is_unread(spark, tmp_path):
+    job = Job(spark, tmp_path)
+    for n in range(3):
+        fill(job.root, {f"/f{n}": b"x" * n})
+        job.source.poll()
+    job.source.trim([job.checkpoint])
+    assert changelog.committed_versions(spark, job.source.log_dir) == [3, 2, 1]
+    job.follow()
+    job.source.trim([job.checkpoint])
+    assert changelog.committed_versions(spark, job.source.log_dir) == [3]
+    fill(job.root, {"/f9": b"9"})
+    assert job.source.poll() == 4
+    job.follow()
+    assert set(job.files()) == {"/f0", "/f1", "/f2", "/f9"}
+
+
+def test_files_per_batch(spark, tmp_path):
+    job = Job(spark, tmp_path, page=2)
+    job.options = SourceOptions(max_entries_per_batch=2, recursive=True, files_per_batch=100)
+    fill(job.root, {f"/f{i}": b"x" for i in range(12)})
+    job.source.poll()
+    assert len([p for p in job.follow().recentProgress if p["numInputRows"]]) == 1
+    assert len(job.files()) == 12
+
+
+def test_positions_carry_the_mark(spark, tmp_path):
+    job = Job(spark, tmp_path)
+    fill(job.root, {"/a": b"1", "/b": b"2" * 250, "/c": b"3"})
+    for n, name in enumerate("abc"):
+        os.utime(f"{job.root}/{name}", (1_000 + n, 1_000 + n))
+    job.source.poll()
+    os.remove(f"{job.root}/a")
+    job.source.poll()
+    rows = job.source.changes_from(0)
+    last = F.get_json_object("position", "$.last_processed_unix_time").cast("long")
+    got = as_set(rows.withColumn("last", last), "key.file_path", "operation", "chunk_index", "last")
+    second = 1_000_000_000
+    assert got >= {
+        ("/b", "create", 1, 1_000 * second), ("/b", "create", 3, 1_001 * second), ("/c", "create", None, 1_002 * second),
+        ("/a", "delete", None, 1_002 * second),
+    }
+
+
+def test_wrong_hash_is_not_stored(spark, tmp_path):
+    def full(seq, name, data, declared):
+        return record(seq, data, collection="/c", name=name, hash=declared, size=str(len(data)))
+
+    rows = records(
+        spark, full(1, "good", b"1", store_hash(b"1")), full(2, "bad", b"2", "0" * 64), full(3, "none", b"3", ""),
+        *chunked(10, "parts", b"abcdef", 2, file_hash="f" * 64),
+    )
+    table, root = str(tmp_path / "t"), tmp_path / "r"
+    os.makedirs(root)
+    sink.action_sink(table)(rows, 0)
+    assert as_set(sink.read_errors(spark, table), "seq", "error") == {(2, s.ERR_HASH_DIFFERS)}
+    published = spark.createDataFrame([], "target_path string, seq long")
+    status, published = tree_sink.publish(sink.read_actions(spark, table), str(root), published)
+    assert as_set(status, "target_path", "status") == {
+        ("/c/good", "ok"), ("/c/none", "ok"), ("/c/parts", s.ERR_HASH_DIFFERS),
+    }
+    assert read_all(root) == {"/c/good": b"1", "/c/none": b"3"}
+    assert as_set(published, "target_path") == {("/c/good",), ("/c/none",)}
+
+
+def test_strict_writes_what_precedes_the_error(spark, tmp_path):
+    rows = records(
+        spark, *chunked(1, "n", b"abcdef", 2), record(9, b"x", name="bad", size="1"),
+        record(10, None, "delete", name="q"),
+    )
+    with pytest.raises(sink.StrictError, match="record 9"):
+        sink.action_sink(str(tmp_path), strict=True)(rows, 0)
+    assert as_set(sink.read_actions(spark, str(tmp_path)), "seq") == {(1,), (2,), (3,)}
+
+
+def test_failed_write_keeps_the_old_version(spark, tmp_path):
+    """A folder with files where the file goes: reported, tried again, and the file is deleted later."""
+    def full(seq, name, data):
+        return record(seq, data, collection="/c", name=name, hash=store_hash(data), size=str(len(data)))
+
+    table, root = str(tmp_path / "t"), tmp_path / "r"
+    os.makedirs(root)
+    write = sink.action_sink(table)
+    publish = lambda held: tree_sink.publish(sink.read_actions(spark, table), str(root), held)
+    published = spark.createDataFrame([], "target_path string, seq long")
+    write(records(spark, full(1, "a", b"1")), 0)
+    _, published = publish(published)
+    os.remove(root / "c" / "a")
+    os.makedirs(root / "c" / "a" / "x")
+    (root / "c" / "a" / "x" / "kept").write_bytes(b"k")
+    write(records(spark, full(2, "a", b"22")), 1)
+    status, published = publish(published)
+    assert status.first()["status"].startswith("failed") and as_set(published, "*") == {("/c/a", 1)}
+    assert read_all(root) == {"/c/a/x/kept": b"k"}
+    # Emptied, the folder gives way.
+    os.remove(root / "c" / "a" / "x" / "kept")
+    status, published = publish(published)
+    assert as_set(status, "status") == {("ok",)} and as_set(published, "*") == {("/c/a", 2)}
+    assert read_all(root) == {"/c/a": b"22"}
