@@ -50,7 +50,7 @@ def main(argv):
     spark, con = make_session(), duck(sf_dir)
     sql = entry.oracle_sql()
     bad = 0
-    for name in argv[1:] or entry.queries():
+    for name in argv[1:] or sql:
         begin = time.time()
         try:
             text = compare(spark, con, sf_dir, name, sql[name])
