@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from drivesync.llm import decontam, langid, linededup, merkle, neardup, packing, pii, secrets, sharding, suffixes
-from drivesync.llm.queries import QUERIES, tokenizer_path
+from drivesync.llm.queries import QUERIES, SQL, tokenizer_path
 
 OPERATORS = {
     "packing": lambda d: packing.pack_documents(d, tokenizer_path()), "merkle": merkle.fingerprint_documents,
@@ -308,3 +308,10 @@ def test_pipeline_and_queries(spark, sf):
     near = {r.doc_id for r in neardup.near_duplicates(spark.read.parquet(f"{sf}/documents.parquet")).where("not kept").collect()}
     assert docs and len(docs) > 150 and docs.isdisjoint(near)
     assert len(QUERIES) == 10 and len(corpus_pipeline.STAGES) == 5
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_gives_the_rows_of_its_sql(spark, sf, name):
+    import check_oracle
+
+    assert check_oracle.compare(spark, check_oracle.duck(sf), sf, name, SQL[name]) == ""
