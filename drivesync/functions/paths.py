@@ -52,6 +52,11 @@ def is_under(path: Column, folder: Column) -> Column:
     return F.startswith(path, F.concat(stem, F.lit("/")))
 
 
+def is_top(path: Column) -> Column:
+    """True for the root and the folders in it, which have most entries below them."""
+    return F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit(""))) <= 1
+
+
 def target_path(base: Column, collection: Column, name: Column) -> Column:
     """Where a record lands: base, then collection (default root), then name."""
     return clean_path(F.concat(base, F.lit("//"), F.coalesce(collection, F.lit("")), F.lit("/"), name))

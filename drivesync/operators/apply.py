@@ -7,7 +7,7 @@ Deleting a path that is not there is not an error unless
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drivesync.functions.paths import explode_ancestors
+from drivesync.functions.paths import explode_ancestors, is_top
 from drivesync.operators.skew import lookup_join, running
 
 
@@ -33,7 +33,7 @@ def drop_deleted_subtrees(
     """
     newest = deletes.groupBy(F.col(path).alias("ancestor")).agg(F.max(seq).alias("_gone"))
     placed = explode_ancestors(files, path, "ancestor", root=True)
-    joined = lookup_join(placed, newest, ["ancestor"], [path])
+    joined = lookup_join(placed, newest, ["ancestor"], [path], is_top(F.col("ancestor")))
     # One row per file again. Grouping would turn -0.0 into 0.0, hence first().
     floats = [name for name, kind in files.dtypes if kind in ("float", "double")]
     keys = [name for name in files.columns if name not in floats]
@@ -60,8 +60,8 @@ def delete_prefixes(files: DataFrame, folders: DataFrame, path: str = "path") ->
     placed = explode_ancestors(files.select(path), path, "ancestor").union(
         files.select(path, F.col(path).alias("ancestor"))
     )
-    taken = lookup_join(placed, gone, ["ancestor"], [path], how="left_semi").select(path).distinct()
-    return files.join(taken, path, "left_anti")
+    taken = lookup_join(placed, gone, ["ancestor"], [path], is_top(F.col("ancestor")), "left_semi")
+    return files.join(taken.select(path).distinct(), path, "left_anti")
 
 
 def missing_deletes(events: DataFrame, deleted: str = "deleted") -> DataFrame:

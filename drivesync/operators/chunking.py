@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from drivesync.functions.numbers import ceil_div
 from drivesync.operators.routing import route
-from drivesync.operators.skew import lookup_join
 from drivesync.options import check_chunk_size
 
 
@@ -27,7 +26,7 @@ def plan_chunks(
     files = files.withColumn("chunk_count", chunk_count(F.col("size"), chunk_size))
     first = F.lit(1).cast("long")
     if saved is not None:
-        files = lookup_join(files, saved.select("id", "saved_index"), ["id"], ["path"])
+        files = files.join(saved.select("id", "saved_index"), "id", "left")
         first = F.coalesce(F.col("saved_index"), F.lit(0)) + 1
         files = files.where(first <= F.col("chunk_count"))
     planned = files.withColumn("chunk_index", F.explode(F.sequence(first, F.col("chunk_count"))))

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drivesync.functions.paths import escapes_base, target_path
-from drivesync.operators.skew import lookup_join
 from drivesync.schemas import (
     CHUNK_COUNT, CHUNK_INDEX, COLLECTION, DELETE, ERR_COUNT_MISSING, ERR_COUNT_PARSE, ERR_ESCAPE,
     ERR_HASH_MISSING, ERR_INDEX_MISSING, ERR_INDEX_PARSE, ERR_INDEX_RANGE, ERR_NAME_MISSING,
@@ -122,7 +121,7 @@ def acknowledged(parsed: DataFrame, batch: str = "batch", pos: str = "pos") -> D
     """Records a strict in-order writer gets to apply."""
     written = prefix_ack(parsed, batch, pos)
     return (
-        lookup_join(parsed, written, [batch], [pos], how="inner")
+        parsed.join(written, batch)
         .where(F.col(pos) < F.col("written"))
         .drop("written")
     )

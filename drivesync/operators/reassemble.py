@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from drivesync.functions.hashing import block_count, content_hash
 from drivesync.functions.numbers import int_div
-from drivesync.operators.skew import running
+from drivesync.operators.skew import are_few, running
 from drivesync.schemas import ERR_CORRUPT, HASH_BLOCK, STORED_SEGMENT
 from drivesync.session import PAYLOAD_PARQUET, shared_dir
 
@@ -174,7 +174,12 @@ def segment_offsets(parts: DataFrame) -> DataFrame:
 
 
 def hash_segments(parts: DataFrame, block: int = HASH_BLOCK) -> DataFrame:
-    """Content hash of every file in a stored segment table.
+    """Content hash of every file in a stored segment table."""
+    return hash_placed(place_segments(parts), block)
+
+
+def hash_placed(placed: DataFrame, block: int = HASH_BLOCK) -> DataFrame:
+    """Content hash of every file from its segments with ``offset``.
 
     Content of one segment is hashed where it is. Segments of larger files are
     cut at block borders: a block inside one segment is hashed in place, and
@@ -183,24 +188,57 @@ def hash_segments(parts: DataFrame, block: int = HASH_BLOCK) -> DataFrame:
     are 1/131072 of its bytes at 4 MiB blocks. Hashes of incomplete files mean
     nothing, see ``manifest``.
     """
-    single = parts.where(~F.col("multi")).select(
+    single = placed.where(~F.col("multi")).select(
         *FILE_KEY,
         block_count(F.col("bytes"), block).alias("n_blocks"),
         content_hash(F.col("content"), block).alias("content_hash"),
     )
-    return single.unionByName(hash_blocks(place_large(parts), block))
+    return single.unionByName(hash_blocks(placed.where(F.col("multi")), block))
 
 
-def place_large(parts: DataFrame) -> DataFrame:
-    """Segments of files with several of them, with their byte ``offset``."""
-    several = parts.where(F.col("multi"))
-    return several.join(segment_offsets(several), [*FILE_KEY, "segment"])
+def uneven_files(parts: DataFrame) -> DataFrame:
+    """Keys of whole files whose chunks are not all equally long up to the last,
+    or not of the declared size together. Reads no payload."""
+    last = segment_of(F.col("chunk_count"))
+    body = F.when(F.col("segment") < last, F.col("bytes"))
+    files = parts.groupBy(*FILE_KEY).agg(
+        F.sum("have").alias("have"), F.sum("bytes").alias("bytes"),
+        F.min(body).alias("shortest"), F.max(body).alias("longest"),
+        F.min("size").alias("least"), F.max("size").alias("size"),
+    )
+    even = (
+        (F.col("shortest") == F.col("longest"))
+        & (F.col("bytes") == F.col("size")) & (F.col("least") == F.col("size"))
+    )
+    whole = F.col("have") == F.col("chunk_count")
+    return files.where(whole & ~even).select(*FILE_KEY)
 
 
 def place_segments(parts: DataFrame) -> DataFrame:
-    """Stored segments with ``offset``; a file of one segment needs no join for it."""
-    single = parts.where(~F.col("multi")).withColumn("offset", F.lit(0).cast("long"))
-    return single.unionByName(place_large(parts))
+    """Stored segments with their byte ``offset``.
+
+    A source cuts a file into equal chunks, so a row tells its offset itself:
+    the last segment ends with the file, the others are equally long. Files of
+    other producers that are not cut so get offsets summed over their segments,
+    and only their rows go through a join for it. Offsets of incomplete files
+    mean nothing.
+    """
+    spark = parts.sparkSession
+    shared_dir(spark)
+    ends = F.greatest(F.col("size") - F.col("bytes"), F.lit(0).cast("long"))
+    offset = (
+        F.when(F.col("segment") == 0, F.lit(0).cast("long"))
+        .when(F.col("segment") < segment_of(F.col("chunk_count")), F.col("segment") * F.col("bytes"))
+        .otherwise(ends)
+    )
+    placed = parts.withColumn("offset", offset)
+    uneven = uneven_files(parts.where(F.col("multi"))).checkpoint()
+    if uneven.isEmpty():
+        return placed
+    keys = F.broadcast(uneven) if are_few(uneven) else uneven
+    rows = parts.where(F.col("multi")).join(keys, FILE_KEY, "left_semi")
+    summed = rows.join(segment_offsets(rows), [*FILE_KEY, "segment"])
+    return placed.join(keys, FILE_KEY, "left_anti").unionByName(summed)
 
 
 def hash_blocks(placed: DataFrame, block: int) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql.window import Window
 from drivesync.functions.numbers import int_div
 
 MAX_SALTS = 64
+# Rows of a lookup that may be broadcast; keys are paths, of a few KiB at most.
+FEW_ROWS = 10_000
 # Rows of one group in one window task: order values per block.
 BLOCK_WIDTH = 65_536
 
@@ -16,28 +18,34 @@ def lookup_join(
     lookup: DataFrame,
     on: list[str],
     spread: list[str],
+    hot: Column,
     how: str = "left",
     salts: int | None = None,
 ) -> DataFrame:
-    """Join ``rows`` to a ``lookup`` that has one row per key.
+    """Join ``rows`` to a ``lookup`` that has one row per key, some of them hot.
 
-    The rows of a hot key go to ``salts`` partitions by a hash of ``spread``
-    (stable under task retry) and the lookup row is copied to each; what is
-    still too large in one of them is split by the adaptive skew join. Spark
-    broadcasts the lookup by itself where its measured size allows.
+    ``hot`` is a condition on the key columns. The rows of a hot key go to
+    ``salts`` partitions by a hash of ``spread`` (stable under task retry), and
+    only the lookup rows of hot keys are copied to each. What is still too
+    large in one partition is split by the adaptive skew join, on which joins
+    without keys known to be hot rely alone. Spark broadcasts the lookup by
+    itself where its measured size allows.
     """
     if salts is None:
         partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         salts = max(1, min(MAX_SALTS, partitions))
-    salted = rows.withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    )
-    copies = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    cold, last = F.lit(0), F.lit(salts - 1)
+    place = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    salted = rows.withColumn("_salt", F.when(hot, place).otherwise(cold))
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(cold, F.when(hot, last).otherwise(cold))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def are_few(rows: DataFrame) -> bool:
+    """Whether ``rows`` may be broadcast. Counts them, so they should be stored."""
+    return rows.limit(FEW_ROWS + 1).count() <= FEW_ROWS
+
+
 def running(
     rows: DataFrame,
     group: list[str],

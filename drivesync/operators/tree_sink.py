@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from drivesync.operators.destination import file_segments, live_files
 from drivesync.operators.integrity import verify_hashes
 from drivesync.operators.reassemble import (
-    FILE_KEY, hash_segments, place_segments, read_segments, store_segments,
+    FILE_KEY, SEGMENT_CHUNKS, hash_placed, place_segments, read_segments, store_segments,
 )
-from drivesync.operators.skew import lookup_join
+from drivesync.operators.skew import are_few, lookup_join
 from drivesync.schemas import ERR_CORRUPT, ERR_HASH_DIFFERS
 from drivesync.session import new_dir, remove_dir, shared_dir, task_count
 from drivesync.sources.tree import PENDING
@@ -146,15 +146,15 @@ def write_files(parts: DataFrame, root: str, verify: bool = True) -> DataFrame:
     """
     shared_dir(parts.sparkSession)
     root = root.rstrip("/")
-    placed = place_segments(parts).select(*VERSION, "offset", "content")
+    placed = place_segments(parts)
     schema = "target_path string, hash string, chunk_count bigint, size bigint, bytes bigint"
     written = (
-        placed.mapInArrow(_write_pieces(root), schema)
+        placed.select(*VERSION, "offset", "content").mapInArrow(_write_pieces(root), schema)
         .groupBy(*VERSION).agg(F.sum("bytes").alias("bytes"))
         .checkpoint()
     )
     if verify:
-        checked = verify_hashes(hash_segments(parts)).select(*FILE_KEY, "ok")
+        checked = verify_hashes(hash_placed(placed)).select(*FILE_KEY, "ok")
         written = written.join(checked, FILE_KEY)
     else:
         written = written.withColumn("ok", F.lit(True))
@@ -206,6 +206,24 @@ def apply_to_tree(parsed: DataFrame, root: str, verify: bool = True) -> DataFram
     return status_rows(deleted, write_versions(parsed, live, root, verify))
 
 
+def records_of(actions: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored actions that the versions ``new`` are made of.
+
+    No record of a version is older than its ``seq``, so batches before the
+    oldest of them are left out by the statistics of their files.
+    """
+    oldest = new.agg(F.min("seq")).first()[0]
+    since = actions.where(F.lit(False) if oldest is None else F.col("seq") >= oldest)
+    writes = since.where(F.col("action") != "delete").withColumn(
+        "chunk_count", F.coalesce("chunk_count", F.lit(0).cast("long"))
+    )
+    keys = new.select(*FILE_KEY)
+    if are_few(keys):
+        return writes.join(F.broadcast(keys), FILE_KEY, "left_semi")
+    large = F.col("chunk_count") > SEGMENT_CHUNKS
+    return lookup_join(writes, keys, FILE_KEY, ["seq", "chunk_index"], large, "left_semi")
+
+
 def publish(
     actions: DataFrame, root: str, published: DataFrame, verify: bool = True
 ) -> tuple[DataFrame, DataFrame]:
@@ -220,13 +238,10 @@ def publish(
     # Metadata only; kept because every step below asks for it.
     live = live_files(actions).checkpoint()
     at = ["target_path", "seq"]
-    new = live.join(published.select(*at), at, "left_anti")
+    new = live.join(published.select(*at), at, "left_anti").checkpoint()
     gone = published.join(live, "target_path", "left_anti")
-    needed = lookup_join(
-        actions, new.select("target_path"), ["target_path"], ["seq", "chunk_index"], "left_semi"
-    )
     deleted = delete_paths(gone, root)
-    status = status_rows(deleted, write_versions(needed, new, root, verify))
+    status = status_rows(deleted, write_versions(records_of(actions, new), new, root, verify))
     done = status.where(F.col("status") == "ok").select("target_path")
     settled = status.where(F.col("status").isin("ok", "deleted", "missing", "refused")).select("target_path")
     kept = published.select(*at).join(settled, "target_path", "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from drivesync.functions.numbers import int_div
-from drivesync.functions.paths import explode_ancestors, is_under, parent_dir
+from drivesync.functions.paths import explode_ancestors, is_top, is_under, parent_dir
 from drivesync.operators.skew import lookup_join
 from drivesync.options import check_page_size, check_positive, scope_path
 from drivesync.schemas import TAG_FOLDER
@@ -38,7 +38,7 @@ def list_folders(entries: DataFrame, folders: DataFrame, recursive: bool = False
         placed = explode_ancestors(entries, "path", "folder")
     else:
         placed = entries.withColumn("folder", parent_dir(F.col("path")))
-    return lookup_join(placed, wanted, ["folder"], ["path"], how="left_semi")
+    return lookup_join(placed, wanted, ["folder"], ["path"], is_top(F.col("folder")), "left_semi")
 
 
 def list_page(entries: DataFrame, limit: int, after: str | None = None) -> DataFrame:

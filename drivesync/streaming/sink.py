@@ -14,7 +14,6 @@ from drivesync.operators.destination import live_files
 from drivesync.operators.dispatch import parse_records
 from drivesync.operators.integrity import refuse_wrong_hashes
 from drivesync.operators.reassemble import read_segments, store_segments
-from drivesync.operators.skew import lookup_join
 from drivesync.options import scope_path
 from drivesync.schemas import ACTION
 from drivesync.session import NO_DATA_BATCHES, PAYLOAD_PARQUET, ROCKSDB, STATE_STORE, settings
@@ -123,7 +122,8 @@ def compact(spark: SparkSession, folder: str, out: str) -> None:
     live = live_files(actions).select(
         "target_path", F.col("seq").alias("_seq"), F.col("hash").alias("_hash")
     )
-    joined = lookup_join(actions, live, ["target_path"], ["seq", "chunk_index"])
+    # Written as it comes, so the adaptive skew join may split a path.
+    joined = actions.join(live, "target_path", "left")
     chunk = F.col("action") == "chunk"
     newer = F.col("_seq").isNull() | (F.col("seq") >= F.col("_seq"))
     winner = F.col("_hash") == F.col("hash")

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from drivesync.operators import reassemble as re
 from drivesync.operators.skew import lookup_join, running
+from drivesync.operators.tree_sink import write_files
+from drivesync.session import settings
 
 CHUNKS = (
     "target_path string, hash string, chunk_count long, chunk_index long, size long, seq long, data binary"
@@ -114,9 +116,58 @@ def test_running_over_blocks(spark):
 def test_lookup_join_keeps_all_rows(spark):
     rows = spark.range(5000).selectExpr("id", "case when id % 3 = 0 then 'hot' else concat('k', id % 50) end as k")
     look = spark.createDataFrame([("hot", 1), ("k7", 2), ("none", 3)], "k string, v int")
+    hot = F.col("k") == "hot"
     for how in ("left", "inner", "left_semi", "left_anti"):
         plain = rows.join(look, "k", how)
-        assert as_set(lookup_join(rows, look, ["k"], ["id"], how), *plain.columns) == as_set(plain, *plain.columns)
+        assert as_set(lookup_join(rows, look, ["k"], ["id"], hot, how), *plain.columns) == as_set(plain, *plain.columns)
+
+
+def test_lookup_join_copies_hot_keys_only(spark):
+    rows = spark.range(6000).selectExpr("id", "case when id % 3 = 0 then 'hot' else concat('k', id % 50) end as k")
+    look = rows.select("k").distinct().withColumn("v", F.lit(1))
+    kept = lookup_join(look, rows, ["k"], ["k"], F.lit(False), "left_semi", salts=8)
+    assert kept.count() == look.count()
+    # Rows of the hot key are spread, each of the others meets its one lookup row.
+    assert lookup_join(rows, look, ["k"], ["id"], F.col("k") == "hot", "inner", salts=8).count() == 6000
+
+
+def uneven(path, lengths, seq):
+    data = random.Random(seq).randbytes(sum(lengths))
+    rows, at = [], 0
+    for i, length in enumerate(lengths):
+        rows.append((path, store_hash(data), len(lengths), i + 1, len(data), seq + i, data[at:at + length]))
+        at += length
+    return data, rows
+
+
+def test_chunks_of_any_length(spark, tmp_path):
+    """Files whose chunks differ in length, next to those of a regular source."""
+    rng = random.Random(9)
+    files, rows = {}, []
+    for n in range(6):
+        lengths = [rng.randrange(0, 50) for _ in range(40)] if n % 2 else [7] * 39 + [3]
+        files[f"/u{n}"], part = uneven(f"/u{n}", lengths, 100 * n)
+        rows += part
+    rng.shuffle(rows)
+    re.store_segments(re.segments(spark.createDataFrame(rows, CHUNKS)), str(tmp_path / "s"))
+    parts = re.read_segments(spark, str(tmp_path / "s"))
+    assert as_set(re.uneven_files(parts), "target_path") == {("/u1",), ("/u3",), ("/u5",)}
+    hashes = dict(as_set(re.hash_segments(parts, 64), "target_path", "content_hash"))
+    assert hashes == {path: store_hash(data, 64) for path, data in files.items()}
+    status = write_files(parts, str(tmp_path / "tree"))
+    assert as_set(status, "target_path", "status") == {(path, "ok") for path in files}
+    for path, data in files.items():
+        assert (tmp_path / "tree" / path[1:]).read_bytes() == data
+
+
+def test_no_payload_is_shuffled_to_place_it(spark, tmp_path):
+    """Neither the write nor the hash moves content of a regular file."""
+    rows = [row for n in range(3) for row in split(f"/f{n}", random.Random(n).randbytes(400), 10)]
+    re.store_segments(re.segments(spark.createDataFrame(rows, CHUNKS)), str(tmp_path / "s"))
+    placed = re.place_segments(re.read_segments(spark, str(tmp_path / "s")))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 def test_row_groups_stay_small(spark, tmp_path):
