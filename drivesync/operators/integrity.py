@@ -1,6 +1,6 @@
 """Checks on stored files and the sync report."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drivesync.functions.hashing import content_hash
@@ -48,6 +48,19 @@ def sync_report(files: DataFrame, chunk_size: int) -> DataFrame:
     )
 
 
+def sync_outcomes(parsed: DataFrame, collection: Column) -> DataFrame:
+    """Checked records per collection: those written with their bytes, deletes, failures."""
+    failed = F.col("error").isNotNull()
+    gone = ~failed & (F.col("action") == "delete")
+    written = ~failed & (F.col("action") != "delete")
+    return parsed.groupBy(collection.alias("collection")).agg(
+        F.count_if(written).alias("written"),
+        F.sum(F.when(written, F.col("length")).otherwise(0)).cast("long").alias("bytes"),
+        F.count_if(gone).alias("deleted"),
+        F.count_if(failed).alias("failed"),
+    )
+
+
 def compare_files(source: DataFrame, stored: DataFrame) -> DataFrame:
     """Round trip check of two ``(path, size, content_hash)`` sets."""
     there = stored.select(

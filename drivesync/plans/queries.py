@@ -433,6 +433,14 @@ def q35_sync_report(spark, d):
     return integrity.sync_report(files, CHUNK)
 
 
+def q35_sync_outcomes(spark, d):
+    """Damaged records of the drive and the deletes of the change log, per collection."""
+    gone = dispatch.parse_records(delete_records(views.change_log(spark, d)))
+    columns = ["key", "action", "error", "length"]
+    rows = _parsed_faulty(spark, d).select(columns).union(gone.select(columns))
+    return integrity.sync_outcomes(rows, parent_dir(F.col("key.file_path")))
+
+
 def q36_roundtrip(spark, d):
     """Every file through records, checks, reassembly and hashing, against the original."""
     parsed = dispatch.parse_records(views.records(spark, d))

@@ -42,16 +42,19 @@ class FolderSource:
     def listing(self, version: int) -> DataFrame:
         return self.spark.read.schema(ENTRY).parquet(f"{self.listing_dir}/version={version:010d}")
 
-    def poll(self) -> int:
+    def poll(self, full: bool = False) -> int:
         """Append what changed since the last poll; returns the log version.
 
+        Files of unchanged size and time are taken as unchanged; ``full`` reads
+        and hashes them again.
+
         The new listing is written before the log, under the number of the log
         version it leads to, so a poll that died can simply be run again.
         """
         last, seq, mark = changelog.last_position(self.spark, self.log_dir)
         old = self.listing(last) if last else None
         new_version = last + 1
-        self.list(old).select(*ENTRY.names).write.mode("overwrite").parquet(
+        self.list(None if full else old).select(*ENTRY.names).write.mode("overwrite").parquet(
             f"{self.listing_dir}/version={new_version:010d}"
         )
         changelog.append_changes(

@@ -11,6 +11,7 @@ from test_tree import fill, read_all
 from drivesync import schemas as s
 from drivesync.operators import reassemble as re
 from drivesync.operators import tree_sink
+from drivesync.operators.destination import live_files
 from drivesync.options import SourceOptions
 from drivesync.streaming import changelog, sink
 from drivesync.streaming.reassembly import reassemble_stream
@@ -245,6 +246,35 @@ def test_queries_share_a_folder(spark, tmp_path):
     assert job.files() == {p: store_hash(d) for p, d in (files | more).items()}
 
 
+def test_full_poll_sees_a_rewrite_with_the_old_time(spark, tmp_path):
+    job = Job(spark, tmp_path)
+    fill(tmp_path / "tree", {"/a": b"one", "/b": b"two"})
+    job.source.poll()
+    job.follow()
+    path = tmp_path / "tree" / "a"
+    before = path.stat()
+    path.write_bytes(b"ONE")
+    os.utime(path, ns=(before.st_atime_ns, before.st_mtime_ns))
+    job.source.poll()
+    job.follow()
+    assert job.files() == {"/a": store_hash(b"one"), "/b": store_hash(b"two")}
+    job.source.poll(full=True)
+    job.follow()
+    assert job.files() == {"/a": store_hash(b"ONE"), "/b": store_hash(b"two")}
+
+
+def test_publish_starts_at_the_oldest_record_needed(spark, tmp_path):
+    rows = [record(n, b"x", collection="/c", name=f"f{n}", hash=store_hash(b"x"), size="1") for n in range(1, 9)]
+    sink.action_sink(str(tmp_path))(records(spark, *rows), 0)
+    actions = sink.read_actions(spark, str(tmp_path))
+    new = live_files(actions).where("seq >= 6").checkpoint()
+    needed = tree_sink.records_of(actions, new)
+    plan = needed._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(seq,6)" in plan
+    assert as_set(needed, "seq") == {(6,), (7,), (8,)}
+    assert tree_sink.records_of(actions, new.where("seq < 0")).count() == 0
+
+
 def test_half_written_version_is_written_again(spark, tmp_path):
     job = Job(spark, tmp_path)
     fill(job.root, {f"/f{i}": b"x" * i for i in range(6)})
