@@ -30,8 +30,7 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_no_cross_join_and_no_row_python(spark, sf, name):
-    if name in ("q03_list_page", "q26_reassemble", "q29_stream_reassemble", "q36_roundtrip"):
-        pytest.skip("runs a job while it is built")
+    # What q03, q26, q29 and q36 run while they are built is not part of this plan.
     plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan
