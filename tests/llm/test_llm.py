@@ -243,6 +243,32 @@ def test_decontamination(spark):
     assert clean == set(range(len(docs))) - {k for k, _ in got}
 
 
+def test_decontamination_loses_no_window_at_the_limit(spark):
+    rng = random.Random(7)
+    new = lambda: f"n{rng.randrange(10**9)}"
+    items, docs = [], []
+    for size, edits in [(16, [0])] * 60 + [(20, [0])] * 40 + [(60, [30])] * 40 + [(100, [20, 70])] * 40 + [(30, [])] * 10:
+        items.append([new() for _ in range(size)])
+        edited = [new() if k in edits else w for k, w in enumerate(items[-1])]
+        docs.append([new() for _ in range(rng.randrange(40))] + edited + [new() for _ in range(rng.randrange(40))])
+    items += [["a"] * 12 + ["b"] * 4, ["c"] * 20]
+    docs += [["b"] * 4 + ["a"] * 300 + ["b"] * 4, ["c"] * 40, ["c"] * 15 + ["x"] + ["c"] * 18, items[0][:-2]]
+    frame, bench = (spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(rows)], f"{name} long, text string")
+                    for rows, name in ((docs, "doc_id"), (items, "item_id")))
+    index = decontam.Items(list(enumerate(map(" ".join, items))))
+    want = {}
+    for k, d in enumerate(docs):  # every window, by its similarity alone
+        shingles, _, _ = decontam.Words([" ".join(d)], index.tables).shingles(5)
+        for i, item in enumerate(items):
+            if set(d) & set(item):
+                size = min(len(item), len(d)) - 4
+                alike = max(index.similarity(shingles[at:at + size], i) for at in range(len(shingles) - size + 1))
+                if alike >= decontam.SIMILARITY:
+                    want[k, i] = round(alike, 9)
+    assert len(want) > 150
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in decontam.contaminations(frame, bench).collect()} == want
+
+
 def test_sharding(texts):
     frame, known = texts
     rows = sharding.assign(frame.union(frame.selectExpr("doc_id + 5000", "'same text'", "lang", "source", "n_chars"))).collect()
