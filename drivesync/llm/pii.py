@@ -2,10 +2,12 @@
 
 Exact rules give the base spans. High-recall generators propose further spans,
 which may overlap; features of their format and context go to boosted trees
-that learn, from the candidates the rules can decide, what such data looks
-like (what the rules themselves look at is no feature). A threshold calibrated
-for precision selects what the rules alone would miss, such as numbers without
-a country prefix and addresses in disguise. All of it is columns; features are
+that learn what such data looks like (what the rules themselves look at is no
+feature) from base hits, those of phones also with their country prefix hidden,
+against candidates that are clearly something else. All others are undecided:
+no example of anything. A threshold calibrated for precision on the examples
+selects among them what the rules alone would miss, such as numbers without a
+country prefix and addresses in disguise. All of it is columns; features are
 few-valued, so training works on a bounded table of counts over all candidates.
 """
 
@@ -28,8 +30,10 @@ PATTERNS = {
 GENERATORS = {
     "email": r"[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]++)*+",
     "card": r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}+(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z.-])(?:[0-9]{1,3}[ .-]?)?+(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z.-])(?:[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}(?![0-9A-Za-z])",
 }
+# What a country prefix of a base phone hit is taken to be, when it is hidden.
+PREFIX = r"^\+(?:[17](?![0-9])|[0-9]{2,3}(?![0-9])|[17]|[0-9]{2})[ .-]*"
 CUES = {
     "email": "(?i)mail|contact|write|address",
     "card": "(?i)card|visa|pay|account|credit",
@@ -95,13 +99,36 @@ def _features(kind: str, text: Column, s: Column) -> dict[str, Column]:
     }
 
 
+def _wrong(kind: str, text: Column, s: Column) -> Column:
+    """Whether a candidate is clearly something else, whatever the trees say."""
+    hit, number = s["hit"], digits(s["hit"])
+    if kind == "email":  # a host without a domain, the end of a sentence
+        return ~hit.rlike("(?:@|at[)\\]}]).*(?:\\.|dot[)\\]}])") | hit.rlike("@.*[A-Za-z0-9]\\. ")
+    if kind == "card":
+        return ~luhn(number)
+    dotted = hit.rlike("^[0-9]{1,3}(?:\\.[0-9]{1,3}){3}$")
+    date = hit.rlike("^(?:19|20)[0-9]{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01])(?:[0-9]{4}|[0-9]{6})?$")
+    return dotted | date | F.substring(text, s["start"], F.lit(1)).rlike("[$€£¥#]") & (s["start"] > 0)
+
+
+def _hidden(text: Column, base: Column) -> Column:
+    """Features of base phone hits without their country prefix, as they are and without brackets."""
+    bare = F.transform(_of_rank(base, KINDS.index("phone")), lambda s: F.struct(
+        s["end"].alias("end"), F.regexp_replace(F.substring(text, s["start"] + 1, s["end"] - s["start"]), PREFIX, "").alias("hit")))
+    forms = F.flatten(F.transform(bare, lambda s: F.transform(
+        F.array(s["hit"], F.regexp_replace(s["hit"], "[()]", "")), lambda hit: F.struct(
+            (s["end"] - F.char_length(s["hit"])).alias("start"), s["end"].alias("end"), hit.alias("hit")))))
+    alike = F.filter(forms, lambda s: s["hit"].rlike(f"^(?:{GENERATORS['phone']})$"))
+    return F.transform(alike, lambda s: F.struct(*[c.cast("int").alias(n) for n, c in _features("phone", text, s).items()]))
+
+
 def _candidates(kind: str, text: Column) -> Column:
-    """Array of ``start, end`` and the features, packed in ``f``."""
+    """Array of ``start, end``, whether clearly ``wrong``, and the features, packed in ``f``."""
     guard = text.rlike("@|[(\\[{]at[)\\]}]") if kind == "email" else text.rlike(GENERATORS[kind])
 
     def described(s: Column) -> Column:
         return F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), s["hit"].contains("@").alias("plain"),
+            s["start"].alias("start"), s["end"].alias("end"), _wrong(kind, text, s).alias("wrong"),
             F.struct(*[c.cast("int").alias(n) for n, c in _features(kind, text, s).items()]).alias("f"))
 
     return F.transform(find(text, GENERATORS[kind], guard), described)
@@ -113,7 +140,7 @@ class Boosted:
     ``cells``: (features, candidates, positives) for each combination.
     """
 
-    def __init__(self, names: list[str], cells: list[tuple[tuple, int, int]]):
+    def __init__(self, names: list[str], cells: list[tuple[tuple, float, float]]):
         self.names, self.trees = names, []
         n, good = sum(c[1] for c in cells), sum(c[2] for c in cells)
         self.bias = math.log((good + 0.5) / (n - good + 0.5)) if n else -9.0
@@ -178,25 +205,34 @@ def _overlaps(s: Column, base: Column) -> Column:
     return F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
 
-def _labelled(candidates: Column, base: Column) -> Column:
-    return F.transform(candidates, lambda s: F.struct(s["f"].alias("f"), _overlaps(s, base).alias("right")))
+def _labelled(kind: str, base: Column) -> Column:
+    """Features and label of the candidates that are decided."""
+    own = _of_rank(base, KINDS.index(kind))
+    decided = F.filter(kind, lambda s: s["wrong"] | _overlaps(s, base))
+    return F.transform(decided, lambda s: F.struct(s["f"].alias("f"), _overlaps(s, own).alias("right")))
 
 
 def _chosen(kind: str, model: Boosted) -> Column:
-    """Candidates over the threshold that leave the base spans alone."""
-    free = F.filter(kind, lambda s: ~_overlaps(s, F.col("base")) & (model.score(s["f"]) >= model.threshold))
+    """Undecided candidates over the threshold; they leave the base spans alone."""
+    free = F.filter(kind, lambda s: ~s["wrong"] & ~_overlaps(s, F.col("base")) & (model.score(s["f"]) >= model.threshold))
     return F.transform(free, lambda s: F.struct(
         s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s["end"].alias("end"), (-model.score(s["f"])).alias("loss")))
 
 
 def fit(found: DataFrame) -> dict[str, Boosted]:
-    """Learn from all candidates the rules can decide: those in a base span of
-    their kind are right, the others wrong (of e-mail, those with an @ only)."""
+    """Learn from all decided candidates: those in a base span of their kind are
+    right, those in one of another kind or clearly wrong by their shape are wrong.
+    A phone is seen as it is and in two forms with its prefix hidden, each
+    counting a third."""
     models = {}
     for kind in GENERATORS:
-        sure = F.filter(kind, lambda s: s["plain"]) if kind == "email" else F.col(kind)
-        labelled = found.where(F.size(kind) > 0).select(F.explode(_labelled(sure, _of_rank("base", KINDS.index(kind)))).alias("c"))
-        rows = labelled.groupBy("c.f").agg(F.count("*"), F.sum(F.col("c.right").cast("long"))).collect()  # a row a combination
+        decided = _labelled(kind, F.col("base"))
+        share = F.lit(1.0)
+        if kind == "phone":
+            decided = F.concat(decided, F.transform("hidden", lambda f: F.struct(f.alias("f"), F.lit(True).alias("right"))))
+            share = F.when(F.col("c.right"), 1 / 3).otherwise(1.0)
+        labelled = found.where(F.size(kind) > 0).select(F.explode(decided).alias("c"))
+        rows = labelled.groupBy("c.f").agg(F.sum(share), F.sum(F.when(F.col("c.right"), share).otherwise(0.0))).collect()  # a row a combination
         names = found.schema[kind].dataType.elementType["f"].dataType.names
         models[kind] = Boosted(names, sorted((tuple(r[0]), r[1], r[2]) for r in rows))
     return models
@@ -212,7 +248,8 @@ def find_personal(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = stored(docs.select("doc_id", text.alias("text")).select(
-        "doc_id", base_spans(F.col("text")).alias("base"), *[_candidates(k, F.col("text")).alias(k) for k in GENERATORS]), "personal")
+        "doc_id", base_spans(F.col("text")).alias("base"), *[_candidates(k, F.col("text")).alias(k) for k in GENERATORS],
+        _hidden(F.col("text"), base_spans(F.col("text"))).alias("hidden")), "personal")
     return selected(found, fit(found))
 
 

@@ -151,6 +151,29 @@ def test_pii_base_spans(spark, texts):
         assert set(want.split(",")) - {""} <= set(r.spans.split(","))
 
 
+def test_pii_finds_numbers_without_a_prefix_however_many(spark):
+    rng = random.Random(9)
+    number = lambda: (rng.randrange(200, 999), rng.randrange(200, 999), rng.randrange(1000, 9999))
+    texts, want = [], {}
+    for k in range(400):
+        a, b, c = number()
+        if k < 40:
+            texts.append(f"call +1 ({a}) {b}-{c} please")
+        elif k < 80:
+            texts.append(f"host {a % 256}.{b % 256}.{c % 256}.{a % 100} is up, id 20240117 costs ${a}-{b}-{c}")
+        elif k < 90:
+            texts.append(f"we met @ noon. Then x@host left, 4111 1111 1111 {c // 1000}112 or so")
+        elif k < 100:
+            texts.append(f"mail ann{a}@mail{b}.example.com or jo{a} @ mail{b}.example.com")
+        else:
+            hit = (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"1 ({a}) {b}-{c}")[k % 3]
+            texts.append(f"call {hit} please")
+            want[k] = f"phone:5:{5 + len(hit)}"
+    rows = {r.doc_id: r for r in pii.find_personal(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert {k: rows[k].spans for k in want} == want
+    assert all(rows[k].n_added == 0 for k in range(90))
+
+
 def test_boosted_trees_learn_and_calibrate():
     cells = [((a, b, c), 50, 48 if a and b > 1 else 1) for a in (0, 1) for b in range(4) for c in range(3)]
     model = pii.Boosted(["a", "b", "c"], cells)
