@@ -26,9 +26,8 @@ from drivesync.llm.graph import components
 REGISTERS = 252
 BASE = 1.001
 RATE = 20.0
-# Registers a band, by the least percent of likeness; the chance to miss a pair
-# at the limit is 1e-6 for 85 and 3e-6 for 80.
-BAND_ROWS = {85: 7, 80: 6}
+# Greatest chance that a pair at the limit shares no band.
+MISSED = 3e-6
 # Shingles and members of one block of a family.
 BLOCK_SHINGLES = 500_000
 BLOCK_MEMBERS = 1024
@@ -110,6 +109,16 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(released(run), schema)
 
 
+def band_rows(percent: int) -> int:
+    """Most registers a band for which a pair at the limit is missed no more often
+    than ``MISSED``: 7 for 85 percent, 6 for 80. Below 5 percent there are none."""
+    alike = percent / 100
+    fit = [r for r in range(1, REGISTERS + 1) if 0 < alike <= 1 and (1 - alike**r) ** (REGISTERS // r) <= MISSED]
+    if not fit:
+        raise ValueError(f"percent must be from 5 to 100, not {percent}")
+    return max(fit)
+
+
 def _families(classes: DataFrame, rows: int) -> DataFrame:
     """``node, root``: what the stars of the band buckets connect."""
     bands = F.expr(
@@ -202,13 +211,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> D
     stand alone: no ``component_id``, kept. Rows with one ``doc_id`` are judged
     by their texts, each as a row. Other columns are ignored.
     """
+    rows = band_rows(percent)
     base = docs.select("doc_id", "text")
     seen = stored(sketches(base, width), "sketches")
     linkable = seen.where("n_shingles > 0 and doc_id is not null")
     classes = stored(linkable.groupBy("k1", "k2").agg(
         F.min("doc_id").cast("long").alias("node"), F.min_by(F.struct("text_key", "registers", "n_shingles"), "doc_id").alias("r"),
     ).select("k1", "k2", "node", "r.*"), "classes")
-    families = _families(classes, BAND_ROWS.get(percent, 6))
+    families = _families(classes, rows)
     member = classes.join(families, "node").select("node", "text_key", "registers", "n_shingles", F.col("root").alias("family"))
     counted = member.groupBy("family").agg(F.greatest(
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_MEMBERS)).cast("int").alias("n"))

@@ -342,6 +342,20 @@ def test_near_duplicates(spark, percent):
         assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), root(r.doc_id), root(r.doc_id) == r.doc_id)
 
 
+def test_near_duplicates_at_a_low_limit(spark):
+    assert [neardup.band_rows(p) for p in (85, 80)] == [7, 6]
+    for percent in (0, 4, 101):
+        with pytest.raises(ValueError):
+            neardup.band_rows(percent)
+    rng = random.Random(5)
+    rows = []
+    for k in range(200):  # 100 and 100 shingles, 75 of 125 in common
+        words = [f"w{rng.randrange(10**9)}" for _ in range(104)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:79] + [f"n{rng.randrange(10**9)}" for _ in range(25)]))]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=60).collect()
+    assert all(r.component_id == r.doc_id // 2 * 2 for r in found)
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 48, 1000, dtype=np.uint64)
