@@ -12,7 +12,7 @@ nobody shares cost nothing, and enough of them prove that there is no partner.
 
 Documents with equal sets are one class. What meets in a key is verified on the
 full sets in rounds: a few probing sets (pivots) of every key against all its
-members, twice as many each round, but only where the two are not connected yet.
+members, ``PIVOTS`` times as many each round, but only where the two are not connected yet.
 A group of near copies is connected after a round or two, so its pairs are never
 written; no pair of different components stays unverified. A bit table of the
 parities of a set's elements rules pairs out before, exactly: it differs in at
@@ -33,6 +33,8 @@ PERCENT = 85
 # Words of 64 parities.
 PARITIES = 8
 PARITY = [f"p{i}" for i in range(PARITIES)]
+# Pivots of a key in the first round, and how many times more in each further one.
+PIVOTS = 4
 # Tasks that share the comparisons with one pivot.
 SALTS = 64
 _LARGEST = 1 << 31
@@ -212,21 +214,20 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return known.join(nodes, ["doc", "text_key"]).select("node", "text").mapInArrow(released(run), schema)
 
 
-def _links(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Verified links that connect all there are, of ``key, node, probing, n, p0..``."""
+def _links(live: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Verified links that connect all there are, of ``key, node, probing, n, p0..``, and the
+    components ``node, root`` they make."""
     sketch = ["n", *PARITY]
-    links = tried = None
-    pivots_a_key = 1
+    links = live.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    roots = live.select("node", F.col("node").alias("root")).limit(0)
+    tried = None
+    pivots_a_key = PIVOTS
     while True:
-        if links is None:
-            rooted = live.withColumn("root", F.col("node"))
-        else:
-            roots = components(links, "links")
-            rooted = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         still = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("probing").alias("p")).where("x <> y and p")
         live = stored(rooted.join(still.select("key"), "key", "left_semi"), "live")
         if live.isEmpty():
-            return links
+            return links, roots
         rank = F.xxhash64("node", F.lit(pivots_a_key))
         pivots = live.where("probing").groupBy("key", F.pmod(rank, F.lit(pivots_a_key)).alias("slot")).agg(
             F.min_by(F.struct("node", "root", *sketch), rank).alias("pivot"))
@@ -245,10 +246,12 @@ def _links(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
         fresh = pairs.select("x", "y")
         tried = fresh if tried is None else tried.unionByName(fresh)
         found = stored(_verified(pairs, sets, percent), "found")
-        links = found if links is None else links.unionByName(found)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            roots = components(links, "links")
         done = pivots.select("key", F.col("pivot.node").alias("node"))
         live = live.drop("root").join(done, ["key", "node"], "left_anti")
-        pivots_a_key *= 2
+        pivots_a_key *= PIVOTS
 
 
 def jaccard_join(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
@@ -278,10 +281,11 @@ def jaccard_join(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFram
     live = stored(entries.join(probed, "key", "left_semi").join(slim.select("node", "n", *PARITY), "node"), "live")
     nodes = slim.join(live.select("node").distinct(), "node").select("node", "doc", "text_key")
     sets = stored(_sets(docs, stored(nodes, "nodes"), width), "sets")
-    links = _links(live, sets, percent)
+    links, roots = _links(live, sets, percent)
     several = linkable.groupBy("doc_id").agg((F.min("k1") < F.max("k1")).alias("several")).where("several").select("doc_id")
     same = linkable.join(several, "doc_id").join(classes, ["k1", "k2"]).select(F.col("doc_id").cast("long").alias("a"), F.col("node").alias("b"))
-    roots = components(same if links is None else links.unionByName(same), "links")
+    if not same.isEmpty():
+        roots = components(links.unionByName(same), "links")
     placed = classes.join(roots, "node", "left").select("k1", "k2", "doc", F.coalesce("root", "node").alias("root"))
     least = placed.groupBy("root").agg(F.min("doc").alias("component_id"))
     by_class = stored(placed.join(least, "root").select("k1", "k2", "component_id"), "components")

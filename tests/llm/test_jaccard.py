@@ -57,14 +57,14 @@ def corpus(seed, families=60):
         words = [f"w{rng.randrange(400)}" for _ in range(rng.choice([1, 2, 3, 4, 5, 7, 9, 12, 15, 20, 30, 50, 80, 150, 400]))]
         if family % 7 == 0:
             words = template + words
-        for _ in range(rng.randrange(1, 8)):
+        for _ in range(rng.randrange(1, 9)):
             rows.append(" ".join(words))
             words = edited(rng, words, rng.choice([0, 0, 1, 1, 2, max(1, len(words) // 60), max(1, len(words) // 40)]))
     rng.shuffle(rows)
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("percent, width", [(85, 4), (80, 5), (60, 2)])
+@pytest.mark.parametrize("percent, width", [(85, 4), (60, 2)])
 def test_components_equal_brute_force(spark, percent, width):
     rows = corpus(percent)
     rows += [(1000, None), (1001, ""), (1002, " \n\t"), (None, rows[0][1]), (None, None), (3, rows[40][1]), (3, rows[40][1]), (7, "one two"), (2000, "Two\rONE two")]
