@@ -34,7 +34,7 @@ PERCENT = 85
 PARITIES = 8
 PARITY = [f"p{i}" for i in range(PARITIES)]
 # Pivots of a key in the first round, and how many times more in each further one.
-PIVOTS = 4
+PIVOTS = 8
 # Tasks that share the comparisons with one pivot.
 SALTS = 64
 _LARGEST = 1 << 31
@@ -245,7 +245,7 @@ def _links(live: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, D
         pairs = stored(pairs.select("x", "y", F.when(F.col("b") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("a"), "b"), "pairs")
         fresh = pairs.select("x", "y")
         tried = fresh if tried is None else tried.unionByName(fresh)
-        found = stored(_verified(pairs, sets, percent), "found")
+        found = live.limit(0) if pairs.isEmpty() else stored(_verified(pairs, sets, percent), "found")
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = components(links, "links")
