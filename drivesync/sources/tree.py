@@ -40,7 +40,13 @@ def _require(root):
 
 def _scan_folders(root, top=""):
     def rows(folder):
-        with os.scandir(root + folder) as found:
+        try:
+            found = os.scandir(root + folder)
+        except (FileNotFoundError, NotADirectoryError):
+            # Removed since its parent was listed; the top has none.
+            _require(root + top)
+            return
+        with found:
             for item in found:
                 if item.name.startswith(PENDING):
                     continue
@@ -48,7 +54,10 @@ def _scan_folders(root, top=""):
                 if item.is_dir(follow_symlinks=False):
                     yield TAG_FOLDER, None, path, None, None
                 elif item.is_file(follow_symlinks=False):
-                    stat = item.stat()
+                    try:
+                        stat = item.stat(follow_symlinks=False)
+                    except FileNotFoundError:
+                        continue  # removed since, the others are still there
                     when = datetime.datetime.fromtimestamp(
                         stat.st_mtime_ns // 1_000_000_000, datetime.timezone.utc
                     ).replace(microsecond=stat.st_mtime_ns // 1000 % 1_000_000)
@@ -58,15 +67,11 @@ def _scan_folders(root, top=""):
         for batch in batches:
             for folder in batch.column(0).to_pylist():
                 held = []
-                try:
-                    for row in rows(folder):
-                        held.append(row)
-                        if len(held) == SCAN_BATCH:
-                            yield to_batch(held)
-                            held = []
-                except FileNotFoundError:
-                    # Removed since its parent was listed; the top has none.
-                    _require(root + top)
+                for row in rows(folder):
+                    held.append(row)
+                    if len(held) == SCAN_BATCH:
+                        yield to_batch(held)
+                        held = []
                 if held:
                     yield to_batch(held)
 
