@@ -124,6 +124,25 @@ def micro_batch(seq: Column, size: int, first: int = 1) -> Column:
     return int_div(seq - F.lit(first), size)
 
 
+def byte_unit(before: Column, size: Column, limit: int) -> Column:
+    """Number of the unit an entry goes into when units are cut by payload bytes.
+
+    ``before`` are the bytes of all entries before it. Entries that begin within
+    the same ``limit`` bytes share a unit, which so holds less than twice that;
+    an entry of ``limit`` bytes or more is a unit of its own. Numbers rise along
+    the log and have gaps. Null sizes (deletes) count as 0.
+    """
+    check_positive("limit", limit)
+    begin = int_div(F.coalesce(before, F.lit(0)), limit)
+    return begin * 2 + F.when(F.coalesce(size, F.lit(0)) >= limit, 1).otherwise(0)
+
+
+def byte_batches(log: DataFrame, limit: int) -> DataFrame:
+    """``seq, size, batch`` of a log, admitted by bytes; the prefix sums run over blocks."""
+    rows = running(log.select("seq", "size"), [], "seq", {"_before": ("sum", "size")}, inclusive=False)
+    return rows.select("seq", "size", byte_unit(F.col("_before"), F.col("size"), limit).alias("batch"))
+
+
 def last_processed(log: DataFrame, size: int, first: int = 1) -> DataFrame:
     """Per batch the newest modification time of its files, and the mark after it.
 

@@ -11,6 +11,8 @@ from drivesync.schemas import DEFAULT_CHUNK_SIZE, MAX_CHUNK_SIZE
 # Bounds of the page size.
 MIN_PAGE = 1
 MAX_PAGE = 2000
+# Payload bytes the entries of a log file name; less than twice that, or one larger file.
+DEFAULT_BYTES_PER_FILE = 1 << 30
 
 
 def check_chunk_size(chunk_size: int) -> int:
@@ -49,9 +51,11 @@ class SourceOptions:
     recursive: bool = False
     trigger_interval: str = "30 seconds"
     files_per_batch: int = 1
+    bytes_per_file: int = DEFAULT_BYTES_PER_FILE
 
     def __post_init__(self):
         scope_path(self.path)
         check_chunk_size(self.chunk_size)
         check_page_size(self.max_entries_per_batch)
         check_positive("files_per_batch", self.files_per_batch)
+        check_positive("bytes_per_file", self.bytes_per_file)

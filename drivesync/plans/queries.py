@@ -16,7 +16,7 @@ from drivesync.operators import reassemble as re
 from drivesync.operators.records import delete_records, record_json, to_records
 from drivesync.operators.routing import route
 from drivesync.plans import views
-from drivesync.plans.views import CHUNK
+from drivesync.plans.views import BYTES_PER_BATCH, CHUNK
 from drivesync.schemas import (
     CHUNK_COUNT, CHUNK_INDEX, CHUNK_INFO, COLLECTION, FILE_CHUNKED, FILE_HASH, FILE_ID, FILE_NAME, FILE_PATH,
     FILE_SIZE, TAG_DELETED,
@@ -235,6 +235,15 @@ def q19_microbatch(spark, d):
     )
 
 
+def q19_byte_batches(spark, d):
+    """Micro-batches of the change log admitted by payload bytes."""
+    batches = changes.byte_batches(views.change_log(spark, d), BYTES_PER_BATCH)
+    return batches.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
+        F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"),
+    )
+
+
 def q21_dispatch(spark, d):
     """Records of the drive plus the deletes of the change log."""
     writes = views.records(spark, d).select("operation", "metadata")

@@ -15,6 +15,8 @@ from drivesync.schemas import (
     CHUNK_COUNT, CHUNK_INDEX, FILE_HASH, FILE_NAME, FILE_SIZE,
 )
 
+# Payload bytes of a micro-batch; some entries of the log are larger.
+BYTES_PER_BATCH = 4096
 CHUNK = 1024
 
 

@@ -1,26 +1,28 @@
 """The change log: appended by listing diffs, followed as a stream.
 
-Log files hold at most one page of entries each, and a stream takes a fixed
-number of files per batch: that is the cap on entries per micro-batch. The
+A version is committed by its manifest, see ``manifests``; readers and streams
+see committed ones only. Log files hold at most one page of entries each, and
+entries of a bounded number of payload bytes; a stream takes a fixed number of
+files per batch: that is the cap on entries and bytes per micro-batch. The
 checkpoint is the saved position; it moves when a batch is committed. No new
 file means no batch, which is the wait for changes.
 """
 
+from __future__ import annotations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drivesync.functions.positions import unix_nanos
-from drivesync.operators.changes import changes_after, next_changes, resume_decision, resync_changes
+from drivesync.operators.changes import byte_unit, changes_after, next_changes, resync_changes
 from drivesync.operators.routing import is_file
 from drivesync.operators.skew import running
-from drivesync.options import check_page_size, check_positive, scope_path
+from drivesync.options import DEFAULT_BYTES_PER_FILE, check_page_size, check_positive, scope_path
 from drivesync.schemas import CHANGE, LOGGED
 from drivesync.session import remove_dir
 from drivesync.sources.listing import list_entries
-
-
-# Written by Spark when a job has been committed as a whole.
-COMMITTED = "_SUCCESS"
+from drivesync.streaming import manifests
+from drivesync.streaming.manifests import Manifest, version_dir
 
 
 class ExpiredPosition(RuntimeError):
@@ -29,22 +31,44 @@ class ExpiredPosition(RuntimeError):
 
 def append_changes(
     old: DataFrame | None, new: DataFrame, log_dir: str, version: int, last_seq: int,
-    entries_per_file: int = 1000, last_mark: int = 0,
-) -> None:
-    """Append the diff of two listings as log version ``version``.
-
-    ``old`` is None for the first snapshot. Writing a version again replaces
-    it, so a failed job can simply be run again. ``last_mark`` is the mark
-    behind the versions before it, see ``last_position``.
+    entries_per_file: int = 1000, last_mark: int = 0, attempt: str | None = None,
+    bytes_per_file: int = DEFAULT_BYTES_PER_FILE,
+) -> Manifest | None:
+    """Commit the diff of two listings as log version ``version``; None if there is none.
+
+    ``old`` is None for the first snapshot. A job that dies before the commit has
+    changed nothing a reader sees, and can simply be run again; one that dies
+    behind it is finished by ``manifests.recover``. Of two jobs at one version the
+    later one fails. ``last_mark`` is the mark behind the versions before it.
     """
+    spark = new.sparkSession
     check_page_size(entries_per_file)
+    attempt = attempt or manifests.new_attempt(version)
     before = new.limit(0) if old is None else old
     rows = next_changes(before, new, last_seq).withColumn("_ns", _modified())
-    rows = running(rows, [], "seq", {"_seen": ("max", "_ns")}, inclusive=False)
+    rows = running(rows, [], "seq", {"_seen": ("max", "_ns"), "_before": ("sum", "size")}, inclusive=False)
     mark = F.greatest(F.coalesce("_seen", F.lit(0).cast("long")), F.lit(last_mark).cast("long"))
-    rows.withColumn("mark", mark).select(*LOGGED.names).sortWithinPartitions("seq").write.mode("overwrite").option("maxRecordsPerFile", entries_per_file).parquet(
-        f"{log_dir}/version={version:010d}"
-    )
+    rows = rows.withColumns({"mark": mark, "unit": byte_unit(F.col("_before"), F.col("size"), bytes_per_file)})
+    staged = manifests.staged_dir(log_dir, attempt)
+    rows.select(*LOGGED.names, "unit").sortWithinPartitions("unit", "seq").write.option(
+        "maxRecordsPerFile", entries_per_file).partitionBy("unit").parquet(staged)
+    written = _read(spark, staged).agg(
+        F.count("*"), F.min("seq"), F.max("seq"), F.max(F.greatest("mark", _modified())), F.sum("size")
+    ).first() if manifests.count_files(spark, staged) else [0]
+    if not written[0]:
+        remove_dir(spark, staged)
+        return None
+    count, first, last, newest, size = written
+    manifest = Manifest(
+        version, attempt, manifests.count_files(spark, staged), count, first, last, newest or 0, size or 0)
+    manifests.commit(spark, log_dir, manifest)
+    manifests.publish(spark, log_dir, manifest)
+    return manifest
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    # Units are folders, not a column.
+    return spark.read.schema(LOGGED).option("recursiveFileLookup", "true").parquet(path)
 
 
 def _modified():
@@ -52,32 +76,43 @@ def _modified():
 
 
 def read_log(spark: SparkSession, log_dir: str, after: int | None = None) -> DataFrame:
-    log = spark.read.schema(LOGGED).option("basePath", log_dir).parquet(f"{log_dir}/version=*")
+    """All committed entries, or those behind ``after``."""
+    last = manifests.newest(spark, log_dir)
+    if last is None:
+        return spark.createDataFrame([], LOGGED)
+    if manifests.is_published(spark, log_dir, last):
+        log = _read(spark, f"{log_dir}/version=*")
+    elif manifests.versions(spark, log_dir)[1:]:
+        # Its data is still being moved.
+        log = _read(spark, f"{log_dir}/version=*").where(F.col("seq") < last.first_seq)
+    else:
+        return spark.createDataFrame([], LOGGED)
     return log if after is None else changes_after(log, after)
 
 
-def _versions(spark: SparkSession, folder: str, suffix: str = "") -> list[int]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version=*{suffix}")
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/version=*")
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    paths = (f.getPath().getParent() if suffix else f.getPath() for f in found)
-    return sorted((int(p.getName().split("=")[1]) for p in paths), reverse=True)
+    return sorted((int(f.getPath().getName().split("=")[1]) for f in found), reverse=True)
 
 
-def _version_dir(folder: str, version: int) -> str:
-    return f"{folder}/version={version:010d}"
+def committed_versions(spark: SparkSession, log_dir: str) -> list[int]:
+    """Versions with a manifest, newest first."""
+    return manifests.versions(spark, log_dir)
 
 
-def committed_versions(spark: SparkSession, log_dir: str) -> list[int]:
-    """Versions with a commit marker, newest first, from folder names alone. A
-    version without one is half written and will be written again."""
-    return _versions(spark, log_dir, f"/{COMMITTED}")
+def trim(spark: SparkSession, log_dir: str, before: int) -> None:
+    """Remove the versions below ``before``, manifests first."""
+    for version in manifests.versions(spark, log_dir):
+        if version < before:
+            remove_dir(spark, f"{log_dir}/{manifests.COMMITS}/{version:010d}.json")
+    _trim_folders(spark, log_dir, before)
 
 
-def trim(spark: SparkSession, folder: str, before: int) -> None:
-    """Remove the versions below ``before`` of a log or of the listings."""
+def _trim_folders(spark: SparkSession, folder: str, before: int) -> None:
     for version in _versions(spark, folder):
         if version < before:
-            remove_dir(spark, _version_dir(folder, version))
+            remove_dir(spark, version_dir(folder, version))
 
 
 def delivered_version(spark: SparkSession, folder: str) -> int | None:
@@ -87,9 +122,9 @@ def delivered_version(spark: SparkSession, folder: str) -> int | None:
 
 def note_delivered(spark: SparkSession, folder: str, version: int) -> None:
     """Note it as an empty folder; older notes go."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_version_dir(folder, version))
+    path = spark._jvm.org.apache.hadoop.fs.Path(version_dir(folder, version))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
-    trim(spark, folder, version)
+    _trim_folders(spark, folder, version)
 
 
 def check_no_gap(seen: list[int], last: int) -> None:
@@ -100,32 +135,14 @@ def check_no_gap(seen: list[int], last: int) -> None:
 
 
 def last_version(spark: SparkSession, log_dir: str) -> int:
-    """Newest committed version that holds changes, 0 without any. Reads the
-    newest versions only: up to the first with a row."""
-    for version in committed_versions(spark, log_dir):
-        if not read_version(spark, log_dir, version).isEmpty():
-            return version
-    return 0
+    """Newest committed version, 0 without any."""
+    return next(iter(manifests.versions(spark, log_dir)), 0)
 
 
 def last_seq(spark: SparkSession, log_dir: str) -> int:
-    """Newest log position, from the newest version with changes."""
-    return last_position(spark, log_dir)[1]
-
-
-def last_position(spark: SparkSession, log_dir: str) -> tuple[int, int, int]:
-    """Newest version with changes, its last position, and the mark behind it."""
-    last = last_version(spark, log_dir)
-    if not last:
-        return 0, 0, 0
-    seq, mark = read_version(spark, log_dir, last).agg(
-        F.max("seq"), F.max(F.greatest("mark", _modified()))
-    ).first()
-    return last, seq, mark or 0
-
-
-def read_version(spark: SparkSession, log_dir: str, version: int) -> DataFrame:
-    return spark.read.schema(LOGGED).parquet(_version_dir(log_dir, version))
+    """Newest log position, from the newest manifest."""
+    last = manifests.newest(spark, log_dir)
+    return last.last_seq if last else 0
 
 
 def follow(
@@ -142,9 +159,8 @@ def follow(
     if after is not None and is_expired(spark, log_dir, after):
         raise ExpiredPosition(f"changes after {after} are no longer kept, a resync is needed")
     check_positive("files_per_batch", files_per_batch)
-    log = spark.readStream.schema(LOGGED).option("maxFilesPerTrigger", files_per_batch).parquet(
-        f"{log_dir}/version=*"
-    )
+    log = spark.readStream.schema(LOGGED).option("recursiveFileLookup", "true").option(
+        "maxFilesPerTrigger", files_per_batch).parquet(f"{log_dir}/version=*")
     version = F.regexp_extract("_metadata.file_path", r"/version=([0-9]+)/", 1).cast("long")
     log = log.select("*", version.alias("version"))
     if after is not None:
@@ -153,8 +169,9 @@ def follow(
 
 
 def is_expired(spark: SparkSession, log_dir: str, saved: int) -> bool:
-    asked = spark.createDataFrame([("me", saved)], "consumer string, saved bigint")
-    return resume_decision(asked, read_log(spark, log_dir)).first()["status"] == "resync"
+    """Whether the successor of ``saved`` is no longer kept, by the oldest manifest."""
+    first = manifests.oldest(spark, log_dir)
+    return first is not None and saved + 1 < first.first_seq
 
 
 def open_changes(

@@ -15,8 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 from drivesync.operators.records import payload_records
 from drivesync.options import SourceOptions
 from drivesync.schemas import ENTRY
+from drivesync.session import remove_dir
 from drivesync.sources import tree
-from drivesync.streaming import changelog, sink
+from drivesync.streaming import changelog, manifests, sink
 
 
 class FolderSource:
@@ -39,29 +40,48 @@ class FolderSource:
         rows = rows.withColumns({"kind": kind, "seq": F.lit(0).cast("long")})
         return payload_records(rows, F.lit(""))
 
+    def _listing(self, attempt: str) -> DataFrame:
+        return self.spark.read.schema(ENTRY).parquet(f"{self.listing_dir}/{attempt}")
+
     def listing(self, version: int) -> DataFrame:
-        return self.spark.read.schema(ENTRY).parquet(f"{self.listing_dir}/version={version:010d}")
+        """The listing that led to a committed version."""
+        return self._listing(manifests.read(self.spark, self.log_dir, version).attempt)
 
     def poll(self, full: bool = False) -> int:
-        """Append what changed since the last poll; returns the log version.
+        """Append what changed since the last poll; returns the newest log version.
 
         Files of unchanged size and time are taken as unchanged; ``full`` reads
         and hashes them again.
 
-        The new listing is written before the log, under the number of the log
-        version it leads to, so a poll that died can simply be run again.
+        Listing and changes belong to one attempt, which the manifest of the log
+        version names. A poll that dies has committed both or neither; run it again.
         """
-        last, seq, mark = changelog.last_position(self.spark, self.log_dir)
-        old = self.listing(last) if last else None
-        new_version = last + 1
-        self.list(None if full else old).select(*ENTRY.names).write.mode("overwrite").parquet(
-            f"{self.listing_dir}/version={new_version:010d}"
-        )
-        changelog.append_changes(
-            old, self.listing(new_version), self.log_dir, new_version, seq,
-            self.options.max_entries_per_batch, mark,
+        last = manifests.recover(self.spark, self.log_dir)
+        old = self._listing(last.attempt) if last else None
+        version = last.version + 1 if last else 1
+        attempt = manifests.new_attempt(version)
+        found = self.list(None if full else old).select(*ENTRY.names)
+        found.write.parquet(f"{self.listing_dir}/{attempt}")
+        done = changelog.append_changes(
+            old, self._listing(attempt), self.log_dir, version, last.last_seq if last else 0,
+            self.options.max_entries_per_batch, last.mark if last else 0, attempt, self.options.bytes_per_file,
         )
-        return new_version
+        if done is None:
+            remove_dir(self.spark, f"{self.listing_dir}/{attempt}")
+        if last:
+            self._drop_listings(last)
+        return version if done else version - 1
+
+    def _drop_listings(self, last: manifests.Manifest) -> None:
+        """Remove listings of trimmed versions, and of attempts that lost against ``last``."""
+        oldest = manifests.versions(self.spark, self.log_dir)[-1]
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.listing_dir)
+        store = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in store.listStatus(path):
+            name = status.getPath().getName()
+            version = int(name.split("-")[0])
+            if version < oldest or (version == last.version and name != last.attempt):
+                store.delete(status.getPath(), True)
 
     def changes(self, after: int | None = None) -> DataFrame:
         """The log as a stream, ``files_per_batch`` of its files (pages) per micro-batch."""
@@ -113,12 +133,11 @@ class FolderSource:
 
     def trim(self, checkpoints: list[str]) -> None:
         """Remove what none of the queries with these checkpoints needs any more:
-        log versions below the one each has delivered last, and their listings.
+        log versions below the one each has delivered last.
         A query that has delivered nothing yet keeps everything."""
         done = [changelog.delivered_version(self.spark, delivered_notes(c)) for c in checkpoints]
         if done and None not in done:
             changelog.trim(self.spark, self.log_dir, min(done))
-            changelog.trim(self.spark, self.listing_dir, min(done))
 
 
 def delivered_notes(checkpoint: str) -> str:

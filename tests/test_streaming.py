@@ -13,7 +13,8 @@ from drivesync.operators import reassemble as re
 from drivesync.operators import tree_sink
 from drivesync.operators.destination import live_files
 from drivesync.options import SourceOptions
-from drivesync.streaming import changelog, sink
+from drivesync.session import settings
+from drivesync.streaming import changelog, manifests, sink
 from drivesync.streaming.reassembly import reassemble_stream
 from drivesync.streaming.source import FolderSource
 
@@ -141,9 +142,8 @@ def test_expired_position_relists(spark, tmp_path):
     job = Job(spark, tmp_path)
     fill(job.root, {"/a": b"1", "/b": b"2"})
     job.source.poll()
-    rows = changelog.read_log(spark, job.source.log_dir)
     kept = str(tmp_path / "kept")
-    rows.withColumn("seq", F.col("seq") + 100).write.parquet(f"{kept}/version=0000000005")
+    changelog.append_changes(None, job.source.listing(1), kept, 5, 100)
     assert as_set(changelog.open_changes(spark, kept, 101, job.source.listing(1)), "seq", "path") == {(102, "/b")}
     behind = job.source.changes_from(1).select("key.file_path")
     assert as_set(behind, "file_path") == {("/b",)}
@@ -275,18 +275,102 @@ def test_publish_starts_at_the_oldest_record_needed(spark, tmp_path):
     assert tree_sink.records_of(actions, new.where("seq < 0")).count() == 0
 
 
-def test_half_written_version_is_written_again(spark, tmp_path):
+def dies(*_):
+    raise RuntimeError("killed")
+
+
+def replica(job):
+    return job.files() == {p: store_hash(d) for p, d in read_all(job.root).items()}
+
+
+@pytest.mark.parametrize("step, committed", [("commit", False), ("publish", True)])
+def test_poll_that_dies_leaves_no_ghosts(spark, tmp_path, monkeypatch, step, committed):
+    """A poll dies, the stream runs, files change, poll and stream go on: the replica is the tree."""
     job = Job(spark, tmp_path)
-    fill(job.root, {f"/f{i}": b"x" * i for i in range(6)})
+    fill(job.root, {"/a": b"1", "/b": b"2"})
     job.source.poll()
-    version = os.path.join(job.source.log_dir, "version=0000000001")
-    parts = sorted(n for n in os.listdir(version) if n.startswith("part-"))
-    for name in ("_SUCCESS", parts[0]):
-        os.remove(os.path.join(version, name))
-    assert changelog.last_version(spark, job.source.log_dir) == 0
+    job.follow()
+    fill(job.root, {"/c": b"3", "/z": b"old", "/a": b"more"})
+    with monkeypatch.context() as patched:
+        patched.setattr(manifests, step, dies)
+        with pytest.raises(RuntimeError, match="killed"):
+            job.source.poll()
+    assert changelog.last_version(spark, job.source.log_dir) == 1 + committed
+    assert changelog.read_log(spark, job.source.log_dir).count() == 2
+    job.follow()
+    assert set(job.files()) == {"/a", "/b"}
+    os.remove(f"{job.root}/c")
+    fill(job.root, {"/z": b"newer"})
+    assert job.source.poll() == 2 + committed
+    job.follow()
+    assert replica(job)
+    seqs = [r.seq for r in changelog.read_log(spark, job.source.log_dir).select("seq").collect()]
+    assert sorted(seqs) == list(range(1, len(seqs) + 1))
+    assert os.listdir(f"{job.source.log_dir}/{manifests.STAGED}") == [] or not committed
+
+
+def test_half_moved_version_is_finished(spark, tmp_path, monkeypatch):
+    """Stores that rename file by file may stop in the middle of a version."""
+    job = Job(spark, tmp_path, page=1)
+    fill(job.root, {f"/f{i}": b"x" * i for i in range(6)})
+    log_dir = job.source.log_dir
+    with monkeypatch.context() as patched:
+        patched.setattr(manifests, "publish", dies)
+        with pytest.raises(RuntimeError, match="killed"):
+            job.source.poll()
+    last = manifests.newest(spark, log_dir)
+    staged, target = manifests.staged_dir(log_dir, last.attempt), manifests.version_dir(log_dir, 1)
+    moved = [os.path.relpath(os.path.join(d, n), staged) for d, _, names in os.walk(staged) for n in names if n.endswith(".parquet")]
+    assert len(moved) == last.files == 6
+    for name in moved[:2]:
+        os.makedirs(os.path.dirname(f"{target}/{name}"), exist_ok=True)
+        os.rename(f"{staged}/{name}", f"{target}/{name}")
+    assert changelog.read_log(spark, log_dir).count() == 0
     assert job.source.poll() == 1
-    assert changelog.read_log(spark, job.source.log_dir).count() == 6
-    assert changelog.last_seq(spark, job.source.log_dir) == 6
+    assert as_set(changelog.read_log(spark, log_dir), "seq") == {(n,) for n in range(1, 7)}
+
+
+def test_of_two_polls_one_commits(spark, tmp_path):
+    job = Job(spark, tmp_path)
+    fill(job.root, {"/a": b"1"})
+    job.source.poll()
+    first = manifests.newest(spark, job.source.log_dir)
+    with pytest.raises(manifests.VersionTaken):
+        changelog.append_changes(None, job.source.listing(1), job.source.log_dir, 1, 0)
+    assert manifests.newest(spark, job.source.log_dir) == first
+    assert (first.rows, first.first_seq, first.last_seq, first.size) == (1, 1, 1, 1)
+
+
+def test_success_markers_are_not_needed(spark, tmp_path):
+    job = Job(spark, tmp_path)
+    fill(job.root, {"/a": b"1"})
+    with settings(spark, {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}):
+        assert job.source.poll() == 1
+        fill(job.root, {"/b": b"2"})
+        assert job.source.poll() == 2 and job.source.poll() == 2
+    job.follow()
+    assert replica(job)
+    plan = changelog.is_expired(spark, job.source.log_dir, 0), changelog.is_expired(spark, job.source.log_dir, -5)
+    assert plan == (False, True)
+
+
+def test_a_micro_batch_is_bounded_in_bytes(spark, tmp_path):
+    job = Job(spark, tmp_path, page=100)
+    job.options = SourceOptions(max_entries_per_batch=100, recursive=True, bytes_per_file=100)
+    fill(job.root, {f"/f{i:02d}": b"x" * 30 for i in range(20)} | {"/f10x": b"y" * 5000})
+    job.source.poll()
+    log_dir, batches = job.source.log_dir, {}
+    for file, size in read_sizes(spark, log_dir):
+        batches.setdefault(file, []).append(size)
+    assert [5000] in batches.values()
+    assert all(sum(sizes) < 200 for sizes in batches.values() if sizes != [5000])
+    assert len([p for p in job.follow().recentProgress if p["numInputRows"]]) == len(batches)
+    assert replica(job)
+
+
+def read_sizes(spark, log_dir):
+    rows = changelog.read_log(spark, log_dir).select("_metadata.file_path", "size")
+    return [tuple(r) for r in rows.collect()]
 
 
 def test_lost_root_fails_the_poll(spark, tmp_path):

@@ -28,6 +28,24 @@ def read_all(root):
     return got
 
 
+def test_entries_that_vanish_cost_no_others(tmp_path):
+    """A file and a folder go while a folder of 12,000 is scanned."""
+    import pyarrow as pa
+
+    root = tmp_path / "r"
+    fill(root, {f"/f{i:05d}": b"" for i in range(12_000)})
+    order = [item.name for item in os.scandir(root)]
+    batches = tree._scan_folders(str(root))(iter([pa.record_batch([pa.array(["", "/gone"])], names=["path"])]))
+    seen = next(batches).column("path").to_pylist()
+    gone = order[len(seen) + 20]
+    os.remove(root / gone)
+    seen += [p for batch in batches for p in batch.column("path").to_pylist()]
+    assert sorted(seen) == sorted(f"/{name}" for name in order if name != gone)
+    lost = tree._scan_folders(str(root / "lost"))(iter([pa.record_batch([pa.array([""])], names=["path"])]))
+    with pytest.raises(FileNotFoundError, match="is it mounted"):
+        list(lost)
+
+
 def test_list_tree(spark, tmp_path):
     fill(tmp_path, {"/a.txt": b"1", "/d/b.txt": b"22", "/d/e/c.txt": b"333", "/d/.drivesync-x": b""})
     os.makedirs(tmp_path / "empty")
