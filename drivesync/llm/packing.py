@@ -9,50 +9,66 @@ is smallest (ties: smallest gap). A bin is opened only where none can take it.
 
 import json
 import zlib
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drivesync.llm.common import released, slices, stored, worker_state
+from drivesync.llm.common import blocks, released, slices, stored, worker_state
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 1
 # Pieces one task packs. The bins a group leaves part empty are a few of thousands.
 GROUP_PIECES = 65_536
 # Words, and stems of words, a worker remembers: twice as many at most.
-CACHE_WORDS = 200_000
-
-
-class Recent(dict):
-    """What was looked up last: when it is full it becomes the older generation,
-    from which what is still used is taken over."""
+CACHE_WORDS = 400_000
+# Characters of the texts whose words are looked up together.
+TEXT_CHARS = 8 << 20
+# What may follow the letters of a word: a run of its own for the tokenizer. No
+# apostrophe (contractions), nothing that begins a special token.
+TAIL = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+MOST_TAILS = 10_000
+# How a tokenizer must split and fold text for words to be units.
+UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+FOLDS = ["NFC", "Replace", "Lowercase"]
+
+
+class Recent:
+    """What was looked up last (``now``): when it is full it becomes the older
+    generation, from which what is still used is taken over."""
 
     def __init__(self, limit: int):
-        super().__init__()
-        self.limit, self.older = limit, {}
-
-    def refresh(self, keys: set, learn) -> None:
-        """Have all ``keys``, from the older generation or by ``learn(missing)``."""
-        if len(self) + len(keys) > self.limit:
-            self.older = dict(self)
-            self.clear()
-        missing = keys - self.keys()
-        taken = {k: self.older[k] for k in missing if k in self.older}
-        self.update(taken)
-        if len(taken) < len(missing):
-            learn(missing - taken.keys())
+        self.limit, self.now, self.older = limit, {}, {}
+
+    def refresh(self, keys, learn) -> dict:
+        """Have all ``keys`` in ``now``, from the older generation or by ``learn(missing)``."""
+        known = self.now
+        missing = [k for k in keys if k not in known]
+        if len(known) + len(missing) > self.limit:
+            self.older, self.now, missing = known, {}, keys
+        known, older, new = self.now, self.older, []
+        for k in missing:
+            value = older.get(k)
+            if value is None:
+                new.append(k)
+            else:
+                known[k] = value
+        if new:
+            learn(new)
+        return known
 
 
 class WordEncoder:
     """Token ids of texts, equal to ``Tokenizer.encode`` of the whole text.
 
     The tokenizer never joins across white space, and a run of letters is one
-    unit of its own, so ids are found once a word and looked up again.
+    unit of its own, so ids are found once a word and looked up again. That holds
+    for tokenizers that split and fold as ``UNITS`` and ``FOLDS`` say; others are
+    refused.
     """
 
     def __init__(self, path: str):
@@ -65,6 +81,10 @@ class WordEncoder:
         self.whole = Tokenizer.from_file(path)
         with open(path) as file:
             spec = json.load(file)
+        folds = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        units = [p.get("pattern", {}).get("Regex") for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])][:1]
+        if folds != FOLDS or units != [UNITS]:
+            raise ValueError(f"{path}: not a tokenizer of lower-cased words, see WordEncoder")
         ends = spec["model"].get("end_of_word_suffix")
         vocabulary = spec["model"]["vocab"]
         self.closing = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -77,37 +97,49 @@ class WordEncoder:
             ]}}
         self.letters = Tokenizer.from_str(json.dumps(spec))
         # Letters that neither composition nor lower case turns into anything but letters.
-        self.simple = re.compile("([A-Za-zÀ-ÖØ-öø-į]+)([.,;:!?]*)")
+        self.simple = re.compile("[A-Za-zÀ-ÖØ-öø-į]+")
         self.words, self.stems = Recent(CACHE_WORDS), Recent(CACHE_WORDS // 2)
-        self.tails = {"": b""}
+        self.tails = {}
 
     def _learn_stems(self, stems: list[str]) -> None:
         ids = np.array(self.letters.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.flatnonzero(self.closing[ids]) + 1
+        known = self.stems.now
         if len(ends) == len(stems):
             raw, begin = ids.tobytes(), 0
             for stem, end in zip(stems, (4 * ends).tolist()):
-                self.stems[stem] = raw[begin:end]
+                known[stem] = raw[begin:end]
                 begin = end
         else:
             for stem in stems:
-                self.stems[stem] = self._encode(stem)
+                known[stem] = self._encode(stem)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        split = [(word, self.simple.fullmatch(word)) for word in words]
-        self.stems.refresh({m[1].lower() for _, m in split if m}, lambda stems: self._learn_stems(sorted(stems)))
-        tails = self.tails
-        for word, m in split:
-            if m is None:
-                self.words[word] = self._encode(word)
+    def _learn(self, words: list[str]) -> None:
+        known, tails, simple = self.words.now, self.tails, self.simple.fullmatch
+        plain, stems, other = [], [], []
+        for word in words:
+            stem = word.rstrip(TAIL)
+            if stem.isalpha() and (stem.isascii() or simple(stem)):
+                plain.append(word)
+                stems.append(stem.lower())
             else:
-                tail = m[2]
-                if tail not in tails:
-                    tails[tail] = self._encode(tail)
-                self.words[word] = self.stems[m[1].lower()] + tails[tail]
+                other.append(word)
+        for word, found in zip(other, self.whole.encode_batch_fast(other, add_special_tokens=False)):
+            known[word] = np.array(found.ids, dtype="<u4").tobytes()
+        ids = self.stems.refresh(dict.fromkeys(stems), lambda new: self._learn_stems(sorted(new)))
+        if len(tails) > MOST_TAILS:
+            tails.clear()
+        for word, stem in zip(plain, stems):
+            tail = word[len(stem):]
+            if not tail:
+                known[word] = ids[stem]
+                continue
+            if tail not in tails:
+                tails[tail] = self._encode(tail)
+            known[word] = ids[stem] + tails[tail]
 
     @staticmethod
     def _folded(text: str) -> str:
@@ -121,18 +153,23 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
         out = []
-        for begin in range(0, len(texts), 500):
-            parts = [self._folded(t).replace("\n", " ").split(" ") if t else [] for t in texts[begin:begin + 500]]
-            missing: set[str] = set()
-            for part in parts:
-                missing.update(filterfalse(self.words.__contains__, part))
-            if missing:
-                before = len(self.words)
-                self.words.refresh(missing, self._learn)
-                if len(self.words) < before:  # a new generation began
-                    self.words.refresh(set().union(*parts), self._learn)
-            known = self.words
-            out += [b"".join(map(known.__getitem__, part)) for part in parts]
+        for begin, end in blocks(texts, TEXT_CHARS):
+            folded = [self._folded(t).replace("\n", " ") if t else "" for t in texts[begin:end]]
+            words = pc.split_pattern(pa.array(folded, pa.large_string()), " ")
+            coded = words.flatten().dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            known = self.words.refresh(distinct, self._learn)
+            ids = [known[word] for word in distinct]
+            sizes = np.array([len(i) // 4 for i in ids], np.int64)
+            first = np.cumsum(sizes) - sizes
+            code = coded.indices.to_numpy()
+            count = sizes[code]
+            ends = np.concatenate([[0], np.cumsum(count)])
+            # Where the ids of each word of the texts are among those of the distinct words.
+            places = np.arange(ends[-1]) + np.repeat(first[code] - ends[:-1], count)
+            flat = np.frombuffer(b"".join(ids), "<u4")[places]
+            edges = ends[words.offsets.to_numpy()]
+            out += [flat[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
         return out
 
 
@@ -158,7 +195,7 @@ def tokenize(
     def run(batches):
         encoder = _encoder(tokenizer)
         close = np.array([end], dtype="<u4").tobytes()
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in slices(whole, 2500)):
             rows = ([], [], [], [], [], [])
             encoded = encoder.encode(batch.column("text").to_pylist())
             for at, raw in enumerate(encoded):

@@ -67,7 +67,7 @@ def test_packing(texts):
 def test_word_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
 
-    odd = ["don't we'll <|endoftext|> á É İx ŉ ß\x85b 　c 12a3 ...!? a.b\tc\r\nd", "", " \n ", "ΑΣ Σ. σ", "ǅ ﬁ ȩ́ J̌", "it's'S 'S <|ENDOFTEXT|>"]
+    odd = ["junk&&& au%%% a_b x__ c++ ***a* (été)### x|y z|| <b> a@b.de [x]'s w&&&'s q\"'ll é&&&", "don't we'll <|endoftext|> á É İx ŉ ß\x85b 　c 12a3 ...!? a.b\tc\r\nd", "", " \n ", "ΑΣ Σ. σ", "ǅ ﬁ ȩ́ J̌", "it's'S 'S <|ENDOFTEXT|>"]
     encoder, tokenizer = packing.WordEncoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
     want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in odd]
     assert encoder.encode(odd) == want
@@ -75,6 +75,11 @@ def test_word_encoder_equals_the_tokenizer():
     assert encoder.encode(odd) == want
 
 
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="not a tokenizer of lower-cased words"):
+        packing.WordEncoder(tokenizer_path().replace("word_bpe_49k", "byte_bpe_50k"))
+
+
 def test_place_takes_the_least_sum_of_squares():
     rng = random.Random(2)
     lengths = np.array([rng.randrange(1, 30) for _ in range(200)])
