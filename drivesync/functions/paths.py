@@ -64,10 +64,25 @@ def target_path(base: Column, collection: Column, name: Column) -> Column:
 
 def escapes_base(path: Column, base: Column) -> Column:
     """True when a cleaned target is neither the cleaned base nor below it."""
-    root = clean_path(base)
+    return outside(path, clean_path(base))
+
+
+def outside(path: Column, root: Column) -> Column:
+    """True when a cleaned path is neither the cleaned folder nor below it."""
     return ~((path == root) | is_under(path, root))
 
 
+def clean_literal(path: str) -> str:
+    """``clean_path`` of a string."""
+    stack: list[str] = []
+    for part in path.split("/"):
+        if part == "..":
+            del stack[-1:]
+        elif part not in ("", "."):
+            stack.append(part)
+    return "/" + "/".join(stack)
+
+
 def explode_ancestors(df, path: str = "path", alias: str = "ancestor", root: bool = False):
     """One row per proper ancestor folder of ``path``; the root (as '') only on request.
 

@@ -8,7 +8,7 @@ are refused.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drivesync.functions.paths import escapes_base, target_path
+from drivesync.functions.paths import clean_literal, clean_path, outside, target_path
 from drivesync.schemas import (
     CHUNK_COUNT, CHUNK_INDEX, COLLECTION, DELETE, ERR_COUNT_MISSING, ERR_COUNT_PARSE, ERR_ESCAPE,
     ERR_HASH_MISSING, ERR_INDEX_MISSING, ERR_INDEX_PARSE, ERR_INDEX_RANGE, ERR_NAME_MISSING,
@@ -71,6 +71,8 @@ def parse_records(
     The collection of a record is absolute, so a replica is laid out as base
     plus the full source folder; ``strip_prefix`` removes a leading part of it.
     """
+    # A folder that is the same for all records is cleaned once, not per record.
+    root = F.lit(clean_literal(base)) if isinstance(base, str) else clean_path(base)
     base = F.lit(base) if isinstance(base, str) else base
     collection = meta(COLLECTION)
     if strip_prefix:
@@ -90,7 +92,7 @@ def parse_records(
     }
     keep = [c for c in records.columns if c not in fields and c != "error"]
     parsed = records.select(*keep, *[value.alias(name) for name, value in fields.items()])
-    parsed = parsed.withColumn("_escapes", escapes_base(F.col("target_path"), base))
+    parsed = parsed.withColumn("_escapes", outside(F.col("target_path"), root))
     parsed = parsed.select(
         *keep, F.struct(*fields, first_error().alias("error")).alias("_parsed")
     )

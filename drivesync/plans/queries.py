@@ -18,13 +18,13 @@ from drivesync.operators.routing import route
 from drivesync.plans import views
 from drivesync.plans.views import BYTES_PER_BATCH, CHUNK
 from drivesync.schemas import (
-    CHUNK_COUNT, CHUNK_INDEX, CHUNK_INFO, COLLECTION, FILE_CHUNKED, FILE_HASH, FILE_ID, FILE_NAME, FILE_PATH,
+    ACTION, CHUNK_COUNT, CHUNK_INDEX, CHUNK_INFO, COLLECTION, FILE_CHUNKED, FILE_HASH, FILE_ID, FILE_NAME, FILE_PATH,
     FILE_SIZE, TAG_DELETED,
 )
 from drivesync.session import new_dir
 from drivesync.sources import listing
 from drivesync.streaming import sink
-from drivesync.streaming.reassembly import reassemble_stream
+from drivesync.streaming.reassembly import chunk_stream, finished_uploads, track_uploads, upload_chunks
 
 PAGE = 10
 LOG_CURSOR = 500
@@ -369,19 +369,26 @@ def q28_incomplete(spark, d):
 
 
 def q29_stream_reassemble(spark, d):
-    """The drive's chunks as a stream through checkpointed state."""
+    """The drive's chunks as a stream: staged once, tracked in checkpointed state, read when complete."""
     schema = views.table(spark, d, "documents").schema
     # A glob, so that the table may be one file or a folder of them.
     documents = spark.readStream.schema(schema).parquet(f"{d}/documents.parque[t]")
     files = views.drive_of(documents).withColumn("content_hash", content_hash(F.col("content")))
+    chunks = _chunks_of(files).withColumnRenamed("data", "payload_after").withColumns({
+        "action": F.lit("chunk"), "length": F.octet_length("payload_after").cast("long"),
+        "error": F.lit(None).cast("string"), "failed": F.lit(False),
+    })
     work = new_dir(spark, "q29")
-    sink.start(
-        reassemble_stream(_chunks_of(files)), sink.segment_sink(f"{work}/segments"),
-        f"{work}/checkpoint",
-    ).awaitTermination()
-    parts = sink.read_stream_segments(spark, f"{work}/segments")
-    hashes = re.hash_segments(parts)
-    return re.manifest(parts).join(hashes, re.FILE_KEY).select(
+    actions, sessions = f"{work}/actions", f"{work}/sessions"
+
+    def stage(rows, batch_id):
+        sink.write_actions(rows.select(*ACTION.names), sink.batch_folder(rows.sparkSession, actions, batch_id), "overwrite")
+
+    sink.start(chunks, stage, f"{work}/staging").awaitTermination()
+    sink.start(track_uploads(chunk_stream(spark, actions)), sink.session_sink(sessions), f"{work}/tracking").awaitTermination()
+    finished = finished_uploads(sink.read_sessions(spark, sessions))
+    parts = _stored(spark, re.segments(upload_chunks(sink.read_actions(spark, actions), finished)), "q29")
+    return re.manifest(parts).join(re.hash_segments(parts), re.FILE_KEY).select(
         F.col("target_path").alias("path"), "bytes", "status", "content_hash"
     )
 

@@ -93,6 +93,9 @@ SEGMENT = T.StructType([
     T.StructField("content", T.BinaryType()),
 ])
 
+# What the state of a stream knows of a segment.
+SESSION = T.StructType([field for field in SEGMENT.fields if field.name != "content"])
+
 # As stored: ``multi`` is the folder, true for files of several segments.
 STORED_SEGMENT = T.StructType(SEGMENT.fields + [T.StructField("multi", T.BooleanType())])
 

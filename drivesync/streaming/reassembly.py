@@ -1,83 +1,73 @@
-"""Stream reassembly: chunks wait in checkpointed state until a segment is full.
-
-State is kept per segment of a file, not per file, so one key holds at most
-``SEGMENT_CHUNKS`` chunks and a huge file spreads over many tasks. Sessions
-survive a restart, chunks may come in any order and again, a single-chunk
-file completes at once, and segments that stay unfinished are given up after
-a time and reported.
+"""Which uploads are complete, from a stream of chunk actions.
+
+Payload is staged once, in the action table. The stream reads only its slim
+columns, and the state of a segment of a file is a bitmap of the chunks that
+are there, with byte count and positions: a few numbers, whatever the chunks
+hold. Sessions survive a restart, chunks may come in any order and again, a
+single-chunk file completes at once, and segments that stay unfinished are
+given up after a time and reported. Content is read from the action table when
+a file is complete.
 """
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from drivesync.operators.reassemble import FILE_KEY, SEGMENT_CHUNKS, segment_of
-from drivesync.schemas import SEGMENT
+from drivesync.schemas import ACTION, SESSION
 
 DEFAULT_TTL_MS = 24 * 60 * 60 * 1000
+# Of an upload in progress. The newest position of one already reported is a state of its own.
+STATE = "present bigint, bytes bigint, seq bigint, last_seq bigint, size bigint"
 
-class SegmentAssembler(StatefulProcessor):
-    """Emits a segment once when its chunks are all there, or its loss on timeout.
 
-    ``mark`` holds the newest position already sent and whether chunks are
-    waiting; a segment that arrives in one batch costs one read and one write
-    of it and never puts its payload into state.
-    """
+class UploadTracker(StatefulProcessor):
+    """Emits a segment once when its chunks are all there, or its loss on timeout."""
 
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
 
     def init(self, handle):
         self.handle = handle
-        self.chunks = handle.getMapState(
-            "chunks", "chunk_index bigint", "seq bigint, size bigint, data binary"
-        )
-        # Outlives the timer that clears waiting chunks.
-        self.mark = handle.getValueState("mark", "sent bigint, waiting boolean", 2 * self.ttl_ms)
+        self.session = handle.getValueState("session", STATE)
+        # Outlives the timer that gives waiting chunks up.
+        self.sent = handle.getValueState("sent", "seq bigint", 2 * self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        sent, waiting = self.mark.get() or (None, False)
-        fresh = {}
+        (sent,) = self.sent.get() or (None,)
+        present, size_sum, seq, last, size = self.session.get() or (0, 0, None, None, None)
+        waiting = present
         for row in rows:
-            # Copies of a segment already sent are no new upload.
+            # Copies of an upload already reported are no new one.
             if sent is not None and row.seq <= sent:
                 continue
-            index = row.chunk_index
-            if index not in fresh or fresh[index][0] < row.seq:
-                fresh[index] = (row.seq, row.size, bytes(row.data))
-        if not fresh:
+            bit = 1 << ((row.chunk_index - 1) % SEGMENT_CHUNKS)
+            if not present & bit:
+                present |= bit
+                size_sum += row.length
+            seq = row.seq if seq is None else min(seq, row.seq)
+            if last is None or row.seq >= last:
+                last, size = row.seq, row.size
+        if not present:
             return
-        held = self.waiting_chunks() if waiting else {}
-        newer = {i: v for i, v in fresh.items() if i not in held or held[i][0] < v[0]}
-        held.update(newer)
-        if len(held) < wanted(key):
-            for index, value in newer.items():
-                self.chunks.updateValue((index,), value)
+        if present.bit_count() < wanted(key):
             if not waiting:
-                self.mark.update((sent, True))
-                self.handle.registerTimer(
-                    timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms
-                )
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
+            self.session.update((present, size_sum, seq, last, size))
             return
         if waiting:
             self.forget()
-        self.mark.update((max(v[0] for v in held.values()), False))
-        yield segment_row(key, held, b"".join(held[i][2] for i in sorted(held)))
+        self.sent.update((last,))
+        yield session_row(key, present, size_sum, seq, last, size)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = self.waiting_chunks()
+        held = self.session.get()
         if held:
-            sent = (self.mark.get() or (None, False))[0]
             self.forget()
-            self.mark.update((sent, False))
-            yield segment_row(key, held, None)
-
-    def waiting_chunks(self):
-        return {i[0]: (v[0], v[1], bytes(v[2])) for i, v in self.chunks.iterator()}
+            yield session_row(key, *held)
 
     def forget(self):
-        self.chunks.clear()
+        self.session.clear()
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
 
@@ -90,46 +80,43 @@ def wanted(key) -> int:
     return min(count - segment * SEGMENT_CHUNKS, SEGMENT_CHUNKS)
 
 
-def segment_row(key, held, content) -> Row:
-    values = list(held.values())
+def session_row(key, present, size_sum, seq, last, size) -> Row:
     return Row(
-        target_path=key[0], hash=key[1], chunk_count=key[2], segment=key[3],
-        have=len(values), want=wanted(key), bytes=sum(len(v[2]) for v in values),
-        seq=min(v[0] for v in values), last_seq=max(v[0] for v in values),
-        size=max(v[1] for v in values), content=content,
+        target_path=key[0], hash=key[1], chunk_count=key[2], segment=key[3], have=present.bit_count(),
+        want=wanted(key), bytes=size_sum, seq=seq, last_seq=last, size=size,
     )
 
 
-def drop_copies(batches):
-    """Keep the latest copy of each chunk inside an Arrow batch.
-
-    Runs before the shuffle by segment, so a chunk sent very often does not
-    travel as often; payload buffers are filtered, not decoded.
-    """
-    names = [*FILE_KEY, "chunk_index", "seq"]
-    for batch in batches:
-        keys = pa.table({name: batch.column(name) for name in names})
-        keys = keys.append_column("row", pa.array(range(batch.num_rows), pa.int64()))
-        ordered = keys.sort_by([("seq", "ascending"), ("row", "ascending")])
-        last = ordered.group_by(names[:-1], use_threads=False).aggregate([("row", "last")])
-        kept = last["row_last"].combine_chunks()
-        yield batch if len(kept) == batch.num_rows else batch.take(kept)
+def chunk_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunk actions of an action table as a stream, without their payload."""
+    actions = spark.readStream.schema(ACTION).parquet(folder)
+    return actions.where(~F.col("failed") & (F.col("action") == "chunk")).select(
+        *FILE_KEY, "chunk_index", "size", "seq", "length")
 
 
-def reassemble_stream(chunks: DataFrame, ttl_ms: int = DEFAULT_TTL_MS) -> DataFrame:
-    """Segments of a chunk stream, as ``operators.reassemble.segments`` gives in batch.
+def track_uploads(chunks: DataFrame, ttl_ms: int = DEFAULT_TTL_MS) -> DataFrame:
+    """Finished segments of a ``chunk_stream``, and those given up after ``ttl_ms`` (``have`` < ``want``).
 
-    Rows with null ``content`` are segments given up after ``ttl_ms``. Needs
-    the RocksDB state store (``session.STATE_STORE``).
+    ``bytes`` counts the first copy of each chunk. Needs the RocksDB state
+    store (``session.STATE_STORE``).
     """
-    columns = [*FILE_KEY, "chunk_index", "size", "seq", "data"]
-    once = chunks.select(*columns)
-    once = once.mapInArrow(drop_copies, once.schema)
     return (
-        once.withColumn("segment", segment_of(F.col("chunk_index")))
+        chunks.withColumn("segment", segment_of(F.col("chunk_index")))
         .groupBy(*FILE_KEY, "segment")
-        .transformWithState(
-            SegmentAssembler(ttl_ms), SEGMENT, "append", "processingTime"
-        )
+        .transformWithState(UploadTracker(ttl_ms), SESSION, "append", "processingTime")
     )
 
+
+def finished_uploads(sessions: DataFrame) -> DataFrame:
+    """``FILE_KEY, last_seq`` of the files all of whose segments are reported as finished."""
+    done = sessions.where(F.col("have") == F.col("want")).groupBy(*FILE_KEY, "segment").agg(
+        F.max("have").alias("have"), F.max("last_seq").alias("last_seq"))
+    files = done.groupBy(*FILE_KEY).agg(F.sum("have").alias("have"), F.max("last_seq").alias("last_seq"))
+    return files.where(F.col("have") == F.col("chunk_count")).drop("have")
+
+
+def upload_chunks(actions: DataFrame, finished: DataFrame) -> DataFrame:
+    """Chunks with payload of finished uploads, as ``reassemble.segments`` takes them."""
+    chunks = actions.where(F.col("action") == "chunk").withColumnRenamed("payload_after", "data")
+    joined = chunks.join(finished.withColumnRenamed("last_seq", "_last"), FILE_KEY)
+    return joined.where(F.col("seq") <= F.col("_last")).select(*FILE_KEY, "chunk_index", "size", "seq", "data")

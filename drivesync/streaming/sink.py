@@ -13,9 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 from drivesync.operators.destination import live_files
 from drivesync.operators.dispatch import parse_records
 from drivesync.operators.integrity import refuse_wrong_hashes
-from drivesync.operators.reassemble import read_segments, store_segments
 from drivesync.options import scope_path
-from drivesync.schemas import ACTION
+from drivesync.schemas import ACTION, SESSION
 from drivesync.session import NO_DATA_BATCHES, PAYLOAD_PARQUET, ROCKSDB, STATE_STORE, settings
 
 # Deletes, chunks and whole files are read apart from each other.
@@ -67,19 +66,21 @@ def action_sink(folder: str, base: str | Column = "", strict: bool = False, veri
     return write
 
 
-def segment_sink(folder: str):
-    """foreachBatch function for the output of ``reassemble_stream``."""
-    return lambda rows, batch_id: store_segments(rows, batch_folder(rows.sparkSession, folder, batch_id))
+def session_sink(folder: str):
+    """foreachBatch function for the output of ``track_uploads``."""
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(batch_folder(rows.sparkSession, folder, batch_id))
+
+    return write
 
 
-def read_stream_segments(spark: SparkSession, folder: str) -> DataFrame:
-    """Finished segments; given-up ones are short of chunks."""
-    return read_segments(spark, folder).where(F.col("have") == F.col("want"))
+def read_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments reported so far: finished ones, and given-up ones, which are short of chunks."""
+    return spark.read.schema(SESSION).parquet(folder).drop("batch_id")
 
 
 def read_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    """Segments given up after their time; they have no content."""
-    return read_segments(spark, folder).where(F.col("have") < F.col("want")).drop("content")
+    return read_sessions(spark, folder).where(F.col("have") < F.col("want"))
 
 
 def start(stream: DataFrame, write, checkpoint: str, once: bool = True,

@@ -50,3 +50,8 @@ def test_ancestors(spark):
 def test_no_python_in_plan(spark):
     df = spark.range(1).select(paths.clean_path(F.lit("/a/../b")))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_clean_literal_equals_the_column(spark):
+    for text in ("", "/", "/a", "a/b/", "//a//b", "/a/./b/../c", "..", "/../a", "a/../../b"):
+        assert spark.range(1).select(paths.clean_path(F.lit(text))).first()[0] == paths.clean_literal(text), text

@@ -15,7 +15,7 @@ from drivesync.operators.destination import live_files
 from drivesync.options import SourceOptions
 from drivesync.session import settings
 from drivesync.streaming import changelog, manifests, sink
-from drivesync.streaming.reassembly import reassemble_stream
+from drivesync.streaming.reassembly import STATE, chunk_stream, finished_uploads, track_uploads, upload_chunks
 from drivesync.streaming.source import FolderSource
 
 
@@ -155,16 +155,22 @@ def test_expired_position_relists(spark, tmp_path):
 
 
 def run_chunks(spark, batches, base, ttl_ms=3_600_000):
-    """Each list of rows becomes one file, each file one micro-batch."""
-    source, out = str(base / "in"), str(base / "out")
-    for rows in batches:
-        spark.createDataFrame(rows, CHUNKS).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(CHUNKS).option("maxFilesPerTrigger", 1).parquet(source)
+    """Each list of rows becomes a batch of the action table and one micro-batch."""
+    table, out = str(base / "in"), str(base / "out")
+    for number, rows in enumerate(batches):
+        frame = spark.createDataFrame(rows, CHUNKS).coalesce(1).withColumnRenamed("data", "payload_after").withColumns({
+            "action": F.lit("chunk"), "failed": F.lit(False), "error": F.lit(None).cast("string"),
+            "length": F.octet_length("payload_after").cast("long"),
+        })
+        sink.write_actions(frame.select(*s.ACTION.names), f"{table}/batch_id=local-{number}", "overwrite")
         sink.start(
-            reassemble_stream(stream, ttl_ms), sink.segment_sink(out), str(base / "ckpt")
+            track_uploads(chunk_stream(spark, table), ttl_ms), sink.session_sink(out), str(base / "ckpt")
         ).awaitTermination()
         time.sleep(0.05)
-    return sink.read_stream_segments(spark, out), sink.read_orphans(spark, out)
+    finished = finished_uploads(sink.read_sessions(spark, out))
+    re.store_segments(re.segments(upload_chunks(sink.read_actions(spark, table), finished)), str(base / "parts"))
+    parts = re.read_segments(spark, str(base / "parts"))
+    return parts, sink.read_orphans(spark, out), sink.read_sessions(spark, out)
 
 
 def test_state_across_restarts(spark, tmp_path):
@@ -177,18 +183,26 @@ def test_state_across_restarts(spark, tmp_path):
     rng.shuffle(rows)
     half = len(rows) // 2
     # Copies of early chunks come again with the later ones.
-    parts, orphans = run_chunks(spark, [rows[:half], rows[half:] + rows[:20]], tmp_path)
+    parts, orphans, sessions = run_chunks(spark, [rows[:half], rows[half:] + rows[:20]], tmp_path)
     done = re.manifest(parts)
     assert as_set(done, "target_path", "status") == {(p, "complete") for p in files}
     hashes = dict(as_set(re.hash_segments(parts, 64), "target_path", "content_hash"))
     assert hashes == {p: store_hash(d, 64) for p, d in files.items()}
-    assert parts.count() == parts.select("target_path", "segment").distinct().count()
+    # Each segment is reported once, with what it holds.
+    assert as_set(sessions, "target_path", "segment", "have", "bytes") == as_set(parts, "target_path", "segment", "have", "bytes")
+    assert sessions.count() == parts.count()
     assert orphans.count() == 0
 
 
+def test_state_and_stream_hold_no_payload(spark, tmp_path):
+    assert "data" not in STATE and "content" not in s.SESSION.names
+    sink.action_sink(str(tmp_path))(records(spark, *chunked(1, "n", b"abcdef", 2)), 0)
+    assert chunk_stream(spark, str(tmp_path)).columns == [*re.FILE_KEY, "chunk_index", "size", "seq", "length"]
+
+
 def test_given_up_segments_are_reported(spark, tmp_path):
     lost = split("/lost", b"abcdef", 2)[:2]
-    parts, orphans = run_chunks(
+    parts, orphans, _ = run_chunks(
         spark, [lost, split("/fine", b"abcdef", 2), split("/fine2", b"abcdef", 2)], tmp_path, ttl_ms=1
     )
     assert as_set(parts, "target_path") == {("/fine",), ("/fine2",)}
