@@ -270,12 +270,15 @@ def jaccard_join(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFram
         raise ValueError(f"percent must be from 1 to 100, not {percent}")
     seen = stored(signatures(docs.select("doc_id", "text"), percent, width), "signatures")
     linkable = seen.where("n > 0 and doc_id is not null")
-    classes = _classes(linkable)
-    one = linkable.join(classes.select("row", "node", "doc"), "row")
+    first = linkable.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").cast("long").alias("doc"), "row")).alias("r"))
+    classes = stored(first.select("k1", "k2", "r.doc", F.col("r.row").alias("node")), "classes")
+    copies = linkable.select("k1", "k2", "row").join(classes, ["k1", "k2"]).where("row <> node").select("row")
+    # Copies are left out, not first ones picked: keys need not move where copies are few.
+    one = linkable.join(stored(copies, "copies"), "row", "left_anti").withColumnsRenamed({"row": "node"})
     members = _members(one)
     shared = stored(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     shared = stored(members.join(shared, "key"), "entries")
-    slim = one.select("node", "doc", "text_key", "n", "need", "segments", "neighbours", *PARITY)
+    slim = one.select("node", F.col("doc_id").cast("long").alias("doc"), "text_key", "n", "need", "segments", "neighbours", *PARITY)
     entries = stored(allocate(shared, slim), "allocated")
     probed = entries.where("probing").select("key").distinct()
     live = stored(entries.join(probed, "key", "left_semi").join(slim.select("node", "n", *PARITY), "node"), "live")
@@ -283,7 +286,8 @@ def jaccard_join(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFram
     sets = stored(_sets(docs, stored(nodes, "nodes"), width), "sets")
     links, roots = _links(live, sets, percent)
     several = linkable.groupBy("doc_id").agg((F.min("k1") < F.max("k1")).alias("several")).where("several").select("doc_id")
-    same = linkable.join(several, "doc_id").join(classes, ["k1", "k2"]).select(F.col("doc_id").cast("long").alias("a"), F.col("node").alias("b"))
+    same = linkable.join(several, "doc_id").join(classes, ["k1", "k2"]).select("doc_id", "node")
+    same = same.groupBy("doc_id").agg(F.min("node").alias("a")).join(same, "doc_id").select("a", F.col("node").alias("b"))
     if not same.isEmpty():
         roots = components(links.unionByName(same), "links")
     placed = classes.join(roots, "node", "left").select("k1", "k2", "doc", F.coalesce("root", "node").alias("root"))
@@ -293,12 +297,3 @@ def jaccard_join(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFram
                                   & F.col("doc_id").isNotNull() & (F.col("n") > 0), "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", F.col("doc_id").cast("long")).alias("component_id"))
 
-
-def _classes(linkable: DataFrame) -> DataFrame:
-    """``k1, k2, doc, row, node`` of each set: least ``doc_id``, one row with it, and a number of
-    its own: ``doc``, or a hash where another set has the same."""
-    first = linkable.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").cast("long").alias("doc"), "row")).alias("r"))
-    first = stored(first.select("k1", "k2", "r.*"), "classes")
-    again = first.groupBy("doc").agg(F.count("*").alias("sets")).where("sets > 1")
-    node = F.when(F.col("sets").isNull(), F.col("doc")).otherwise(F.xxhash64("k1", "k2"))
-    return stored(first.join(again, "doc", "left").select("k1", "k2", "doc", "row", node.alias("node")), "classes")
