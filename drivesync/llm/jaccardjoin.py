@@ -56,7 +56,7 @@ def band_tops(percent: int) -> np.ndarray:
 
 def neighbour_segments(segments):
     """How many segments of a band have one-deletion keys."""
-    return np.where(segments > 1, np.minimum(segments, 4 + segments // 16), 0)
+    return np.where(segments > 1, np.minimum(segments, 2 + segments // 32), 0)
 
 
 def sets_of(texts: list, tables, width: int):
