@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drivesync.functions.hashing import block_count, content_hash
-from drivesync.functions.paths import parent_dir, target_path
+from drivesync.functions.paths import escapes_base, parent_dir, target_path
 from drivesync.functions.positions import (
     chunk_info, decode_position, encode_position, unix_nanos,
 )
@@ -286,7 +286,7 @@ def q24_target_path(spark, d):
     )
     path = target_path(F.col("base"), F.col("collection"), F.col("filename"))
     return rows.select("base", "collection", "filename", path.alias("target")).withColumn(
-        "escapes", dispatch.escapes_base(F.col("target"), F.col("base"))
+        "escapes", escapes_base(F.col("target"), F.col("base"))
     )
 
 
