@@ -10,9 +10,9 @@ from drivesync.streaming import reassembly
 
 
 @pytest.mark.parametrize("task", [
-    reassembly.drop_copies, reassembly.SegmentAssembler(1), tree._scan_folders("/x"),
+    reassembly.UploadTracker(1), tree._scan_folders("/x"),
     tree_sink._write_pieces("/x"), tree_sink._commit_files("/x"), tree_sink._remove_paths("/x"),
-], ids=["copies", "assembler", "scan", "write", "commit", "remove"])
+], ids=["tracker", "scan", "write", "commit", "remove"])
 def test_tasks_load_without_the_package(task, tmp_path):
     """Executors may not have the package on their path."""
     (tmp_path / "task").write_bytes(cloudpickle.dumps(task))
