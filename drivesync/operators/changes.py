@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from drivesync.functions.numbers import int_div
 from drivesync.functions.paths import base_name
+from drivesync.operators.apply import latest_per_path
 from drivesync.operators.routing import is_file
 from drivesync.operators.skew import running
 from drivesync.options import check_positive
@@ -57,9 +58,10 @@ def diff_listings(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def next_changes(old: DataFrame, new: DataFrame, last_seq: int) -> DataFrame:
-    """Diff as change-log rows numbered from ``last_seq + 1`` in path order."""
-    return number_rows(_tombstones(diff_listings(old, new)), "path", "_rn").withColumn(
+def next_changes(old: DataFrame, new: DataFrame, last_seq: int, diff=diff_listings) -> DataFrame:
+    """Diff as change-log rows numbered from ``last_seq + 1`` in path order.
+    ``diff`` is how listings are compared, see also ``digests.diff_by_digests``."""
+    return number_rows(_tombstones(diff(old, new)), "path", "_rn").withColumn(
         "seq", F.col("_rn") + F.lit(last_seq)
     ).drop("_rn")
 
@@ -102,20 +104,30 @@ def resync_since(listing: DataFrame, last_processed_nanos: int) -> DataFrame:
     return listing.where(F.col("server_modified") >= mark)
 
 
-def resume_decision(positions: DataFrame, log: DataFrame) -> DataFrame:
-    """Per saved position: resume, resync (its successor is no longer kept) or up_to_date.
+def compact_log(log: DataFrame) -> DataFrame:
+    """The last change of each path, tombstones included, in the columns of the log.
+
+    What a consumer whose position is anywhere in the log gets from the rows
+    behind it, it also gets from their compaction: each path ends in the same
+    state, and a delete of a folder keeps its place between the writes below it.
+    """
+    return latest_per_path(log).select(*log.columns)
+
+
+def resume_decision(positions: DataFrame, log: DataFrame, floor: int | None = None) -> DataFrame:
+    """Per saved position: resume, up_to_date, or for those whose successor is no
+    longer kept compacted or resync.
 
     ``positions(consumer, saved)``; the retained range is one aggregate over
-    the log, read as scalar subqueries.
+    the log, read as scalar subqueries. What was trimmed behind ``floor`` is
+    kept in compacted form; None: nothing is.
     """
     first = log.agg(F.min("seq").alias("v")).scalar()
     last = log.agg(F.max("seq").alias("v")).scalar()
-    return positions.withColumn(
-        "status",
-        F.when(F.col("saved") + 1 < first, "resync")
-        .when(F.col("saved") >= last, "up_to_date")
-        .otherwise("resume"),
-    )
+    trimmed = F.col("saved") + 1 < first
+    status = F.when(trimmed & (F.col("saved") >= floor), "compacted").when(trimmed, "resync") \
+        if floor is not None else F.when(trimmed, "resync")
+    return positions.withColumn("status", status.when(F.col("saved") >= last, "up_to_date").otherwise("resume"))
 
 
 def micro_batch(seq: Column, size: int, first: int = 1) -> Column:

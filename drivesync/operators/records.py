@@ -11,10 +11,14 @@ from drivesync.functions.positions import chunk_info, encode_position, unix_nano
 from drivesync.operators.chunking import chunk_count, pieces
 from drivesync.operators.routing import route
 from drivesync.schemas import (
-    CHUNK_COUNT, CHUNK_INDEX, COLLECTION, CREATE, DELETE, FILE_CHUNKED, FILE_HASH, FILE_ID,
-    FILE_NAME, FILE_PATH, FILE_SIZE, TAG_DELETED,
+    BAD_JSON, CHUNK_COUNT, CHUNK_INDEX, COLLECTION, CREATE, DELETE, ERR_NO_KEY, ERR_NO_OPERATION, ERR_NO_RECORD,
+    FILE_CHUNKED, FILE_HASH, FILE_ID, FILE_NAME, FILE_PATH, FILE_SIZE, RECORD_JSON, TAG_DELETED,
 )
 
+RECORD_FIELDS = ["position", "operation", "metadata", "key", "payload_before", "payload_after"]
+# Operations of the record format. Snapshots and updates write like creates.
+OPERATIONS = ("create", "update", "delete", "snapshot")
+
 
 def place_keys() -> list[Column]:
     return [
@@ -134,3 +138,43 @@ def record_json(with_payload: bool = True) -> Column:
             {"ignoreNullFields": "false"},
         )
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def read_json(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Records of JSON text, the opposite of ``record_json``; other columns stay in front.
+
+    Adds ``position, operation, metadata, key, payload_before, payload_after``
+    and ``record_error``. A line that is no such record stays as a row with its
+    text in ``bad_line`` and the reason in ``record_error``: null or not JSON, an
+    object or map of another type, payload that is not base64, no operation of the
+    known ones, or no file path in the key; its record columns are null. Unknown
+    fields are ignored, missing ones are null, and a text without payload gives
+    null payloads.
+    """
+    # Columns that are replaced, and the text itself, go.
+    added = [*RECORD_FIELDS, "record_error", "bad_line"]
+    keep = [F.col(f"`{c}`") for c in lines.columns if c not in (*added, line)]
+    text = F.col(f"`{line}`")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_JSON}
+    parsed = lines.select(*keep, text.alias("_line"), F.from_json(text, RECORD_JSON, options).alias("_r"))
+    error = (
+        F.when(F.col("_r").isNull() | F.col(f"_r.{BAD_JSON}").isNotNull(), ERR_NO_RECORD)
+        .when(~F.coalesce(F.col("_r.operation").isin(*OPERATIONS), F.lit(False)), ERR_NO_OPERATION)
+        .when(F.col("_r.key.file_path").isNull(), ERR_NO_KEY)
+    )
+    sources = {name: name for name in RECORD_FIELDS[:4]} | {
+        "payload_before": "payload.before", "payload_after": "payload.after"}
+    fields = F.struct(
+        # What was read of a torn text before it ended is no record.
+        *[F.when(error.isNull(), F.col(f"_r.{source}")).alias(name) for name, source in sources.items()],
+        error.alias("record_error"),
+        F.when(error.isNotNull(), F.col("_line")).alias("bad_line"),
+    )
+    # Behind a generator the text is parsed once, not once per reference.
+    return parsed.select(*keep, F.inline(F.array(fields)))
+
+
+def split_records(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records of ``read_json``, and the lines that are none."""
+    failed = F.col("record_error").isNotNull()
+    return decoded.where(~failed).drop("record_error", "bad_line"), decoded.where(failed).drop(*RECORD_FIELDS)

@@ -11,9 +11,9 @@ from drivesync.functions.paths import escapes_base, parent_dir, target_path
 from drivesync.functions.positions import (
     chunk_info, decode_position, encode_position, unix_nanos,
 )
-from drivesync.operators import apply, changes, chunking, destination, dispatch, integrity
+from drivesync.operators import apply, changes, chunking, destination, digests, dispatch, integrity
 from drivesync.operators import reassemble as re
-from drivesync.operators.records import delete_records, record_json, to_records
+from drivesync.operators.records import delete_records, read_json, record_json, to_records
 from drivesync.operators.routing import route
 from drivesync.plans import views
 from drivesync.plans.views import BYTES_PER_BATCH, CHUNK
@@ -29,6 +29,7 @@ from drivesync.streaming.reassembly import chunk_stream, finished_uploads, track
 PAGE = 10
 LOG_CURSOR = 500
 RETAINED_FROM = 1000
+COMPACTED_FROM = 300
 # 2024-01-01 00:08:20 UTC in nanoseconds.
 RESYNC_MARK = 1_704_067_700_000_000_000
 
@@ -155,6 +156,19 @@ def q13_cdc_diff(spark, d):
     return diff.select("path", "operation", "change_type", "content_hash")
 
 
+def q13_diff_by_digests(spark, d):
+    """The diff again, over entries of folders with unequal digests only."""
+    diff = digests.diff_by_digests(views.old_listing(spark, d), views.new_listing(spark, d))
+    return diff.select("path", "operation", "change_type", "content_hash")
+
+
+def q13_unequal_subtrees(spark, d):
+    """Folders below which the two listings differ, with their numbers of files."""
+    trees = [digests.subtree_digests(digests.folder_digests(listing))
+             for listing in (views.old_listing(spark, d), views.new_listing(spark, d))]
+    return digests.unequal_folders(*trees)
+
+
 def q14_resync(spark, d):
     files = views.drive(spark, d).select("path", "tag", "size", "server_modified")
     return route(changes.resync_since(files, RESYNC_MARK), CHUNK).select("path", "kind")
@@ -168,6 +182,25 @@ def q15_resync_decision(spark, d):
     return changes.resume_decision(consumers, kept)
 
 
+def q15_resume_compacted(spark, d):
+    """The decision where trimmed changes are kept in compacted form from a position on."""
+    consumers = views.table(spark, d, "conversations").select(
+        F.col("conv_id").alias("consumer"), (F.col("conv_id") * 97).alias("saved")
+    ).distinct()
+    kept = views.change_log(spark, d).where(F.col("seq") >= RETAINED_FROM)
+    return changes.resume_decision(consumers, kept, COMPACTED_FROM)
+
+
+def q15_compacted_apply(spark, d):
+    """A consumer at a trimmed position ends like one that has read the whole log."""
+    log = views.change_log(spark, d).where(F.col("tag") != "folder").select("path", "seq", "value", "tag")
+    held = log.where(F.col("seq") <= LOG_CURSOR)
+    trimmed = changes.compact_log(log.where(F.col("seq") < RETAINED_FROM))
+    missed = changes.changes_after(trimmed, LOG_CURSOR).union(log.where(F.col("seq") >= RETAINED_FROM))
+    events = held.union(missed).select("path", "seq", "value", (F.col("tag") == TAG_DELETED).alias("deleted"))
+    return apply.apply_latest(events)
+
+
 def q15_resync_apply(spark, d):
     """A consumer of listing A whose position expired ends with listing B."""
     held = views.old_listing(spark, d).select("path", "content_hash")
@@ -422,6 +455,19 @@ def q33_record_json(spark, d):
     return rows.select("seq", record_json(with_payload=False).alias("record"))
 
 
+def q33_read_json(spark, d):
+    """Every record as JSON and back, payload included; the lines of one source are cut in half."""
+    lines = views.records(spark, d).select(F.col("key.file_path").alias("path"), record_json().alias("line"))
+    torn = F.split("path", "/")[1] == views.BAD_HASH
+    half = F.expr("left(line, int(length(line) div 2))")
+    rows = read_json(lines.withColumn("line", F.when(torn, half).otherwise(F.col("line"))), "line")
+    return rows.select(
+        "path", "operation", F.col("key.file_path").alias("file_path"),
+        dispatch.signed_number(dispatch.meta(CHUNK_INDEX)).alias("chunk_index"),
+        dispatch.meta(FILE_HASH).alias("file_hash"), sha("payload_after").alias("payload_sha256"), "record_error",
+    )
+
+
 def q34_block_hash(spark, d):
     files = views.drive(spark, d)
     return files.select(

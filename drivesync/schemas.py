@@ -34,6 +34,9 @@ ERR_CORRUPT = "corrupt file upload"
 ERR_INDEX_RANGE = "invalid chunk: index out of range"
 ERR_ESCAPE = "path escapes base"
 ERR_HASH_DIFFERS = "corrupt file upload: content hash differs"
+ERR_NO_RECORD = "invalid record: not a record in JSON"
+ERR_NO_OPERATION = "invalid record: unknown operation"
+ERR_NO_KEY = "invalid record: no file path in the key"
 
 # Store hash: sha256 over the concatenated sha256 of each 4 MiB block.
 HASH_BLOCK = 4 * 1024 * 1024
@@ -79,6 +82,17 @@ RECORD = T.StructType([
     T.StructField("payload_after", T.BinaryType()),
 ])
 
+# A record as JSON text; payloads are base64. ``BAD_JSON`` receives text that is no such record.
+BAD_JSON = "_bad_json"
+RECORD_JSON = T.StructType([
+    *[field for field in RECORD.fields if field.name in ("position", "operation", "metadata", "key")],
+    T.StructField("payload", T.StructType([
+        T.StructField("before", T.BinaryType()),
+        T.StructField("after", T.BinaryType()),
+    ])),
+    T.StructField(BAD_JSON, T.StringType()),
+])
+
 SEGMENT = T.StructType([
     T.StructField("target_path", T.StringType()),
     T.StructField("hash", T.StringType()),

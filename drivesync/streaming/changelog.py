@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drivesync.functions.positions import unix_nanos
-from drivesync.operators.changes import byte_unit, changes_after, next_changes, resync_changes
+from drivesync.operators.changes import (
+    byte_unit, changes_after, compact_log, diff_listings, next_changes, resync_changes,
+)
+from drivesync.operators.digests import diff_by_digests
 from drivesync.operators.routing import is_file
 from drivesync.operators.skew import running
 from drivesync.options import DEFAULT_BYTES_PER_FILE, check_page_size, check_positive, scope_path
@@ -45,7 +48,8 @@ def append_changes(
     check_page_size(entries_per_file)
     attempt = attempt or manifests.new_attempt(version)
     before = new.limit(0) if old is None else old
-    rows = next_changes(before, new, last_seq).withColumn("_ns", _modified())
+    diff = diff_listings if old is None else diff_by_digests
+    rows = next_changes(before, new, last_seq, diff).withColumn("_ns", _modified())
     rows = running(rows, [], "seq", {"_seen": ("max", "_ns"), "_before": ("sum", "size")}, inclusive=False)
     mark = F.greatest(F.coalesce("_seen", F.lit(0).cast("long")), F.lit(last_mark).cast("long"))
     rows = rows.withColumns({"mark": mark, "unit": byte_unit(F.col("_before"), F.col("size"), bytes_per_file)})
@@ -101,14 +105,46 @@ def committed_versions(spark: SparkSession, log_dir: str) -> list[int]:
     return manifests.versions(spark, log_dir)
 
 
-def trim(spark: SparkSession, log_dir: str, before: int) -> None:
-    """Remove the versions below ``before``, manifests first."""
+def trim(spark: SparkSession, log_dir: str, before: int, compact: bool = False) -> None:
+    """Remove the versions below ``before``, manifests first. With ``compact`` the last
+    change of each path is kept of them, see ``compact_versions``."""
+    if compact:
+        compact_versions(spark, log_dir, before)
     for version in manifests.versions(spark, log_dir):
         if version < before:
             remove_dir(spark, f"{log_dir}/{manifests.COMMITS}/{version:010d}.json")
     _trim_folders(spark, log_dir, before)
 
 
+def compact_versions(spark: SparkSession, log_dir: str, before: int) -> manifests.Compaction | None:
+    """Merge the versions below ``before`` into the compacted part of the log.
+
+    The first compaction begins behind the oldest version there is; consumers
+    from there on never need a resync while later trims compact as well. The
+    new part replaces the old one when it is complete: a job that dies has
+    changed nothing, and can be run again. One job compacts or trims at a time;
+    jobs that still read the old part fail and can be run again, too.
+    """
+    held = manifests.compaction(spark, log_dir)
+    known = [v for v in manifests.versions(spark, log_dir) if v < before]
+    if not known:
+        return held
+    last_seq = manifests.read(spark, log_dir, known[0]).last_seq
+    floor = manifests.read(spark, log_dir, known[-1]).first_seq - 1
+    if held and held.last_seq >= last_seq:
+        return held  # a trim that died behind its compaction
+    rows = _read(spark, f"{log_dir}/version=*").where(F.col("seq") <= last_seq)
+    if held and held.last_seq >= floor:
+        rows = rows.where(F.col("seq") > held.last_seq).union(_read(spark, manifests.compaction_dir(log_dir, held)))
+        floor = held.floor
+    attempt = manifests.staged_dir(log_dir, manifests.new_attempt(before))
+    # By position, so that a consumer reads what is behind its own only.
+    compact_log(rows).repartitionByRange("seq").sortWithinPartitions("seq").write.parquet(attempt)
+    done = manifests.Compaction(floor, last_seq, manifests.count_files(spark, attempt))
+    manifests.replace_compaction(spark, log_dir, attempt, done)
+    return done
+
+
 def _trim_folders(spark: SparkSession, folder: str, before: int) -> None:
     for version in _versions(spark, folder):
         if version < before:
@@ -174,13 +210,19 @@ def is_expired(spark: SparkSession, log_dir: str, saved: int) -> bool:
     return first is not None and saved + 1 < first.first_seq
 
 
+def is_bridged(spark: SparkSession, log_dir: str, saved: int, part: manifests.Compaction) -> bool:
+    """Whether a compacted part leads from ``saved`` to the versions that are kept."""
+    return part.floor <= saved and not is_expired(spark, log_dir, part.last_seq)
+
+
 def open_changes(
     spark: SparkSession, log_dir: str, saved: int, listing: DataFrame, held: DataFrame | None = None,
     mark: int = 0,
 ) -> DataFrame:
-    """What a consumer at ``saved`` has to process: the changes behind it, or a
-    full relisting when its next change is no longer kept in the log. Relisted
-    rows stand at the newest position, so the consumer goes on from there.
+    """What a consumer at ``saved`` has to process: the changes behind it; where
+    they were trimmed, the last change of each path if they were compacted from
+    ``saved`` on; else a full relisting. Relisted rows stand at the newest
+    position, so the consumer goes on from there.
 
     With ``held(path, content_hash)``, the files the consumer has, a relisting
     is cut to what differs and deletes what vanished; without it, everything
@@ -189,6 +231,10 @@ def open_changes(
     """
     if not is_expired(spark, log_dir, saved):
         return read_log(spark, log_dir, saved)
+    part = manifests.compaction(spark, log_dir)
+    if part and is_bridged(spark, log_dir, saved, part):
+        old = changes_after(_read(spark, manifests.compaction_dir(log_dir, part)), saved)
+        return old.union(read_log(spark, log_dir, part.last_seq))
     newest = last_seq(spark, log_dir)
     if held is None:
         rows = listing.withColumn("seq", F.lit(newest).cast("long"))

@@ -19,7 +19,7 @@ import uuid
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
-COMMITS, STAGED = "commits", "staged"
+COMMITS, STAGED, COMPACTED = "commits", "staged", "compacted"
 
 
 class VersionTaken(RuntimeError):
@@ -41,6 +41,19 @@ class Manifest:
     size: int
 
 
+@dataclasses.dataclass(frozen=True)
+class Compaction:
+    """The last change per path of the positions ``floor + 1`` to ``last_seq``, in ``files`` data files."""
+
+    floor: int
+    last_seq: int
+    files: int
+
+
+def compaction_dir(log_dir: str, part: Compaction) -> str:
+    return f"{log_dir}/{COMPACTED}/{part.last_seq}-{part.floor}-{part.files}"
+
+
 def new_attempt(version: int) -> str:
     return f"{version:010d}-{uuid.uuid4().hex}"
 
@@ -166,3 +179,36 @@ def recover(spark: SparkSession, log_dir: str) -> Manifest | None:
             if int(status.getPath().getName().split("-")[0]) <= last.version:
                 store.delete(status.getPath(), True)
     return last
+
+
+def _compactions(spark: SparkSession, log_dir: str) -> list[Compaction]:
+    """Parts all of whose files are there, newest first."""
+    path = _path(spark, f"{log_dir}/{COMPACTED}")
+    store = _store(spark, path)
+    found = []
+    for status in store.listStatus(path) if store.exists(path) else []:
+        last_seq, floor, files = map(int, status.getPath().getName().split("-"))
+        part = Compaction(floor, last_seq, files)
+        if count_files(spark, compaction_dir(log_dir, part)) >= files:
+            found.append(part)
+    return sorted(found, key=lambda part: part.last_seq, reverse=True)
+
+
+def compaction(spark: SparkSession, log_dir: str) -> Compaction | None:
+    """The newest complete compacted part of the log."""
+    return next(iter(_compactions(spark, log_dir)), None)
+
+
+def replace_compaction(spark: SparkSession, log_dir: str, staged: str, part: Compaction) -> None:
+    """Put a written part in place, then remove what it replaces. Its name tells
+    how many files it has, so one moved half-way is not taken for a part."""
+    target = compaction_dir(log_dir, part)
+    path = _path(spark, target)
+    store = _store(spark, path)
+    store.mkdirs(path.getParent())
+    store.delete(path, True)
+    if not store.rename(_path(spark, staged), path):
+        raise RuntimeError(f"compacted log was not put in place at {target}")
+    for status in store.listStatus(path.getParent()):
+        if status.getPath().getName() != path.getName():
+            store.delete(status.getPath(), True)

@@ -124,20 +124,21 @@ class FolderSource:
         return sink.start(self.changes(after), deliver, checkpoint, once, self.options.trigger_interval)
 
     def changes_from(self, saved: int, held: DataFrame | None = None, mark: int = 0) -> DataFrame:
-        """Records behind a saved position. When it has expired: of everything,
-        or with ``held(path, content_hash)`` of what differs, deletes included."""
+        """Records behind a saved position. When it has expired: of the last change
+        of each path if the log was compacted from there on, else of everything, or with ``held(path, content_hash)`` of what differs, deletes included."""
         last = changelog.last_version(self.spark, self.log_dir)
         return self.records(
             changelog.open_changes(self.spark, self.log_dir, saved, self.listing(last), held, mark)
         )
 
-    def trim(self, checkpoints: list[str]) -> None:
+    def trim(self, checkpoints: list[str], compact: bool = False) -> None:
         """Remove what none of the queries with these checkpoints needs any more:
         log versions below the one each has delivered last.
-        A query that has delivered nothing yet keeps everything."""
+        A query that has delivered nothing yet keeps everything. With ``compact``
+        the last change of each path stays, for consumers of ``changes_from``."""
         done = [changelog.delivered_version(self.spark, delivered_notes(c)) for c in checkpoints]
         if done and None not in done:
-            changelog.trim(self.spark, self.log_dir, min(done))
+            changelog.trim(self.spark, self.log_dir, min(done), compact)
 
 
 def delivered_notes(checkpoint: str) -> str:

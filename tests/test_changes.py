@@ -1,7 +1,9 @@
+import random
+
 from helpers import as_set, entries, entry
 from pyspark.sql import functions as F
 
-from drivesync.operators import changes
+from drivesync.operators import apply, changes
 
 
 def test_diff(spark):
@@ -70,3 +72,40 @@ def test_micro_batches(spark):
     log = spark.range(1, 251).withColumnRenamed("id", "seq")
     got = log.groupBy(changes.micro_batch(F.col("seq"), 100).alias("b")).count()
     assert as_set(got, "b", "count") == {(0, 100), (1, 100), (2, 50)}
+
+
+def test_compacted_log_leads_to_the_same_state(spark):
+    """From every position, with folder deletes between writes below them."""
+    rng = random.Random(11)
+    rows = []
+    for seq in range(1, 121):
+        folder = f"/d{rng.randrange(3)}"
+        if rng.random() < 0.1:
+            rows.append(entry(folder, tag="deleted", seq=seq))
+        else:
+            tag = "deleted" if rng.random() < 0.2 else "file"
+            rows.append(entry(f"{folder}/f{rng.randrange(6)}", seq, tag=tag, seq=seq, content_hash=f"h{seq}"))
+    log = entries(spark, *rows)
+
+    def state(events):
+        flagged = events.select("path", "seq", "content_hash", (F.col("tag") == "deleted").alias("deleted"))
+        return as_set(apply.apply_latest(flagged), "path", "content_hash")
+
+    want = state(log)
+    kept = log.where("seq > 80")
+    part = changes.compact_log(log.where("seq <= 80"))
+    assert part.columns == log.columns and part.count() == len({r["path"] for r in rows[:80]})
+    for saved in (0, 1, 37, 79, 80):
+        held = log.where(F.col("seq") <= saved)
+        assert state(held.union(changes.changes_after(part, saved)).union(kept)) == want
+    # Compacting again with what follows is compacting at once.
+    again = changes.compact_log(part.union(log.where("seq > 80")))
+    assert as_set(again, "path", "seq") == as_set(changes.compact_log(log), "path", "seq")
+
+
+def test_resume_decision_with_compaction(spark):
+    log = spark.range(100, 200).withColumnRenamed("id", "seq")
+    asked = spark.createDataFrame(
+        [("a", 49), ("b", 50), ("c", 98), ("d", 99), ("e", 199)], "consumer string, saved long")
+    assert as_set(changes.resume_decision(asked, log, 50), "consumer", "status") == {
+        ("a", "resync"), ("b", "compacted"), ("c", "compacted"), ("d", "resume"), ("e", "up_to_date")}

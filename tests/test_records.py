@@ -1,13 +1,14 @@
 import json
 
 import pytest
-from helpers import as_set, entries, entry, store_hash
+from helpers import as_set, chunked, entries, entry, record, records, store_hash
 from pyspark.sql import functions as F
 
 from drivesync import schemas as s
 from drivesync.functions.positions import decode_position
+from drivesync.operators import dispatch
 from drivesync.operators.chunking import cut_chunks, plan_chunks
-from drivesync.operators.records import record_json, to_records
+from drivesync.operators.records import read_json, record_json, split_records, to_records
 from drivesync.operators.routing import route
 
 
@@ -123,3 +124,44 @@ def test_record_json_has_base64_payload(spark):
     got = json.loads(text)
     assert got["payload"] == {"before": None, "after": "aGk="}
     assert got["key"] == {"file_path": "/f"} and got["operation"] == "create"
+
+
+def test_json_round_trip(spark):
+    """Whole files, chunks, deletes, empty and binary payloads come back as they were."""
+    rows = records(
+        spark,
+        record(1, bytes(range(256)), collection="/c", name='a "b"\n.bin', hash="h", size="256"),
+        record(2, b"", collection="/c", name="empty", hash="h", size="0"),
+        record(3, None, operation="delete", collection="/c", name="gone"),
+        *chunked(4, "big", bytes(1000), 300),
+    )
+    lines = rows.select("seq", record_json().alias("value"))
+    back = read_json(lines)
+    assert back.where("record_error is not null or bad_line is not null").isEmpty()
+    columns = ["seq", "position", "operation", F.to_json("metadata"), "key.file_path", "payload_before", "payload_after"]
+    got, want = ([tuple(r) for r in df.select(*columns).orderBy("seq").collect()] for df in (back, rows))
+    assert got == want
+    good, bad = split_records(back)
+    assert bad.isEmpty() and dispatch.parse_records(good).where("error is null").count() == 7
+    # Without payload it is null, not an error.
+    slim = read_json(rows.select(record_json(with_payload=False).alias("value")))
+    assert as_set(slim, "payload_after", "record_error") == {(None, None)}
+
+
+def test_bad_lines_are_rows(spark):
+    good = '{"operation": "create", "key": {"file_path": "/a"}, "more": 1, "payload": {"after": "aGk="}}'
+    cases = {
+        None: s.ERR_NO_RECORD, "": s.ERR_NO_RECORD, "text": s.ERR_NO_RECORD, "[1]": s.ERR_NO_RECORD, good[:-20]: s.ERR_NO_RECORD,
+        good.replace("aGk=", "%%"): s.ERR_NO_RECORD, good.replace('{"file_path": "/a"}', "7"): s.ERR_NO_RECORD,
+        "{}": s.ERR_NO_OPERATION, good.replace("create", "merge"): s.ERR_NO_OPERATION,
+        '{"operation": "delete"}': s.ERR_NO_KEY, '{"operation": "delete", "key": {}}': s.ERR_NO_KEY,
+    }
+    lines = spark.createDataFrame([(c, "mine", "x") for c in [good, *cases]], "value string, note string, operation string")
+    back = read_json(lines)
+    _, bad = split_records(back)
+    assert as_set(bad, "bad_line", "record_error", "note") == {(c, e, "mine") for c, e in cases.items()}
+    assert as_set(back.where("record_error is null"), "operation", "key.file_path", "payload_after", "bad_line") == {
+        ("create", "/a", b"hi", None)}
+    # What a torn line held is no record.
+    assert back.where("record_error is not null and (operation is not null or key is not null or payload_after is not null)").isEmpty()
+    assert read_json(lines.limit(0)).count() == 0

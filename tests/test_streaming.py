@@ -522,3 +522,65 @@ def test_failed_write_keeps_the_old_version(spark, tmp_path):
     status, published = publish(published)
     assert as_set(status, "status") == {("ok",)} and as_set(published, "*") == {("/c/a", 2)}
     assert read_all(root) == {"/c/a": b"22"}
+
+
+def test_compacted_log_spares_the_resync(spark, tmp_path, monkeypatch):
+    """A consumer behind the trimmed range gets the last change of each path, deletes included."""
+    job = Job(spark, tmp_path)
+    log_dir = job.source.log_dir
+    steps = [{"/a": b"1", "/d/b": b"2", "/d/c": b"3"}, {"/a": b"11", "/e": b"5"}, {"/a": b"111"}, {"/f": b"6"}]
+    for n, files in enumerate(steps):
+        if n == 2:
+            os.remove(job.root + "/d/b")
+        fill(job.root, files)
+        job.source.poll()
+        if n == 0:
+            job.follow()
+    whole = as_set(changelog.read_log(spark, log_dir), "seq", "path", "tag")
+
+    # A job that dies while it compacts leaves the log as it was.
+    with monkeypatch.context() as patched:
+        patched.setattr(manifests, "replace_compaction", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            changelog.trim(spark, log_dir, 3, compact=True)
+    assert changelog.committed_versions(spark, log_dir) == [4, 3, 2, 1]
+    assert manifests.compaction(spark, log_dir) is None
+
+    changelog.trim(spark, log_dir, 3, compact=True)
+    changelog.trim(spark, log_dir, 4, compact=True)  # compacts what is compacted, too
+    assert changelog.committed_versions(spark, log_dir) == [4]
+    part = manifests.compaction(spark, log_dir)
+    assert (part.floor, part.last_seq) == (0, 7) and len(os.listdir(f"{log_dir}/compacted")) == 1
+    compacted = as_set(changelog.open_changes(spark, log_dir, 0, job.source.listing(4)), "seq", "path", "tag")
+    last = {path: max(seq for seq, other, _ in whole if other == path) for _, path, _ in whole}
+    assert compacted == {row for row in whole if row[0] == last[row[1]]}
+    # From the middle of the trimmed range, and from the part that is kept.
+    for saved in (3, 5, 7):
+        rows = as_set(changelog.open_changes(spark, log_dir, saved, job.source.listing(4)), "seq", "path", "tag")
+        assert rows == {row for row in compacted if row[0] > saved}
+
+    # The replica of the first version ends like the tree.
+    sink.action_sink(job.out)(job.source.changes_from(3), 77)
+    assert job.files() == {p: store_hash(d) for p, d in read_all(job.root).items()}
+
+
+def test_compaction_that_began_late(spark, tmp_path):
+    """What was trimmed without being compacted still needs a resync."""
+    job = Job(spark, tmp_path)
+    for n in range(4):
+        fill(job.root, {f"/f{n}": b"x" * n})
+        job.source.poll()
+    log_dir = job.source.log_dir
+    changelog.trim(spark, log_dir, 2)
+    changelog.trim(spark, log_dir, 4, compact=True)
+    listing = job.source.listing(4)
+    assert manifests.compaction(spark, log_dir).floor == 1
+    assert as_set(changelog.open_changes(spark, log_dir, 1, listing), "seq") == {(2,), (3,), (4,)}
+    # Relisted rows stand at the newest position.
+    assert as_set(changelog.open_changes(spark, log_dir, 0, listing), "seq", "path") == {(4, f"/f{n}") for n in range(4)}
+    # A trim that doesn't compact leaves a gap behind the compacted part.
+    fill(job.root, {"/g": b"g"})
+    job.source.poll()
+    changelog.trim(spark, log_dir, 5)
+    assert {seq for seq, in as_set(changelog.open_changes(spark, log_dir, 1, job.source.listing(5)), "seq")} == {5}
+    assert changelog.compact_versions(spark, log_dir, 5).last_seq == 3
