@@ -151,3 +151,16 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 def accepted(identified: DataFrame, columns: list[str]) -> DataFrame:
     """Rows with a language: no ``und``, and ambiguous only where the text is short."""
     return identified.where((F.col("lang_pred") != UNKNOWN) & ~(F.col("ambiguous") & (F.col("letters") >= REJECT_LETTERS))).select(*columns)
+
+
+def drop_rejected(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` without the rows that have no language, see ``accepted``.
+
+    Columns stay as they are, also those named like the ones ``identify`` adds.
+    Null and empty texts and those without a letter go; repeated rows stay or go
+    together; an empty table stays empty.
+    """
+    names = {c: c if c == "text" else f"_{at}" for at, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in names.items()])
+    kept = accepted(identify(renamed, model), list(names.values()))
+    return kept.select(*[F.col(name).alias(c) for c, name in names.items()])

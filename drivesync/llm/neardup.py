@@ -239,11 +239,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> D
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group: the one with the least ``doc_id``,
-    and of rows equal in id and text one. Columns stay as they are."""
+    and of rows equal in id and text one. Columns stay as they are. Rows with a
+    null id, with null text or without words are in no group and stay; of the
+    latter two, rows with one id are one. An empty table stays empty."""
     found = near_duplicates(docs, percent).where("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
     found = stored(found, "kept").alias("k")
     key = F.xxhash64(F.col("d.text"))
     joined = docs.alias("d").join(found, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (key == F.col("k.text_key")))
     plain = joined.where("k.n = 1 or k.doc_id is null").select("d.*")
-    repeated = joined.where("k.n > 1 and k.doc_id is not null").select("d.*", key.alias("__text_key"))
-    return plain.unionByName(repeated.dropDuplicates(["doc_id", "__text_key"]).drop("__text_key"))
+    # Longer than any name in docs.
+    name = "_" * (1 + max(map(len, docs.columns)))
+    repeated = joined.where("k.n > 1 and k.doc_id is not null").select("d.*", key.alias(name))
+    return plain.unionByName(repeated.dropDuplicates(["doc_id", name]).drop(name))

@@ -118,6 +118,11 @@ def _joined(spans: str) -> str:
     return f"coalesce(array_to_string(list_transform({spans}, lambda s: s.kind || ':' || s.start || ':' || s.\"end\"), ','), '')"
 
 
+def _bare(line: str) -> str:
+    """SQL of a line without white space at its ends."""
+    return f"trim({line}, {' || '.join(f'chr({ord(c)})' for c in linededup.WHITE)})"
+
+
 def _vectors(scale: int, parts: int) -> str:
     """CTEs up to ``v``: rows that take part, with whole numbers ``x`` and a number ``r`` of their own."""
     limit = vectors.LIMIT
@@ -194,17 +199,17 @@ SQL = {
             {_likeness('fp', 'ep')} AS near_edited, {_likeness('fp', 'np')} AS near_next FROM f""",
     "op4_line_dedup": f"""
         WITH p AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
-        l AS (SELECT source, unnest(list_distinct(list_transform(lines, lambda x: trim(x)))) AS line FROM p),
+        l AS (SELECT source, unnest(list_distinct(list_transform(lines, lambda x: {_bare('x')}))) AS line FROM p),
         t AS (SELECT source, count(*) AS pages FROM p GROUP BY source),
         b AS (SELECT l.source, list(line) AS drop FROM (
                 SELECT source, line, count(*) AS n FROM l WHERE line <> '' GROUP BY source, line) l
               JOIN t ON l.source IS NOT DISTINCT FROM t.source
               WHERE n >= {linededup.LINE_PAGES} AND n > pages * {linededup.RATIO} GROUP BY l.source),
-        k AS (SELECT p.*, list_filter(lines, lambda x: trim(x) = '' OR NOT list_contains(coalesce(drop, []), trim(x))) AS left_
+        k AS (SELECT p.*, list_filter(lines, lambda x: {_bare('x')} = '' OR NOT list_contains(coalesce(drop, []), {_bare('x')})) AS left_
               FROM p LEFT JOIN b ON p.source IS NOT DISTINCT FROM b.source),
-        c AS (SELECT *, CASE WHEN len(list_filter(left_, lambda x: trim(x) <> '')) > 0 THEN left_ ELSE lines END AS kept FROM k)
+        c AS (SELECT *, CASE WHEN len(list_filter(left_, lambda x: {_bare('x')} <> '')) > 0 THEN left_ ELSE lines END AS kept FROM k)
         SELECT doc_id, coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) - len(kept), 0) AS n_dropped,
-            sha256(array_to_string(kept, chr(10))) AS kept_sha256 FROM c""",
+            sha256(array_to_string(kept, chr(10))) AS kept_sha256, coalesce(len(lines) - len(left_), 0) AS n_boilerplate FROM c""",
     "op8_secrets": f"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), s AS (SELECT doc_id, {_secret_spans()} AS found FROM d)
         SELECT doc_id, len(list_filter(found, lambda s: s.kind = 'assign')) AS n_assign,

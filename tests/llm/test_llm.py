@@ -15,7 +15,7 @@ from drivesync.llm.queries import QUERIES, SQL, tokenizer_path
 
 OPERATORS = {
     "packing": lambda d: packing.pack_documents(d, tokenizer_path()), "merkle": merkle.fingerprint_documents,
-    "langid": lambda d: langid.identify(d, langid.fit(d)), "lines": lambda d: linededup.drop_boilerplate(d, least=2),
+    "langid": lambda d: langid.identify(d, langid.fit(d)), "lines": lambda d: linededup.drop_boilerplate(d),
     "pii": pii.find_personal, "suffixes": suffixes.remove_repeats, "secrets": secrets.find_secrets,
     "sharding": sharding.assign, "neardup": neardup.near_duplicates,
     "decontam": lambda d: decontam.contaminations(d, d.selectExpr("doc_id as item_id", "text")),
@@ -44,6 +44,35 @@ def test_stages_on_odd_rows_and_empty_table(spark, odd, sf):
     assert {2, 3, 5, 9}.isdisjoint({r.doc_id for r in accepted.select("doc_id").collect()})
 
 
+def test_stages_keep_clashing_columns(spark, odd, sf):
+    """Values, not names alone, of columns called like those that operators add."""
+    names = ["score", "letters", "ambiguous", "lang_pred", "__text_key", "component_id", "_0", "_3"]
+    docs = odd.drop("lang_pred").select("*", *[F.concat(F.lit(f"{name} of "), F.coalesce("source", F.lit("?"))).alias(name) for name in names])
+    model = langid.fit(docs)
+    for out in (langid.drop_rejected(docs, model), neardup.drop_near_duplicates(docs), linededup.drop_boilerplate(docs)):
+        assert out.dtypes == docs.dtypes
+        rows = out.collect()
+        assert rows and all(r[name] == f"{name} of {r.source or '?'}" for r in rows for name in names)
+    plain = langid.accepted(langid.identify(odd, langid.fit(odd)), ["doc_id"])
+    assert sorted(r.doc_id or 0 for r in langid.drop_rejected(docs, model).collect()) == sorted(r.doc_id or 0 for r in plain.collect())
+
+
+def test_lines_of_small_hosts(spark):
+    """A line on most pages goes however few these are, whatever white space ends it."""
+    pages = [(h * 10 + p, f"host{h}", f"Imprint and contact{end}\n\nstory {h} {p}\n own line {p}{h}")
+             for h in range(10) for p, end in enumerate(["", "\r", " \t", "\r"])]
+    pages += [(900, "alone", "Imprint and contact\nonly page"), (901, "twins", "same\ntext"), (902, "twins", "same\ntext\r"),
+              (903, "twins", None), (904, None, "x\na"), (905, None, "x\nb"), (906, "", "x\nc")]
+    docs = spark.createDataFrame(pages, "doc_id long, source string, text string")
+    got = {r.doc_id: r.text for r in linededup.drop_boilerplate(docs).collect()}
+    want = {k: text and "\n".join(text.split("\n")[1:]) if k < 900 else text for k, _, text in pages}
+    assert got == want | {904: "a", 905: "b"}
+    report = {r.doc_id: (r.n_lines, r.n_dropped, r.n_boilerplate) for r in linededup.drop_boilerplate(docs, report=True).collect()}
+    assert report[0] == (4, 1, 1) and report[900] == (2, 0, 0)
+    assert report[901] == report[902] == (2, 0, 2)  # copies as a whole, left to the near-duplicate operator
+    assert report[903] == (0, 0, 0)
+
+
 def test_packing(texts):
     from tokenizers import Tokenizer
 
