@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written and read again as the next one's ``docs``. All but the last return the
-columns of ``documents``. An empty table passes through all stages.
+columns of ``documents`` with their values, whatever they are called. An empty
+table passes through all stages; whole texts are used, however long.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,27 +15,35 @@ from drivesync.llm.queries import documents, tokenizer_path
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: those without a letter or text go, and those
-    between languages that are long enough to tell."""
-    return langid.accepted(langid.identify(docs, langid.fit(docs)), docs.columns)
+    between languages that are long enough to tell. Null and empty texts go, too;
+    repeated rows stay or go together."""
+    return langid.drop_rejected(docs, langid.fit(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source are cut out of its documents."""
+    """Boilerplate lines of a source are cut out of its documents. All rows stay;
+    those without a source are one source; null text stays null, and a document
+    all of whose lines are boilerplate stays as it is."""
     return linededup.drop_boilerplate(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of near duplicates stays."""
+    """One document, that of the least id, of each group of near duplicates stays.
+    Of rows equal in id and text one stays; rows without an id, and those whose
+    text is null or has no words, are in no group."""
     return neardup.drop_near_duplicates(docs, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go. Null and empty texts hold none, and
+    rows without an id are judged by their text like all others."""
     return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into sequences: a row a piece, as in ``op1_packing``."""
+    """What is left, packed into sequences: a row a piece, as in ``op1_packing``.
+    Null and empty texts are one token, the end of the document; repeated rows are
+    packed each."""
     return packing.pack_documents(docs, tokenizer_path())
 
 
