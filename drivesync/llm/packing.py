@@ -27,7 +27,7 @@ GROUP_PIECES = 65_536
 # Words, and stems of words, a worker remembers: twice as many at most.
 CACHE_WORDS = 400_000
 # Characters of the texts whose words are looked up together.
-TEXT_CHARS = 8 << 20
+TEXT_CHARS = 4 << 20
 # What may follow the letters of a word: a run of its own for the tokenizer. No
 # apostrophe (contractions), nothing that begins a special token.
 TAIL = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
@@ -166,10 +166,13 @@ class WordEncoder:
             count = sizes[code]
             ends = np.concatenate([[0], np.cumsum(count)])
             # Where the ids of each word of the texts are among those of the distinct words.
-            places = np.arange(ends[-1]) + np.repeat(first[code] - ends[:-1], count)
+            places = np.repeat(first[code] - ends[:-1], count)
+            places += np.arange(ends[-1])
             flat = np.frombuffer(b"".join(ids), "<u4")[places]
             edges = ends[words.offsets.to_numpy()]
             out += [flat[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+            del words, coded, distinct, ids, code, count, ends, places, flat
+            pa.default_memory_pool().release_unused()
         return out
 
 
