@@ -29,25 +29,38 @@ def slices(batch, rows: int = 1000):
         yield batch.slice(at, rows)
 
 
+def _hand_back() -> None:
+    """Give memory that Python no longer uses back to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def released(run):
     """A task function that hands memory back to the system at its end: workers
-    live on, next to those of other tasks."""
+    live on, next to those of other tasks. What a worker keeps between tasks is
+    that of one operator; a task of another one drops it first."""
+    owner = run.__module__
+
     def wrapped(batches):
+        state = worker_state()
+        if state.get("owner", owner) != owner:
+            state.clear()
+            _hand_back()
+        state["owner"] = owner
         try:
             yield from run(batches)
         finally:
-            import ctypes
-            import gc
-
-            import pyarrow
-
-            worker_state().pop("powers", None)
-            gc.collect()
-            pyarrow.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library
-                pass
+            state.pop("powers", None)
+            _hand_back()
 
     return wrapped
 

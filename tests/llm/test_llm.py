@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from drivesync.llm import decontam, langid, linededup, merkle, neardup, packing, pii, secrets, sharding, suffixes
+from drivesync.llm import common, decontam, langid, linededup, merkle, neardup, packing, pii, secrets, sharding, suffixes
 from drivesync.llm.queries import QUERIES, SQL, tokenizer_path
 
 OPERATORS = {
@@ -412,3 +412,19 @@ def test_query_gives_the_rows_of_its_sql(spark, sf, name):
     import check_oracle
 
     assert check_oracle.compare(spark, check_oracle.duck(sf), sf, name, SQL[name]) == ""
+
+
+def test_a_worker_keeps_the_state_of_one_operator():
+    def task(module):
+        def run(batches):
+            yield dict(common.worker_state())
+
+        run.__module__ = module
+        return common.released(run)
+
+    common.worker_state().clear()
+    assert next(task("one")(())) == {"owner": "one"}
+    common.worker_state()["cache"] = 1
+    assert next(task("one")(())) == {"owner": "one", "cache": 1}
+    assert next(task("two")(())) == {"owner": "two"}
+    common.worker_state().clear()
