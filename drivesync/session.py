@@ -43,6 +43,14 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def move_dir(spark: SparkSession, path: str, target: str) -> None:
+    """Put a folder in the place of another one of the same store."""
+    remove_dir(spark, target)
+    folder, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, target))
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).rename(folder, place):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def task_count(spark: SparkSession) -> int:
     """Tasks for work whose input rows are tiny and whose effort is not.
 

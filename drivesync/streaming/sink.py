@@ -15,7 +15,7 @@ from drivesync.operators.dispatch import parse_records
 from drivesync.operators.integrity import refuse_wrong_hashes
 from drivesync.options import scope_path
 from drivesync.schemas import ACTION, SESSION
-from drivesync.session import NO_DATA_BATCHES, PAYLOAD_PARQUET, ROCKSDB, STATE_STORE, settings
+from drivesync.session import NO_DATA_BATCHES, PAYLOAD_PARQUET, ROCKSDB, STATE_STORE, move_dir, remove_dir, settings
 
 # Deletes, chunks and whole files are read apart from each other.
 FOLDERS = ["failed", "action"]
@@ -44,7 +44,8 @@ def action_sink(folder: str, base: str | Column = "", strict: bool = False, veri
     Records that fail a check are kept apart as dead letters (``failed``), with
     ``verify`` also whole files that are not what their hash declares. With
     ``strict`` the records before the first failing one are written, and the
-    batch fails.
+    batch fails; the batch is evaluated once, into a folder that readers of
+    ``folder`` do not see, and shown when it is judged.
     """
     if isinstance(base, str):
         scope_path(base)
@@ -54,14 +55,20 @@ def action_sink(folder: str, base: str | Column = "", strict: bool = False, veri
         parsed = refuse_wrong_hashes(parsed) if verify else parsed
         rows = parsed.withColumn("failed", F.col("error").isNotNull()).select(*ACTION.names)
         target = batch_folder(records.sparkSession, folder, batch_id)
-        if strict:
-            place = F.struct("seq", F.coalesce("chunk_index", F.lit(0).cast("long")).alias("chunk"))
-            first = rows.where("failed").agg(F.min_by(F.struct("seq", "error"), place), F.min(place)).first()
-            if first[0]:
-                at = F.struct(*[F.lit(v).cast("long").alias(n) for n, v in first[1].asDict().items()])
-                write_actions(rows.where(place < at), target, "overwrite")
-                raise StrictError(f"record {first[0]['seq']}: {first[0]['error']}")
-        write_actions(rows, target, "overwrite")
+        if not strict:
+            return write_actions(rows, target, "overwrite")
+        # Judged is what was written: records may not be the same when they are read again.
+        judged = f"{folder}/_judged-{target.rpartition('=')[2]}"
+        write_actions(rows, judged, "overwrite")
+        kept = records.sparkSession.read.schema(ACTION).parquet(judged).select(*ACTION.names)
+        place = F.struct("seq", F.coalesce("chunk_index", F.lit(0).cast("long")).alias("chunk"))
+        first = kept.where("failed").agg(F.min_by(F.struct("seq", "error"), place), F.min(place)).first()
+        if not first[0]:
+            return move_dir(records.sparkSession, judged, target)
+        at = F.struct(*[F.lit(v).cast("long").alias(n) for n, v in first[1].asDict().items()])
+        write_actions(kept.where(place < at), target, "overwrite")
+        remove_dir(records.sparkSession, judged)
+        raise StrictError(f"record {first[0]['seq']}: {first[0]['error']}")
 
     return write
 

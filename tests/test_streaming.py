@@ -498,6 +498,25 @@ def test_strict_writes_what_precedes_the_error(spark, tmp_path):
     assert as_set(sink.read_actions(spark, str(tmp_path)), "seq") == {(1,), (2,), (3,)}
 
 
+def test_strict_evaluates_a_batch_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def noted(seq):
+        seen.add(1)
+        return seq
+
+    good = [record(i, b"x", name=str(i), hash=store_hash(b"x"), size="1") for i in (1, 2, 3)]
+    rows = records(spark, *good).withColumn("seq", noted("seq"))
+    write = sink.action_sink(str(tmp_path), strict=True)
+    write(rows, 0)
+    assert seen.value == 3
+    write(rows, 0)  # run again, it replaces its folder
+    write(records(spark, *good).limit(0), 1)
+    assert sorted(r.seq for r in sink.read_actions(spark, str(tmp_path)).collect()) == [1, 2, 3]
+    assert not [n for n in os.listdir(tmp_path) if n.startswith("_judged")]
+
+
 def test_failed_write_keeps_the_old_version(spark, tmp_path):
     """A folder with files where the file goes: reported, tried again, and the file is deleted later."""
     def full(seq, name, data):
