@@ -35,8 +35,11 @@ PARITIES = 8
 PARITY = [f"p{i}" for i in range(PARITIES)]
 # Pivots of a key in the first round, and how many times more in each further one.
 PIVOTS = 8
-# Tasks that share the comparisons with one pivot.
-SALTS = 64
+# Comparisons with one pivot that a task gets; a pivot with more is sent to several.
+TASK_PAIRS = 256
+# Bits a marked document has in the bitmap of ids, and the most that bitmap has.
+MARK_BITS = 32
+MOST_BITS = 1 << 26
 _LARGEST = 1 << 31
 
 
@@ -188,9 +191,16 @@ def allocate(shared: DataFrame, slim: DataFrame) -> DataFrame:
     return joined.select("key", "node", probing.alias("probing"))
 
 
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """``a, b, salt``: the pairs of a pivot ``b`` in as few parts as its task size allows,
+    so that its set moves once where it meets few others."""
+    parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / TASK_PAIRS).alias("parts"))
+    return pairs.join(parts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).alias("salt"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` (``b`` a pivot) whose full sets are alike enough."""
-    pairs = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(SALTS)).alias("salt"))
+    pairs = _dealt(pairs)
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("one")), "a")
     right = pairs.select("b", "salt").distinct().join(sets.select(F.col("node").alias("b"), F.col("items").alias("two")), "b")
     both = left.join(right, ["b", "salt"]).select("a", "b", F.size("one").alias("x"), F.size("two").alias("y"),
@@ -198,8 +208,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("common") >= percent * (F.col("x") + F.col("y") - F.col("common"))).select("a", "b")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """``node, items``: the full sets of the classes ``node, doc, text_key``."""
+def _marked(docs: DataFrame, nodes: DataFrame, count: int) -> DataFrame:
+    """``doc, text`` of the rows of the ``count`` documents ``nodes``, and of few others: a bitmap of
+    ids, of at most 8 MB, goes to the tasks, so that texts nobody asks for are not shuffled."""
+    bits = min(MOST_BITS, max(1 << 15, 1 << (MARK_BITS * count).bit_length()))
+    place = F.pmod(F.xxhash64("doc"), F.lit(bits))
+    placed = lambda rows: rows.withColumns({
+        "bucket": F.shiftright(place, 15), "bit": place.bitwiseAND((1 << 15) - 1)})
+    marks = placed(nodes.select("doc")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("marks"))
+    known = placed(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"))
+    set_ = F.expr("shiftright(cast(conv(hex(substring(marks, cast(bit div 8 + 1 as int), 1)), 16, 10) as int), cast(bit % 8 as int)) & 1 = 1")
+    return known.join(F.broadcast(marks), "bucket").where(set_).select("doc", "text")
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, count: int, width: int) -> DataFrame:
+    """``node, items``: the full sets of the ``count`` classes ``node, doc, text_key``."""
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("items", T.ArrayType(T.LongType()))])
 
     def run(batches):
@@ -210,17 +233,18 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 items = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(begin, len(sizes)), items], names=schema.names)
 
-    known = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("text_key"), "text")
+    known = _marked(docs, nodes, count).select("doc", F.xxhash64("text").alias("text_key"), "text")
     return known.join(nodes, ["doc", "text_key"]).select("node", "text").mapInArrow(released(run), schema)
 
 
-def _links(live: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _links(live: DataFrame, sets_of_nodes, percent: int) -> tuple[DataFrame, DataFrame]:
     """Verified links that connect all there are, of ``key, node, probing, n, p0..``, and the
-    components ``node, root`` they make."""
+    components ``node, root`` they make. ``sets_of_nodes`` gives the full sets ``node, items`` of
+    a table ``node``; it is asked for those of pairs only, once each."""
     sketch = ["n", *PARITY]
     links = live.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     roots = live.select("node", F.col("node").alias("root")).limit(0)
-    tried = None
+    tried = sets = None
     pivots_a_key = PIVOTS
     while True:
         rooted = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -245,10 +269,14 @@ def _links(live: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, D
         pairs = stored(pairs.select("x", "y", F.when(F.col("b") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("a"), "b"), "pairs")
         fresh = pairs.select("x", "y")
         tried = fresh if tried is None else tried.unionByName(fresh)
-        found = live.limit(0) if pairs.isEmpty() else stored(_verified(pairs, sets, percent), "found")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            roots = components(links, "links")
+        if not pairs.isEmpty():
+            ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            more = sets_of_nodes(ends if sets is None else ends.join(sets.select("node"), "node", "left_anti"))
+            sets = more if sets is None else sets.unionByName(more)
+            found = stored(_verified(pairs, sets, percent), "found")
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                roots = components(links, "links")
         done = pivots.select("key", F.col("pivot.node").alias("node"))
         live = live.drop("root").join(done, ["key", "node"], "left_anti")
         pivots_a_key *= PIVOTS
@@ -282,9 +310,12 @@ def jaccard_join(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFram
     entries = stored(allocate(shared, slim), "allocated")
     probed = entries.where("probing").select("key").distinct()
     live = stored(entries.join(probed, "key", "left_semi").join(slim.select("node", "n", *PARITY), "node"), "live")
-    nodes = slim.join(live.select("node").distinct(), "node").select("node", "doc", "text_key")
-    sets = stored(_sets(docs, stored(nodes, "nodes"), width), "sets")
-    links, roots = _links(live, sets, percent)
+
+    def sets_of_nodes(ends):
+        nodes = stored(slim.join(ends, "node").select("node", "doc", "text_key"), "nodes")
+        return stored(_sets(docs, nodes, nodes.count(), width), "sets")
+
+    links, roots = _links(live, sets_of_nodes, percent)
     several = linkable.groupBy("doc_id").agg((F.min("k1") < F.max("k1")).alias("several")).where("several").select("doc_id")
     same = linkable.join(several, "doc_id").join(classes, ["k1", "k2"]).select("doc_id", "node")
     same = same.groupBy("doc_id").agg(F.min("node").alias("a")).join(same, "doc_id").select("a", F.col("node").alias("b"))

@@ -126,5 +126,38 @@ def test_sets_that_differ_little_share_a_key():
             assert mine & {k for k, o in zip(keys.tolist(), owner) if o == 1}
 
 
+def test_only_sets_of_pairs_are_made(spark, monkeypatch):
+    """Texts that share a phrase share keys, but few pairs of them pass the parities: the other sets stay where they are."""
+    rng, made = random.Random(9), []
+    rows = [(i, " ".join([f"t{k}" for k in range(9)] + [f"w{i}"])) for i in range(160)]
+    near = [f"n{k}" for k in range(60)]
+    rows += [(1000 + i, " ".join(edited(rng, near, i and 1))) for i in range(4)]
+    stored = jaccardjoin.stored
+    monkeypatch.setattr(jaccardjoin, "stored", lambda table, label: made.append((label, stored(table, label))) or made[-1][1])
+    found = jaccardjoin.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), 85, 4)
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == brute(rows, 85, 4)
+    live = {r.node for label, table in made if label == "live" for r in table.collect()}
+    sets = [r.node for label, table in made if label == "sets" for r in table.collect()]
+    assert len(live) > 150 and 4 <= len(set(sets)) == len(sets) < len(live) / 2
+
+
+def test_few_texts_besides_those_asked_for_are_marked(spark):
+    docs = spark.range(20000).selectExpr("nullif(id - 5000, 77) AS doc_id", "concat('text ', id) AS text", "1 AS place").repartition(5)
+    for asked in (1, 40, 400):
+        nodes = spark.range(asked).selectExpr("id AS node", "id * 31 - 4000 AS doc")
+        rows = jaccardjoin._marked(docs, nodes, asked).collect()
+        wanted = {i * 31 - 4000 for i in range(asked)} - {77}
+        assert wanted <= {r.doc for r in rows} and len(rows) < 1.1 * asked + 0.05 * 20000
+        assert all(r.text == f"text {r.doc + 5000}" for r in rows)
+
+
+def test_a_set_moves_once_for_its_pairs_unless_they_are_many(spark):
+    rows = [(1000 * b + i, b) for b in range(50) for i in range(1 + b % 9)] + [(10**6 + i, 99) for i in range(1000)]
+    dealt = jaccardjoin._dealt(spark.createDataFrame(rows, "a long, b long")).collect()
+    parts = collections.Counter(b for b, _ in {(r.b, r.salt) for r in dealt})
+    assert sorted((r.a, r.b) for r in dealt) == sorted(rows)
+    assert parts.pop(99) == 4 and set(parts.values()) == {1}
+
+
 def test_registered():
     assert {"op11_hard_negatives", "op12_jaccard_join", "op13_vector_codes"} <= set(QUERIES)
