@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from drivesync.llm.common import Words, blocks, byte_tables, mix, released, slices, stored
 from drivesync.llm.graph import components
+from drivesync.session import settings
 
 WIDTH = 4
 PERCENT = 85
@@ -41,6 +42,8 @@ TASK_PAIRS = 256
 MARK_BITS = 32
 MOST_BITS = 1 << 26
 _LARGEST = 1 << 31
+# Shuffle files go when the job that wrote them is done, not when the driver collects its garbage.
+_CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def differing(size, percent: int):
@@ -282,20 +285,8 @@ def _links(live: DataFrame, sets_of_nodes, percent: int) -> tuple[DataFrame, Dat
         pivots_a_key *= PIVOTS
 
 
-def jaccard_join(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``doc_id, text``.
-
-    Documents link where 100 * intersection >= ``percent`` * union of their sets of
-    ``width`` words; fewer words are one n-gram. ``component_id`` is the least
-    ``doc_id`` reachable by links. Null text and text without words have no n-gram
-    and link with nothing. Rows with one ``doc_id`` are one document: each row has
-    its own ``n_shingles``, and what links with one of them is linked with all.
-    Rows with a null ``doc_id`` link with nothing and have no ``component_id``.
-    Other columns are ignored; an empty table gives no rows. N-grams are compared
-    by 64-bit hashes.
-    """
-    if not 1 <= percent <= 100:
-        raise ValueError(f"percent must be from 1 to 100, not {percent}")
+def _placed(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """(``signatures`` of all rows, ``k1, k2, component_id`` of each class)."""
     seen = stored(signatures(docs.select("doc_id", "text"), percent, width), "signatures")
     linkable = seen.where("n > 0 and doc_id is not null")
     first = linkable.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").cast("long").alias("doc"), "row")).alias("r"))
@@ -323,7 +314,25 @@ def jaccard_join(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFram
         roots = components(links.unionByName(same), "links")
     placed = classes.join(roots, "node", "left").select("k1", "k2", "doc", F.coalesce("root", "node").alias("root"))
     least = placed.groupBy("root").agg(F.min("doc").alias("component_id"))
-    by_class = stored(placed.join(least, "root").select("k1", "k2", "component_id"), "components")
+    return seen, stored(placed.join(least, "root").select("k1", "k2", "component_id"), "components")
+
+
+def jaccard_join(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``doc_id, text``.
+
+    Documents link where 100 * intersection >= ``percent`` * union of their sets of
+    ``width`` words; fewer words are one n-gram. ``component_id`` is the least
+    ``doc_id`` reachable by links. Null text and text without words have no n-gram
+    and link with nothing. Rows with one ``doc_id`` are one document: each row has
+    its own ``n_shingles``, and what links with one of them is linked with all.
+    Rows with a null ``doc_id`` link with nothing and have no ``component_id``.
+    Other columns are ignored; an empty table gives no rows. N-grams are compared
+    by 64-bit hashes.
+    """
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent must be from 1 to 100, not {percent}")
+    with settings(docs.sparkSession, _CLEANUP):
+        seen, by_class = _placed(docs, percent, width)
     joined = seen.alias("s").join(by_class.alias("c"), (F.col("s.k1") == F.col("c.k1")) & (F.col("s.k2") == F.col("c.k2"))
                                   & F.col("doc_id").isNotNull() & (F.col("n") > 0), "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", F.col("doc_id").cast("long")).alias("component_id"))

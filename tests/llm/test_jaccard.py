@@ -1,5 +1,6 @@
 import collections
 import random
+import time
 
 import numpy as np
 import pytest
@@ -159,5 +160,24 @@ def test_a_set_moves_once_for_its_pairs_unless_they_are_many(spark):
     assert parts.pop(99) == 4 and set(parts.values()) == {1}
 
 
+def test_shuffle_files_go_with_their_step(spark):
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        files = [files.apply(i) for i in range(files.size())]
+        return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+    def left():
+        return sum(size for name, size in held().items() if name not in before)
+
+    before, option = held(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(option)
+    found = jaccardjoin.jaccard_join(spark.createDataFrame(corpus(3, 10), "doc_id long, text string"), 85, 4)
+    until = time.monotonic() + 10
+    while left() > 2000 and time.monotonic() < until:  # in the background; tests for emptiness keep a few bytes
+        time.sleep(0.2)
+    assert left() <= 2000 and spark.conf.get(option) == setting
+    assert found.collect() == found.collect() and found.count() == len(corpus(3, 10))
+
+
 def test_registered():
     assert {"op11_hard_negatives", "op12_jaccard_join", "op13_vector_codes"} <= set(QUERIES)
