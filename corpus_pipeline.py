@@ -12,6 +12,10 @@ from drivesync.llm import decontam, langid, linededup, neardup, packing
 from drivesync.llm.common import stored
 from drivesync.llm.queries import documents, tokenizer_path
 
+# Words a worker of ``pack`` remembers: fewer than on its own, since executors that
+# ran the stages before have little memory left. More words only save time.
+REMEMBERED_WORDS = 150_000
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: those without a letter or text go, and those
@@ -44,7 +48,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences: a row a piece, as in ``op1_packing``.
     Null and empty texts are one token, the end of the document; repeated rows are
     packed each."""
-    return packing.pack_documents(docs, tokenizer_path())
+    return packing.pack_documents(docs, tokenizer_path(), remember=REMEMBERED_WORDS)
 
 
 STAGES = [

@@ -19,15 +19,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from drivesync.llm.common import blocks, released, slices, stored, worker_state
+from drivesync.session import settings
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 1
 # Pieces one task packs. The bins a group leaves part empty are a few of thousands.
 GROUP_PIECES = 65_536
-# Words, and stems of words, a worker remembers: twice as many at most.
+# Words, and half as many stems of words, a worker remembers: twice as many at most.
 CACHE_WORDS = 400_000
 # Characters of the texts whose words are looked up together.
 TEXT_CHARS = 4 << 20
+# Words the tokenizer is given at once: what it gives back is many times their size.
+LEARN_WORDS = 4096
+# What a worker is sent at once is held by it and by the executor, which has a
+# buffer of up to twice the size.
+SENT_BYTES = {"spark.sql.execution.arrow.maxBytesPerBatch": "3m"}
 # What may follow the letters of a word: a run of its own for the tokenizer. No
 # apostrophe (contractions), nothing that begins a special token.
 TAIL = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
@@ -71,7 +77,7 @@ class WordEncoder:
     refused.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = CACHE_WORDS):
         import os
         import re
 
@@ -98,10 +104,14 @@ class WordEncoder:
         self.letters = Tokenizer.from_str(json.dumps(spec))
         # Letters that neither composition nor lower case turns into anything but letters.
         self.simple = re.compile("[A-Za-zÀ-ÖØ-öø-į]+")
-        self.words, self.stems = Recent(CACHE_WORDS), Recent(CACHE_WORDS // 2)
+        self.words, self.stems = Recent(remember), Recent(remember // 2)
         self.tails = {}
 
     def _learn_stems(self, stems: list[str]) -> None:
+        for at in range(0, len(stems), LEARN_WORDS):
+            self._learn_some(stems[at:at + LEARN_WORDS])
+
+    def _learn_some(self, stems: list[str]) -> None:
         ids = np.array(self.letters.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.flatnonzero(self.closing[ids]) + 1
         known = self.stems.now
@@ -127,8 +137,10 @@ class WordEncoder:
                 stems.append(stem.lower())
             else:
                 other.append(word)
-        for word, found in zip(other, self.whole.encode_batch_fast(other, add_special_tokens=False)):
-            known[word] = np.array(found.ids, dtype="<u4").tobytes()
+        for at in range(0, len(other), LEARN_WORDS):
+            some = other[at:at + LEARN_WORDS]
+            for word, found in zip(some, self.whole.encode_batch_fast(some, add_special_tokens=False)):
+                known[word] = np.array(found.ids, dtype="<u4").tobytes()
         ids = self.stems.refresh(dict.fromkeys(stems), lambda new: self._learn_stems(sorted(new)))
         if len(tails) > MOST_TAILS:
             tails.clear()
@@ -176,18 +188,20 @@ class WordEncoder:
         return out
 
 
-def _encoder(path: str) -> WordEncoder:
+def _encoder(path: str, remember: int = CACHE_WORDS) -> WordEncoder:
     known = worker_state().setdefault("encoders", {})
-    if path not in known:
-        known[path] = WordEncoder(path)
-    return known[path]
+    if (path, remember) not in known:
+        known[path, remember] = WordEncoder(path, remember)
+    return known[path, remember]
 
 
 def tokenize(
     docs: DataFrame, tokenizer: str, limit: int = SEQUENCE_TOKENS, end: int = END_TOKEN, ids: bool = False,
+    remember: int = CACHE_WORDS,
 ) -> DataFrame:
     """Pieces of all documents: ``doc_id, piece, start, length, ids_crc32`` and,
-    with ``ids``, the token ids. ``tokenizer`` is a file every executor has."""
+    with ``ids``, the token ids. ``tokenizer`` is a file every executor has;
+    ``remember`` trades a worker's memory for time, see ``CACHE_WORDS``."""
     key = docs.schema["doc_id"].dataType
     schema = T.StructType([
         T.StructField("doc_id", key), T.StructField("piece", T.IntegerType()),
@@ -196,7 +210,7 @@ def tokenize(
     ] + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * ids)
 
     def run(batches):
-        encoder = _encoder(tokenizer)
+        encoder = _encoder(tokenizer, remember)
         close = np.array([end], dtype="<u4").tobytes()
         for batch in (part for whole in batches for part in slices(whole, 2500)):
             rows = ([], [], [], [], [], [])
@@ -266,14 +280,19 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, group: int = GROUP_
     return pieces.repartition(tasks).mapInArrow(released(whole), schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE_TOKENS, end: int = END_TOKEN, ids: bool = False) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE_TOKENS, end: int = END_TOKEN, ids: bool = False,
+    remember: int = CACHE_WORDS,
+) -> DataFrame:
     """Pack ``documents`` into sequences of at most ``capacity`` tokens.
 
     Null text is an empty text, which is one end token. Null and repeated
     ``doc_id`` are packed row by row as any other; other columns are ignored;
     an empty table gives no rows. Of a long text every token is packed.
     """
-    return pack(stored(tokenize(docs, tokenizer, capacity, end, ids), "pieces"), capacity)
+    with settings(docs.sparkSession, SENT_BYTES):
+        pieces = stored(tokenize(docs, tokenizer, capacity, end, ids, remember), "pieces")
+    return pack(pieces, capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -1,11 +1,15 @@
 import collections
 import hashlib
 import itertools
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -428,3 +432,58 @@ def test_a_worker_keeps_the_state_of_one_operator():
     assert next(task("one")(())) == {"owner": "one", "cache": 1}
     assert next(task("two")(())) == {"owner": "two"}
     common.worker_state().clear()
+
+
+GROWTH = """
+import random, re, sys
+from drivesync.llm.packing import WordEncoder
+
+def kept(name):
+    return int(re.search(name + r":\\s+(\\d+) kB", open("/proc/self/status").read())[1]) / 1024
+
+encoder, draw = WordEncoder(sys.argv[1], 150_000), random.Random(5)
+before = kept("VmRSS")
+for _ in range(4):
+    encoder.encode([" ".join("".join(draw.choices("abcdefghijklmnop", k=9)) + draw.choice(["", "."]) for _ in range(400)) for _ in range(1000)])
+print(kept("VmHWM") - before)
+"""
+
+
+def test_a_worker_that_meets_new_words_stays_small():
+    done = subprocess.run(
+        [sys.executable, "-c", GROWTH, tokenizer_path()], capture_output=True, text=True, check=True,
+        env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)})
+    assert float(done.stdout) < 300
+
+
+def test_tokens_do_not_depend_on_what_is_learned_at_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefgÉéßñ1中'", k=draw.randint(1, 7))) + draw.choice(["", ".", "),", "!?"]) for _ in range(3000)]
+    texts = [" ".join(words[at:at + 50]) for at in range(0, 3000, 50)] + [None, "", "one <|endoftext|> two"]
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    expected = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for learn, chars, cache in ((7, 100, 50), (packing.LEARN_WORDS, packing.TEXT_CHARS, packing.CACHE_WORDS)):
+        monkeypatch.setattr(packing, "LEARN_WORDS", learn)
+        monkeypatch.setattr(packing, "TEXT_CHARS", chars)
+        encoder = packing.WordEncoder(tokenizer_path(), cache)
+        assert encoder.encode(texts) == expected
+        assert encoder.encode(texts) == expected
+
+
+def test_tokenizing_tasks_are_sent_few_bytes_at_once(spark, monkeypatch):
+    def sizes(docs, *_):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")[:1], "length": pa.array([batch.nbytes])})
+
+        return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, length long")
+
+    monkeypatch.setattr(packing, "tokenize", sizes)
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    docs = spark.range(3000, numPartitions=1).selectExpr("id as doc_id", "repeat('some text ', 400) as text")
+    rows = packing.pack_documents(docs, "", capacity=1 << 25).collect()
+    assert len(rows) > 1 and max(r.length for r in rows) < 6 << 20
+    assert spark.conf.get(setting, None) == before
